@@ -1,34 +1,33 @@
 """Differences between two snapshots of one entity.
 
-A comparison is built from two joins that keep their left side: ``old`` with
-what replaces each of its rows, and the rows of ``new`` that ``old`` lacks.
-Together they give what a full outer join gives, but a small ``new`` can be
-broadcast (a large ``old`` then never shuffles), and adaptive execution can
-split a skewed partition of either join, which it cannot for a full outer one.
+A comparison stands every old row beside the new row with its key, as one full
+outer join would. A load that is small enough to broadcast is compared without
+shuffling the old rows at all; any other one shuffles each side once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import row_fingerprint, row_hash
-from .joins import fits_broadcast
+from .joins import fits_broadcast, row_digest
 
 # Bookkeeping columns of versioned rows, and change types.
 START, END, CURRENT, HASH = "start_date", "end_date", "is_current", "hash_data"
 AUDIT = (START, END, CURRENT, HASH)
 CHANGE_TYPE = "_change_type"
-INSERT, DELETE = "insert", "delete"
+INSERT, DELETE, UPDATE = "insert", "delete", "update"
 PREIMAGE, POSTIMAGE = "update_preimage", "update_postimage"
 
-# Column that carries the whole replacing row through a comparison.
-NEW = "__new"
+# In a comparison: the new row, and whether there is an old one.
+NEW, OLD = "__new", "__old"
+_SLOT = "__slot"
 
 
 def attribute_fields(
@@ -109,9 +108,9 @@ def _matches(keys: Sequence[str], left: str, right: str, null_safe: bool) -> Col
     return reduce(and_, [same(c) for c in keys])
 
 
-def packed(new: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _packed(new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``new`` as one struct column, so that it can stand beside ``old``."""
-    return new.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias(NEW))
+    return new.select(F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)]).alias(NEW))
 
 
 def with_replacement(
@@ -123,29 +122,57 @@ def with_replacement(
 ) -> DataFrame:
     """Every row of ``old`` beside the listed columns of the row of ``new`` with
     its key, as the struct ``NEW``; that is NULL where ``new`` has no such row."""
-    wanted = list(dict.fromkeys([*keys, *columns]))
     on = _matches(keys, "o", f"n.{NEW}", null_safe)
-    return old.alias("o").join(packed(new, wanted).alias("n"), on, "left").select("o.*", NEW)
+    right = _packed(new, [*keys, *columns])
+    return old.alias("o").join(right.alias("n"), on, "left").select("o.*", NEW)
 
 
-def only_in(
-    new: DataFrame, old: DataFrame, keys: Sequence[str], null_safe: bool = False
+def compared(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    """Rows of ``new`` whose key ``old`` lacks."""
-    seen = old.select(*keys)
+    """All rows of both sides: columns of ``old``, ``OLD`` where there is an old
+    row, and the new row as the struct ``NEW``."""
+    left = old.withColumn(OLD, F.lit(True))
     if fits_broadcast(new):
-        # A small load needs only the few old keys it can meet.
-        on = _matches(keys, "s", "k", null_safe)
-        seen = seen.alias("s").join(new.select(*keys).alias("k"), on, "left_semi")
-    whole = packed(new, new.columns).alias("n")
+        kept = with_replacement(left, new, keys, new.columns, null_safe)
+        return kept.unionByName(_fresh(new, old, keys, null_safe), allowMissingColumns=True)
+    right = _packed(new, [*keys, *new.columns])
+    on = _matches(keys, "o", f"n.{NEW}", null_safe)
+    if not null_safe:
+        # Rows without a key match nothing, but would all hash to one partition.
+        left, right = _scattered(left, keys, ""), _scattered(right, keys, f"{NEW}.")
+        on = on & (F.col(f"o.{_SLOT}") == F.col(f"n.{_SLOT}"))
+    return left.alias("o").join(right.alias("n"), on, "full").drop(_SLOT)
+
+
+def _scattered(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
+    """Adds a slot that is 0, or taken from the content of a row without a key."""
+    unkeyed = reduce(or_, [F.col(f"{prefix}`{c}`").isNull() for c in keys])
+    return df.withColumn(_SLOT, F.when(unkeyed, row_digest(df)).otherwise(F.lit(0)))
+
+
+def _fresh(
+    new: DataFrame, old: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """Rows of a small ``new`` whose key ``old`` lacks, as ``NEW``.
+
+    Only the few old keys that the load can meet are looked at.
+    """
+    on = _matches(keys, "s", "k", null_safe)
+    seen = old.select(*keys).alias("s").join(new.select(*keys).alias("k"), on, "left_semi")
     on = _matches(keys, f"n.{NEW}", "s", null_safe)
-    return whole.join(seen.alias("s"), on, "left_anti").select(f"{NEW}.*")
+    whole = _packed(new, [*keys, *new.columns])
+    return whole.alias("n").join(seen.alias("s"), on, "left_anti")
 
 
 def gone() -> Column:
     return F.col(NEW).isNull()
 
 
+def fresh() -> Column:
+    return F.col(OLD).isNull()
+
+
 def differs() -> Column:
     """The key is on both sides and the content is not the same."""
     return F.coalesce(F.col(HASH) != F.col(f"{NEW}.{HASH}"), F.lit(False))
@@ -172,11 +199,15 @@ def classify(
     Only keys and hashes are shuffled.
     """
     old, new = hashed_pair(old, new, keys, ignore, hash)
-    old, new = old.select(*keys, HASH), new.select(*keys, HASH)
-    label = F.when(gone(), DELETE).when(differs(), "update").otherwise("unchanged")
-    kept = with_replacement(old, new, keys, [HASH], null_safe).select(*keys, label.alias("change"))
-    fresh = only_in(new, old, keys, null_safe).select(*keys, F.lit(INSERT).alias("change"))
-    return kept.unionByName(fresh)
+    pairs = compared(old.select(*keys, HASH), new.select(*keys, HASH), keys, null_safe)
+    label = (
+        F.when(gone(), DELETE)
+        .when(fresh(), INSERT)
+        .when(differs(), UPDATE)
+        .otherwise("unchanged")
+    )
+    key = [F.when(fresh(), F.col(f"{NEW}.`{c}`")).otherwise(F.col(f"`{c}`")).alias(c) for c in keys]
+    return pairs.select(*key, label.alias("change"))
 
 
 def changed_keys(
@@ -210,18 +241,13 @@ def change_feed(
         values = [F.col(f"{prefix}`{c}`").alias(c) for c in columns]
         return F.struct(*values, F.lit(tag).alias(CHANGE_TYPE))
 
-    update = differs()
-    images = F.array(
-        F.when(gone(), image("", DELETE)),
-        F.when(update, image("", PREIMAGE)),
-        F.when(update, image(f"{NEW}.", POSTIMAGE)),
-    )
-    pairs = with_replacement(old, new, keys, [*columns, HASH], null_safe).where(gone() | update)
-    moved = pairs.select(F.explode(F.filter(images, lambda i: i.isNotNull())).alias("i"))
-    fresh = only_in(new, old, keys, null_safe).select(
-        *columns, F.lit(INSERT).alias(CHANGE_TYPE)
+    images = (
+        F.when(gone(), F.array(image("", DELETE)))
+        .when(fresh(), F.array(image(f"{NEW}.", INSERT)))
+        .otherwise(F.array(image("", PREIMAGE), image(f"{NEW}.", POSTIMAGE)))
     )
-    return moved.select("i.*").unionByName(fresh)
+    moved = compared(old, new, keys, null_safe).where(gone() | fresh() | differs())
+    return moved.select(F.explode(images).alias("image")).select("image.*")
 
 
 def apply_change_feed(

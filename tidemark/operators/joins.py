@@ -39,12 +39,9 @@ def fits_broadcast(df: DataFrame) -> bool:
     This is the check Catalyst itself makes; it only picks between two plans
     that give the same rows.
     """
-    spark = df.sparkSession
-    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
-        spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    )
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return limit > 0 and int(size) <= limit
+    return int(size) <= limit
 
 
 def join_on(
@@ -129,12 +126,8 @@ def _salted(
     is_hot = F.array_contains(hot, F.xxhash64(*keys))
     # A row with a NULL key never matches, so it may go anywhere.
     free = reduce(or_, [F.col(c).isNull() for c in keys])
-    # The salt depends on the row alone: a task that is run again after a lost
-    # executor sends every row to where the first attempt sent it.
-    row = F.xxhash64(*[f.name for f in hot_side.schema if f.dataType.typeName() != "map"])
-    marked = hot_side.withColumn(
-        _SALT, F.when(free | is_hot, F.pmod(row, F.lit(salts)).cast("int")).otherwise(0)
-    )
+    salt = F.pmod(row_digest(hot_side), F.lit(salts)).cast("int")
+    marked = hot_side.withColumn(_SALT, F.when(free | is_hot, salt).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copied = other.withColumn(_SALT, F.explode(copies))
 
@@ -147,6 +140,12 @@ def _salted(
     return joined.select(*columns)
 
 
+def row_digest(df: DataFrame) -> Column:
+    """A number that depends on the content of a row alone: a task that is run
+    again after a lost executor sends every row where the first attempt sent it."""
+    return F.xxhash64(*[f"`{f.name}`" for f in df.schema if f.dataType.typeName() != "map"])
+
+
 def _hot_keys(df: DataFrame, keys: Sequence[str]) -> Column:
     """Hashes of the hot keys, as a scalar subquery over the key columns only.
 

@@ -22,11 +22,12 @@ from .changes import (
     START,
     align_types,
     attribute_fields,
+    compared,
     content_hash,
     differs,
+    fresh,
     gone,
     hashed_pair,
-    only_in,
     require_columns,
     with_replacement,
 )
@@ -72,10 +73,7 @@ def scd1_merge(
         return F.when(gone(), old).otherwise(new).alias(c)
 
     columns = [*target.columns, *[c for c in source.columns if c.lower() not in known]]
-    pairs = with_replacement(target, source, keys, source.columns, null_safe)
-    kept = pairs.select(*[merged(c) for c in columns])
-    fresh = only_in(source, target, keys, null_safe)
-    return kept.unionByName(fresh, allowMissingColumns=True)
+    return compared(target, source, keys, null_safe).select(*[merged(c) for c in columns])
 
 
 # -- type 2 -----------------------------------------------------------------
@@ -137,13 +135,13 @@ def scd2_step(
     after = version(
         [newer(c) for c in columns], as_of, _never(as_of), F.lit(True), F.col(f"{NEW}.{HASH}")
     )
-    pairs = with_replacement(opened, source, keys, source.columns, null_safe)
     versions = F.when(differs(), F.array(before, after)).otherwise(F.array(before))
-    result = pairs.select(F.explode(versions).alias("v")).select("v.*")
     if insert_new:
-        fresh = _opened(only_in(source, opened, keys, null_safe), as_of)
-        result = result.unionByName(fresh, allowMissingColumns=True)
-    return result
+        pairs = compared(opened, source, keys, null_safe)
+        versions = F.when(fresh(), F.array(after)).otherwise(versions)
+    else:
+        pairs = with_replacement(opened, source, keys, source.columns, null_safe)
+    return pairs.select(F.explode(versions).alias("v")).select("v.*")
 
 
 def scd2_merge(
