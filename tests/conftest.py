@@ -1,0 +1,48 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    base = tmp_path_factory.mktemp("spark")
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.warehouse.dir", str(base / "warehouse"))
+        .config("spark.checkpoint.dir", str(base / "shared"))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def both_plans(request, spark):
+    """Runs a test with small sides broadcast and with every join shuffled."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    if request.param == "shuffle":
+        spark.conf.set(key, "-1")
+    yield request.param
+    spark.conf.set(key, before)
+
+
+def rows(df, *columns):
+    """Rows as a sorted list of tuples, NULLs first."""
+    picked = df.select(*columns) if columns else df
+    return sorted(
+        (tuple(r) for r in picked.collect()),
+        key=lambda r: [(v is not None, str(v)) for v in r],
+    )

@@ -8,7 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_NESTED = (T.ArrayType, T.MapType, T.StructType)
+_BARE = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+# Full precision for timestamps inside nested values.
+_NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+_MICROS = _NTZ + "XXX"
 
 
 def row_hash(columns: Sequence[str]) -> Column:
@@ -17,24 +21,30 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 
 def row_fingerprint(fields: Iterable[T.StructField]) -> Column:
-    """SHA-256 that no two different rows of one schema share by construction.
+    """SHA-256 of a text that differs for any two different rows of one schema.
 
-    Every value is written with its length in front, and NULL as a mark of its
-    own, so neither a NULL nor a separator inside a value can shift one column
-    into the next. Columns are taken in name order: reordering the columns of a
-    source is not a change.
+    NULL has a mark of its own, and text is written with its length in front, so
+    neither a NULL nor a separator inside a value can pass for something else.
+    Columns are taken in name order: reordering the columns of a source is not a
+    change.
     """
     ordered = sorted(fields, key=lambda f: f.name.lower())
-    parts = [_framed(f) for f in ordered]
-    return F.sha2(F.concat(F.lit(""), *parts), 256)
+    return F.sha2(F.concat_ws("|", *[_framed(f) for f in ordered]), 256)
 
 
 def _framed(field: T.StructField) -> Column:
     value = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, _NESTED):
-        text = F.to_json(value, {"ignoreNullFields": "false"})
-    elif isinstance(field.dataType, T.BinaryType):
+    if isinstance(field.dataType, T.BinaryType):
         text = F.hex(value)
-    else:
+    elif isinstance(field.dataType, _BARE):
+        # Written out, these never hold the separator or the mark.
         text = value.cast("string")
-    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~"))
+    else:
+        text = value if isinstance(field.dataType, T.StringType) else _nested(value)
+        text = F.concat(F.octet_length(text).cast("string"), F.lit(":"), text)
+    return F.coalesce(text, F.lit("~"))
+
+
+def _nested(value: Column) -> Column:
+    options = {"ignoreNullFields": "false", "timestampFormat": _MICROS, "timestampNTZFormat": _NTZ}
+    return F.to_json(value, options)

@@ -152,9 +152,11 @@ def monthly_customer_report(
     )
     served = placed.join(activity, "CustomerID").join(owed, "CustomerID", "left")
     spent = F.col("Amount") * F.col("accounts") * F.col("branches")
-    # Accounts come last: whoever owns very many of them has few other rows.
+    # Accounts come last: of a customer with very many of them only this join
+    # sees many rows, and nothing after it keeps adaptive execution from
+    # splitting a partition that they make too large.
     return (
-        join_using(held, served, ["CustomerID"], spread="left")
+        held.join(served, "CustomerID")
         .withColumn("TotalTransactionAmount", spent)
         .select(
             *who,

@@ -134,20 +134,16 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shipping_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each order with the nations its lines ship from, once per nation."""
+    """Each order with the nations its lines ship from."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     suppliers = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("ShippingCity")
     )
-    nations = (
-        join_using(lines, suppliers, ["l_suppkey"], spread="left")
-        .select("l_orderkey", "s_nationkey")
-        .distinct()
-    )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return orders.join(nations, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        F.col("o_custkey").alias("CustomerID"), F.col("s_nationkey").alias("ShippingCity")
+    shipped = join_using(lines, suppliers, ["l_suppkey"], spread="left")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("CustomerID")
     )
+    return shipped.join(orders, "l_orderkey").select("CustomerID", "ShippingCity")
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
