@@ -110,7 +110,10 @@ def _matches(keys: Sequence[str], left: str, right: str, null_safe: bool) -> Col
 
 def _packed(new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``new`` as one struct column, so that it can stand beside ``old``."""
-    return new.select(F.struct(*[F.col(f"`{c}`") for c in dict.fromkeys(columns)]).alias(NEW))
+    wanted = {c.lower() for c in columns}
+    return new.select(
+        F.struct(*[F.col(f"`{c}`") for c in new.columns if c.lower() in wanted]).alias(NEW)
+    )
 
 
 def with_replacement(

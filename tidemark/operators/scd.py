@@ -210,6 +210,9 @@ def scd4_current(
     current, source = hashed_pair(current, source, keys, ignore, hash)
     pairs = with_replacement(source, current, keys, [HASH, START], null_safe)
     kept = F.coalesce(F.col(HASH) == F.col(f"{NEW}.{HASH}"), F.lit(False))
-    return pairs.withColumns(
-        {START: F.when(kept, F.col(f"{NEW}.{START}")).otherwise(as_of), END: _never(as_of)}
-    ).drop(NEW)
+    return pairs.select(
+        *[F.col(f"`{c}`") for c in source.columns if c not in AUDIT],
+        F.when(kept, F.col(f"{NEW}.{START}")).otherwise(as_of).alias(START),
+        _never(as_of).alias(END),
+        HASH,
+    )

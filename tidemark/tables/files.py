@@ -29,13 +29,17 @@ def names(spark: SparkSession, path: str) -> list[str]:
 
 
 def create(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small new file; an existing one is an error."""
+    """Write a small new file that appears complete; an existing one is an error."""
     fs, handle = _resolve(spark, path)
-    stream = fs.create(handle, False)
+    _, draft = _resolve(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    stream = fs.create(draft, False)
     try:
         stream.write(bytearray(text, "utf-8"))
     finally:
         stream.close()
+    if fs.exists(handle) or not fs.rename(draft, handle):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
 
 
 def read(spark: SparkSession, path: str) -> str:

@@ -135,6 +135,7 @@ class VersionedTable:
         if self.log_root != self.root and not files.exists(self.spark, pointer):
             files.create(self.spark, pointer, files.absolute(self.spark, self.log_root))
         return {
+            "load": n,
             "root": files.absolute(self.spark, self.root),
             "mode": self.mode,
             "format": self.fmt,
@@ -153,6 +154,6 @@ class VersionedTable:
 
     def commit(self, entries: dict[str, dict]) -> int:
         """Make the written files of all parts visible in one step."""
-        n = self.version() + 1
+        (n,) = {entry["load"] for entry in entries.values()}
         files.create(self.spark, f"{self.log}/{n}.json", json.dumps(entries))
         return n
