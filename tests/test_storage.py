@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.sinks import read_history, stamp, write_output, write_scd
+from tidemark.operators import change_feed
+from tidemark.sinks import read_history, stamp, write_feed, write_output, write_scd
 from tidemark.sources import load_inputs, read_input
 from tidemark.tables import VersionedTable, files
 
@@ -255,3 +256,56 @@ def test_unknown_formats_and_locations(spark):
         load_inputs(spark, [{"format": "csv", "path": "x"}])
     with pytest.raises(ValueError, match="Neither"):
         read_input(spark, {"format": "csv"})
+
+
+# -- change feeds -----------------------------------------------------------------
+
+
+def test_feed_gives_what_a_snapshot_load_gives(spark, tmp_path, both_plans):
+    states = [
+        [(1, "a"), (2, "b"), (3, "c")],
+        [(1, "a"), (2, "B"), (4, "d")],
+        [(2, "B"), (3, "c"), (4, "D")],
+    ]
+    confs = {
+        how: {
+            "type": "scd4",
+            "primary_keys": ["id"],
+            "path": {p: str(tmp_path / how / p) for p in ("current", "history")},
+        }
+        for how in ("snapshot", "feed")
+    }
+    before = frame(spark, *states[0]).limit(0)
+    for moment, state in zip((T1, T2, T3), states):
+        now = frame(spark, *state)
+        write_scd(spark, now, confs["snapshot"], moment)
+        write_feed(spark, change_feed(before, now, ["id"]), confs["feed"], moment)
+        before = now
+    columns = ["id", "name", "start_date", "end_date", "hash_data"]
+    for part in ("current", "history"):
+        tables = [stored(spark, confs[how]["path"][part]) for how in ("snapshot", "feed")]
+        assert rows(tables[0], *columns) == rows(tables[1], *columns)
+
+
+def test_feed_between_two_stored_loads(spark, tmp_path):
+    conf = {"type": "scd1", "path": str(tmp_path / "t"), "primary_keys": ["id"]}
+    write_scd(spark, frame(spark, (1, "a"), (2, "b")), conf)
+    write_scd(spark, frame(spark, (2, "B"), (3, "c")), conf)
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    feed = change_feed(table.read(1), table.read(2), ["id"])
+    assert rows(feed, "id", "_change_type") == [
+        (2, "update_postimage"),
+        (2, "update_preimage"),
+        (3, "insert"),
+    ]
+
+
+def test_later_loads_write_few_files_per_partition(spark, tmp_path):
+    conf = {"path": str(tmp_path / "t"), "primary_keys": ["id"], "partition_by": ["data_date"]}
+    output = {"format": "delta", "scd": conf}
+    for day, moment in zip(("2024-01-01", "2024-01-02", "2024-01-03"), (T1, T2, T3)):
+        state = spark.range(moment.day * 1000).selectExpr("CAST(id AS INT) AS id", "'a' AS name")
+        write_output(spark, state.repartition(20), output, day, moment)
+    newest = tmp_path / "t" / "v=3" / "is_current=true"
+    found = {d.name: len(list(d.glob("*.parquet"))) for d in newest.iterdir() if "=" in d.name}
+    assert found == {f"data_date=2024-01-0{d}": 1 for d in (1, 2, 3)}

@@ -20,7 +20,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import scd as ops
-from ..operators.changes import CURRENT, duplicate_keys, require_columns
+from ..operators.changes import (
+    CHANGE_TYPE,
+    DELETE,
+    INSERT,
+    NEW,
+    POSTIMAGE,
+    PREIMAGE,
+    apply_change_feed,
+    duplicate_keys,
+    gone,
+    require_columns,
+    with_replacement,
+)
 from ..tables import APPEND, LEDGER, REPLACE, VersionedTable, files
 
 Conf = Mapping[str, Any]
@@ -91,41 +103,87 @@ def _load_scd1(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Col
 
 def _load_scd2(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
     table = VersionedTable(spark, _paths(spark, conf), LEDGER, _format(conf))
-    before = table.read()
-    if before is None:
+    opened = table.read_open()
+    if opened is None:
         load = ops.scd2_init(source, keys, as_of, **_options(conf))
     else:
         options = _options(conf, "insert_new", "expire_missing")
         null_safe = conf.get("null_safe_keys", False)
-        opened = before.where(F.col(CURRENT))
         load = ops.scd2_step(opened, source, keys, as_of, null_safe=null_safe, **options)
     return _finish(table, load, conf)
 
 
 def _load_scd4(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
-    paths = _paths(spark, conf)
-    if not isinstance(paths, Mapping) or not {"current", "history"} <= paths.keys():
-        raise ValueError("SCD type 4 needs a current and a history location")
-    fmt, split = _format(conf), conf.get("partition_by")
-    current = VersionedTable(spark, paths["current"], REPLACE, fmt, part="current")
-    # One commit file covers both tables, so they change together.
-    history = VersionedTable(
-        spark, paths["history"], APPEND, fmt, log=paths["current"], part="history"
-    )
-    before, options = current.read(), _options(conf)
+    pair = _Pair(spark, conf)
+    before, options = pair.current.read(), _options(conf)
     if before is None:
         state = ops.scd4_init(source, keys, as_of, **options)
-        archive = state if conf.get("seed_history", True) else state.limit(0)
-    else:
-        options["null_safe"] = conf.get("null_safe_keys", False)
-        state = ops.scd4_current(before, source, keys, as_of, **options)
-        archive = ops.scd4_history(before, source, keys, as_of, **options)
-    entries = {"history": history.write(archive, split), "current": current.write(state, split)}
-    number = current.commit(entries)
-    if conf.get("table"):
-        current.publish(conf["table"]["current"])
-        history.publish(conf["table"]["history"])
-    return number
+        return pair.commit(state, state if conf.get("seed_history", True) else state.limit(0))
+    options["null_safe"] = conf.get("null_safe_keys", False)
+    return pair.commit(
+        ops.scd4_current(before, source, keys, as_of, **options),
+        ops.scd4_history(before, source, keys, as_of, **options),
+    )
+
+
+def write_feed(
+    spark: SparkSession, feed: DataFrame, conf: Conf, as_of: dt.datetime | Column | None = None
+) -> int:
+    """Apply a change feed to a stored type 4 dimension and return the load's
+    number. The first feed sets the dimension up from its new images.
+
+    The feed is read several times, so it should be stored or cheap.
+    """
+    pair, keys = _Pair(spark, conf), conf["primary_keys"]
+    require_columns(feed, keys)
+    moment = as_of if isinstance(as_of, Column) else F.lit(as_of or dt.datetime.now())
+    images = feed.where(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).drop(CHANGE_TYPE)
+    opened = ops.scd4_init(images, keys, moment, **_options(conf))
+    before = pair.current.read()
+    if before is None:
+        return pair.commit(opened, opened)
+    null_safe = conf.get("null_safe_keys", False)
+    tagged = opened.withColumn(CHANGE_TYPE, F.lit(POSTIMAGE))
+    out = feed.where(F.col(CHANGE_TYPE).isin(DELETE, PREIMAGE)).select(*keys)
+    closed = with_replacement(before, out.distinct(), keys, keys, null_safe).where(~gone())
+    removed = closed.drop(NEW).withColumn(CHANGE_TYPE, F.lit(DELETE))
+    state, past = apply_change_feed(
+        before,
+        before.limit(0),
+        tagged.unionByName(removed, allowMissingColumns=True),
+        keys,
+        moment,
+        null_safe,
+    )
+    return pair.commit(state, past)
+
+
+class _Pair:
+    """The two tables of a type 4 dimension. One commit file covers both, so they
+    change together."""
+
+    def __init__(self, spark: SparkSession, conf: Conf):
+        paths = _paths(spark, conf)
+        if not isinstance(paths, Mapping) or not {"current", "history"} <= paths.keys():
+            raise ValueError("SCD type 4 needs a current and a history location")
+        self.conf, now = conf, paths["current"]
+        self.current = VersionedTable(spark, now, REPLACE, _format(conf), part="current")
+        self.history = VersionedTable(
+            spark, paths["history"], APPEND, _format(conf), log=now, part="history"
+        )
+
+    def commit(self, state: DataFrame, archive: DataFrame) -> int:
+        split, names = self.conf.get("partition_by"), self.conf.get("table")
+        number = self.current.commit(
+            {
+                "history": self.history.write(archive, split),
+                "current": self.current.write(state, split),
+            }
+        )
+        if names:
+            self.current.publish(names["current"])
+            self.history.publish(names["history"])
+        return number
 
 
 def read_history(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame | None:

@@ -61,7 +61,9 @@ class VersionedTable:
         """The table kept in a directory, if one is."""
         pointer = f"{root.rstrip('/')}/{_POINTER}"
         log = files.read(spark, pointer) if files.exists(spark, pointer) else root
-        commit = cls(spark, root, log=log).commit_info() or {}
+        newest = cls(spark, root, log=log)
+        n = newest.version()
+        commit = json.loads(files.read(spark, f"{newest.log}/{n}.json")) if n else {}
         for part, info in commit.items():
             if info["root"] == files.absolute(spark, root):
                 return cls(spark, root, info["mode"], info["format"], log, part)
@@ -74,28 +76,34 @@ class VersionedTable:
         loads = [n.removesuffix(".json") for n in files.names(self.spark, self.log)]
         return max((int(n) for n in loads if n.isdigit()), default=0)
 
-    def commit_info(self) -> dict | None:
+    def read(self, load: int | None = None) -> DataFrame | None:
+        """The table as of a committed load, the newest unless given."""
+        n = load or self.version()
+        info = self._info(n)
+        if info is None:
+            return None
+        if self.mode == REPLACE:
+            return self._files(info, f"v={n}").drop("v")
+        df = self._files(info).where(F.col("v") <= n)
+        return (df.where(self._visible(n)) if self.mode == LEDGER else df).drop("v")
+
+    def read_open(self) -> DataFrame | None:
+        """Current rows of a ledger. Looks into the newest load's directory only,
+        however many loads came before."""
         n = self.version()
-        return json.loads(files.read(self.spark, f"{self.log}/{n}.json")) if n else None
+        info = self._info(n)
+        return info and self._files(info, f"v={n}").where(F.col(CURRENT)).drop("v")
 
-    def read(self) -> DataFrame | None:
-        """The table as of the newest committed load."""
-        commit = self.commit_info()
-        if commit is None or self.part not in commit:
-            return None
-        info = commit[self.part]
-        return self._scan(info, self.version())
+    def _info(self, n: int) -> dict | None:
+        commit = json.loads(files.read(self.spark, f"{self.log}/{n}.json")) if n else {}
+        return commit.get(self.part)
 
-    def _scan(self, info: dict, n: int) -> DataFrame:
-        schema = T.StructType.fromJson(info["schema"])
-        reader = self.spark.read.format(info["format"])
-        if self.mode == REPLACE:
-            return reader.schema(schema).load(f"{self.root}/v={n}")
-        whole = reader.schema(T.StructType([*schema.fields, T.StructField("v", T.IntegerType())]))
-        df = whole.load(self.root).where(F.col("v") <= n)
-        if self.mode == LEDGER:
-            df = df.where(self._visible(n))
-        return df.drop("v")
+    def _files(self, info: dict, below: str = "") -> DataFrame:
+        """Rows with their load ``v``. The schema is known, so no file is opened
+        to find it, and columns that older files lack are NULL."""
+        schema = T.StructType.fromJson(info["schema"]).add("v", T.IntegerType())
+        reader = self.spark.read.format(info["format"]).schema(schema)
+        return reader.option("basePath", self.root).load(f"{self.root}/{below}")
 
     @staticmethod
     def _visible(n: int) -> Column:
@@ -103,7 +111,8 @@ class VersionedTable:
 
     def publish(self, name: str) -> None:
         """Make the newest load readable under a name of the catalog."""
-        n, info = self.version(), self.commit_info()[self.part]
+        n = self.version()
+        info = self._info(n)
         columns = ", ".join(
             f"CAST(`{f['name']}` AS {T.StructField.fromJson(f).dataType.simpleString()}) "
             f"AS `{f['name']}`"
@@ -126,7 +135,13 @@ class VersionedTable:
         """Write the next load's files. Returns its commit entry; nothing is
         visible before :meth:`commit`."""
         n = self.version() + 1
-        split = [CURRENT, *(partition_by or [])] if self.mode == LEDGER else (partition_by or [])
+        split = list(partition_by or [])
+        if split and n > 1:
+            # Rows kept from earlier loads lie in many partitions. Without this
+            # each task would write a small file into each of them.
+            df = df.hint("rebalance", *[F.col(c) for c in split])
+        if self.mode == LEDGER:
+            split = [CURRENT, *split]
         writer = df.write.format(self.fmt).mode("overwrite")
         if split:
             writer = writer.partitionBy(*split)
@@ -144,13 +159,13 @@ class VersionedTable:
 
     def _schema_with(self, df: DataFrame) -> T.StructType:
         """Columns of earlier loads stay readable beside new ones."""
-        commit = self.commit_info()
         fields = [T.StructField(f.name, f.dataType) for f in df.schema]
-        if self.mode == REPLACE or not commit or self.part not in commit:
+        before = None if self.mode == REPLACE else self._info(self.version())
+        if before is None:
             return T.StructType(fields)
         new = {f.name.lower() for f in fields}
-        before = T.StructType.fromJson(commit[self.part]["schema"]).fields
-        return T.StructType([*fields, *[f for f in before if f.name.lower() not in new]])
+        old = T.StructType.fromJson(before["schema"]).fields
+        return T.StructType([*fields, *[f for f in old if f.name.lower() not in new]])
 
     def commit(self, entries: dict[str, dict]) -> int:
         """Make the written files of all parts visible in one step."""

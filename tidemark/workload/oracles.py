@@ -317,6 +317,11 @@ ORACLES["change_feed_history"] = f"""{_BOOKS}
     SELECT {BOOK_COLUMNS}, {_at(DAY2)} FROM ({_FEED})
     WHERE _change_type IN ('delete', 'update_preimage')"""
 
+ORACLES["change_feed_stored"] = f"""{_BOOKS},
+    current AS ({ORACLES["scd4_current"].removeprefix(_BOOKS)}),
+    history AS ({ORACLES["scd4_history"].removeprefix(_BOOKS)})
+    SELECT *, 'current' AS part FROM current UNION ALL SELECT *, 'history' FROM history"""
+
 # -- readiness ----------------------------------------------------------------
 
 ORACLES["gate_dependencies"] = """

@@ -21,7 +21,7 @@ from ..plans import monthly, orders as reports
 from ..plans.readiness import blocked_dependencies, input_readiness
 from ..plans.registry import registry
 from ..plans.runner import run
-from ..sinks.writers import write_output
+from ..sinks import write_feed, write_output, write_scd
 from ..sources.inputs import read_input
 from ..tables.files import scratch_dir
 from . import tables as t
@@ -510,6 +510,26 @@ def change_feed_history(spark, sf_dir):
     return _applied(spark, sf_dir)[1]
 
 
+@query
+def change_feed_stored(spark, sf_dir):
+    """A first load, then a feed, into a stored pair of tables."""
+    old, new, _ = _books(spark, sf_dir)
+    base = scratch_dir(spark)
+    paths = {"current": f"{base}/current", "history": f"{base}/history"}
+    conf = {"type": "scd4", "path": paths, "primary_keys": ORDER_KEY}
+    write_scd(spark, old, conf, instant(LOAD_DAYS[0]))
+    feed = {"format": "parquet", "path": f"{base}/feed"}
+    write_output(spark, changes.change_feed(old, new, ORDER_KEY), feed)
+    write_feed(spark, read_input(spark, feed), conf, instant(LOAD_DAYS[1]))
+    current = read_input(spark, {"format": "delta", "path": paths["current"]})
+    history = read_input(spark, {"format": "delta", "path": paths["history"]})
+    return (
+        current.withColumn("part", F.lit("current"))
+        .unionByName(history.withColumn("part", F.lit("history")))
+        .drop(HASH)
+    )
+
+
 # -- readiness ----------------------------------------------------------------
 
 
