@@ -329,8 +329,8 @@ def products_above_avg(spark, sf_dir):
 def _loan_summary(spark, sf_dir, fan_out):
     window = month_window(DATA_DATE)
     return monthly.loan_summary(
-        t.loans(spark, sf_dir),
-        t.loan_payments(spark, sf_dir),
+        t.loans(table(spark, sf_dir, "orders")),
+        t.loan_payments(table(spark, sf_dir, "lineitem")),
         window.first_day,
         window.last_day,
         fan_out,
@@ -362,7 +362,8 @@ def monthly_customer_loans(spark, sf_dir):
 
 
 def _books(spark, sf_dir):
-    return [t.order_book(spark, sf_dir, day) for day in LOAD_DAYS]
+    orders = table(spark, sf_dir, "orders")
+    return [t.order_book(orders, day) for day in LOAD_DAYS]
 
 
 @query

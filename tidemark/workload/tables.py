@@ -27,7 +27,7 @@ def instant(day: str) -> Column:
     return F.lit(day).cast("timestamp_ntz")
 
 
-def order_book(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
+def order_book(orders: DataFrame, day: str) -> DataFrame:
     """Orders as they stood on a day: not yet placed ones are missing, those
     older than six years are purged, and the others age through three stages.
     The settlement day is unknown until an order is settled."""
@@ -36,12 +36,10 @@ def order_book(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
     age = F.date_diff(today, placed.cast("date"))
     settled = age > 120
     return (
-        table(spark, sf_dir, "orders")
-        .where(
+        orders.where(
             (placed < F.date_add(today, 1).cast("timestamp_ntz"))
             & (placed >= F.add_months(today, -72).cast("timestamp_ntz"))
-        )
-        .select(
+        ).select(
             "o_orderkey",
             "o_custkey",
             "o_orderpriority",
@@ -101,14 +99,14 @@ def report_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             F.col("l_partkey").alias("ServiceID"),
             money("l_extendedprice").alias("Amount"),
         ),
-        "loans": loans(spark, sf_dir),
-        "loan_payments": loan_payments(spark, sf_dir),
+        "loans": loans(orders),
+        "loan_payments": loan_payments(lineitem),
     }
 
 
-def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loans(orders: DataFrame) -> DataFrame:
     """Each order as a loan; the digit of its priority is the rate."""
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         F.col("o_orderkey").alias("LoanID"),
         F.col("o_custkey").alias("CustomerID"),
         money("o_totalprice").alias("LoanAmount"),
@@ -117,8 +115,8 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def loan_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+def loan_payments(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
         F.col("l_orderkey").alias("LoanID"),
         F.col("l_shipdate").alias("PaymentDate"),
         money("l_extendedprice").alias("PaymentAmount"),
@@ -139,11 +137,19 @@ def shipping_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("ShippingCity")
     )
-    shipped = join_using(lines, suppliers, ["l_suppkey"], spread="left")
+    # An order's set holds each nation once, so however many lines an order has,
+    # what shuffles and joins for it is a short list.
+    shipped = (
+        join_using(lines, suppliers, ["l_suppkey"], spread="left")
+        .groupBy("l_orderkey")
+        .agg(F.collect_set("ShippingCity").alias("cities"))
+    )
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("CustomerID")
     )
-    return shipped.join(orders, "l_orderkey").select("CustomerID", "ShippingCity")
+    return shipped.join(orders, "l_orderkey").select(
+        "CustomerID", F.explode("cities").alias("ShippingCity")
+    )
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
