@@ -24,8 +24,10 @@ from tidemark.plans import (
     require,
     require_ready,
     run,
+    run_report,
 )
 from tidemark.plans.monthly import INPUTS
+from tidemark.sources import read_input
 
 DAY = dt.date
 
@@ -256,8 +258,6 @@ def test_configured_job(spark, tmp_path):
     path = tmp_path / "job.json"
     path.write_text(json.dumps(config))
     assert rows(run(spark, path, "2024-01-05")) == [("a", 11), ("b", None)]
-    from tidemark.sources import read_input
-
     stored = read_input(spark, {"format": "delta", "path": str(tmp_path / "out")})
     assert rows(stored) == [("a", 11, DAY(2024, 1, 5)), ("b", None, DAY(2024, 1, 5))]
 
@@ -285,6 +285,49 @@ def test_wrong_jobs(spark, tmp_path):
         require({}, ["a"])
 
 
+def test_report_job_from_csv(spark, tmp_path):
+    data, frames = report_frames(spark, 1)
+    for name, df in frames.items():
+        df.write.csv(str(tmp_path / name), header=True)
+    option = {"header": True, "inferSchema": True}
+    config = {
+        "master": "local",
+        "input": [
+            {"format": "csv", "df_name": n, "table": str(tmp_path / n), "isCache": True,
+             "persistentLevel": "MEMORY_ONLY", "option": option}
+            for n in frames
+        ],
+        "outputs": {"dataframe": "report", "format": "csv", "scd": {
+            "type": "scd4", "partition_by": ["data_date"],
+            "primary_keys": ["CustomerID", "BranchName", "Balance", "ServiceName"],
+            "path": {p: str(tmp_path / "out" / p) for p in ("current", "history")}}},
+    }
+    run_report(spark, "monthly_customer_report", config, "2024-01-05")
+    stored = read_input(spark, {"format": "delta", "path": str(tmp_path / "out" / "current")})
+    expected = report_by_hand(data)
+    assert rows(stored, *monthly_customer_report(frames, "2024-01-05").columns) == expected
+    assert rows(stored.select("data_date").distinct()) == [(DAY(2024, 1, 5),)]
+    with pytest.raises(ValueError, match="Unknown report"):
+        run_report(spark, "nope", config, "2024-01-05")
+
+
+def test_value_range_job(spark, tmp_path):
+    spark.createDataFrame([(1,), (2,)], "OrderID int").write.parquet(str(tmp_path / "o"))
+    spark.createDataFrame([(1, 15, 100.0), (2, 1, 1.0)], "OrderID int, Quantity int, UnitPrice double").write.parquet(
+        str(tmp_path / "d")
+    )
+    config = {
+        "input": [{"name": "orders_df", "format": "delta", "table": str(tmp_path / "o")},
+                  {"name": "order_details_df", "format": "delta", "table": str(tmp_path / "d")}],
+        "outputs": {"format": "delta", "scd": {
+            "path": str(tmp_path / "out"), "primary_keys": ["OrderID"]}},
+    }
+    run_report(spark, "orders_in_value_range", config, "2024-01-05")
+    run_report(spark, "orders_in_value_range", config, "2024-01-06")
+    stored = read_input(spark, {"format": "delta", "path": str(tmp_path / "out")})
+    assert rows(stored, "OrderID", "TotalOrderValue", "is_current") == [(1, 1500.0, True)]
+
+
 # -- readiness --------------------------------------------------------------------
 
 

@@ -8,9 +8,11 @@ from .orders import (
 )
 from .readiness import blocked_dependencies, input_readiness, missing_inputs, require_ready
 from .registry import Registry, registry
+from .reports import REPORTS, run_report
 from .runner import apply_steps, read_config, require, run
 
 __all__ = [
+    "REPORTS",
     "Registry",
     "apply_steps",
     "blocked_dependencies",
@@ -28,5 +30,6 @@ __all__ = [
     "require",
     "require_ready",
     "run",
+    "run_report",
     "service_activity",
 ]

@@ -65,16 +65,18 @@ def run(
     transform: Callable[[Frames], DataFrame] | None = None,
     as_of: dt.datetime | Column | None = None,
 ) -> DataFrame:
-    """Run one job and return the frame it wrote.
+    """Run one job and return its result, which is also written if the
+    configuration has an output.
 
     ``transform`` gets the frames by name and gives the result; without one the
-    configured steps run.
+    configured steps run. Cached inputs are released once the output is written.
     """
     conf = read_config(config)
     entries = conf.get("input") or []
     if isinstance(entries, Mapping):
         entries = [{"name": "input", **entries}]
-    frames = apply_steps(load_inputs(spark, entries), conf.get("transformation") or [])
+    inputs = load_inputs(spark, entries)
+    frames = apply_steps(inputs, conf.get("transformation") or [])
     if transform is not None:
         frames["result"] = transform(frames)
     output = conf.get("outputs") or conf.get("output")
@@ -82,4 +84,7 @@ def run(
     (df,) = require(frames, [name or "result"])
     if output:
         write_output(spark, df, output, data_date, as_of)
+        for cached in inputs.values():
+            if cached.is_cached:
+                cached.unpersist()
     return df
