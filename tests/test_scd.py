@@ -248,6 +248,25 @@ def test_scd2_invariants_over_random_loads(spark):
             assert before[3] == after[2] and before[1] != after[1]
 
 
+def test_reserved_column_names_are_rejected(spark):
+    loans = frame(spark, (1, T1), schema="id int, Start_Date timestamp")
+    with pytest.raises(ValueError, match="Start_Date"):
+        scd2_merge(None, loans, ["id"], at(T1))
+    first = scd2_init(loans.select("id"), ["id"], at(T1))
+    for load in (scd2_merge, scd4_current, scd4_history):
+        with pytest.raises(ValueError, match="Start_Date"):
+            load(first, loans, ["id"], at(T2))
+
+
+def test_column_names_differ_in_case(spark, old):
+    first = scd2_init(old.where("id > 0"), ["id"], at(T1))
+    loud = frame(spark, (1, "a", 1.0), (2, "B", 2.0), schema="ID int, NAME string, Amount double")
+    second = scd2_merge(first, loud, ["Id"], at(T2))
+    assert second.columns == first.columns
+    assert rows(second.where("id = 2"), "name", "is_current") == [("B", True), ("b", False)]
+    assert rows(second.where("id = 1"), "start_date") == [(T1,)]
+
+
 # -- type 4 -------------------------------------------------------------------
 
 

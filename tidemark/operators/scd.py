@@ -38,6 +38,14 @@ def _never(as_of: Column) -> Column:
     return F.nullif(as_of, as_of)
 
 
+def _check_source(source: DataFrame, keys: Sequence[str]) -> None:
+    """A source column with a bookkeeping name would be lost without a word."""
+    require_columns(source, keys)
+    taken = [c for c in source.columns if c.lower() in AUDIT]
+    if taken:
+        raise ValueError(f"Source columns with reserved names: {taken}")
+
+
 def _opened(df: DataFrame, as_of: Column) -> DataFrame:
     return df.withColumns({START: as_of, END: _never(as_of), CURRENT: F.lit(True)})
 
@@ -87,7 +95,7 @@ def scd2_init(
     hash: str = "exact",
 ) -> DataFrame:
     """First load: every source row is the open version of its key."""
-    require_columns(source, keys)
+    _check_source(source, keys)
     value = content_hash(attribute_fields(source, keys, ignore), hash)
     return _opened(source, as_of).withColumn(HASH, value)
 
@@ -109,6 +117,7 @@ def scd2_step(
     A key the target has never had opens a version unless ``insert_new`` is off;
     a key the source lacks stays open unless ``expire_missing`` is on.
     """
+    _check_source(source, keys)
     opened, source = hashed_pair(opened, source, keys, ignore, hash)
     columns = [c for c in opened.columns if c not in AUDIT]
     supplied = {c.lower(): c for c in source.columns if c not in AUDIT}
@@ -191,6 +200,7 @@ def scd4_history(
 ) -> DataFrame:
     """Rows a load appends to the history: current rows that the source deletes
     or updates, closed at ``as_of``. Of the source only keys and hash move."""
+    _check_source(source, keys)
     current, source = hashed_pair(current, source, keys, ignore, hash)
     pairs = with_replacement(current, source, keys, [HASH], null_safe)
     return pairs.where(gone() | differs()).drop(NEW).withColumn(END, as_of)
@@ -207,6 +217,7 @@ def scd4_current(
 ) -> DataFrame:
     """The current table after a load: the source itself. An unchanged row keeps
     its ``start_date``. Of the old table only keys, hash and that date move."""
+    _check_source(source, keys)
     current, source = hashed_pair(current, source, keys, ignore, hash)
     pairs = with_replacement(source, current, keys, [HASH, START], null_safe)
     kept = F.coalesce(F.col(HASH) == F.col(f"{NEW}.{HASH}"), F.lit(False))
