@@ -126,6 +126,47 @@ def test_named_tables_are_views(spark, tmp_path):
     spark.sql("DROP VIEW dim_a")
 
 
+def test_named_table_with_a_new_column(spark, tmp_path):
+    conf = {"table": "dim_b", "path": str(tmp_path / "t"), "primary_keys": ["id"]}
+    write_scd(spark, frame(spark, (1, "a")), conf, T1)
+    write_scd(spark, frame(spark, (1, "a", 5), schema="id int, name string, n int"), conf, T2)
+    assert rows(spark.table("dim_b"), "name", "n", "is_current") == [("a", None, False), ("a", 5, True)]
+    spark.sql("DROP VIEW dim_b")
+
+
+def test_partition_columns_cannot_change(spark, tmp_path):
+    conf = {"path": str(tmp_path / "t"), "primary_keys": ["id"]}
+    write_scd(spark, frame(spark, (1, "a")), conf, T1)
+    with pytest.raises(ValueError, match="cannot change"):
+        write_scd(spark, frame(spark, (1, "b")), {**conf, "partition_by": ["name"]}, T2)
+    assert rows(stored(spark, tmp_path / "t"), "name") == [("a",)]
+
+
+def test_another_hash_is_no_change(spark, tmp_path):
+    for kind in ("scd2", "scd4"):
+        paths = {p: str(tmp_path / kind / p) for p in ("current", "history")}
+        path = paths if kind == "scd4" else paths["current"]
+        conf = {"type": kind, "path": path, "primary_keys": ["id"]}
+        wide = "id int, name string, n int"
+        write_scd(spark, frame(spark, (1, "a", 1), (2, "b", 2), schema=wide), conf, T1)
+        write_scd(spark, frame(spark, (1, "a", 1), (2, "b", 3), schema=wide), {**conf, "hash": "concat"}, T2)
+        now = stored(spark, paths["current"]).where("end_date IS NULL")
+        assert rows(now, "id", "start_date") == [(1, T1), (2, T2)]
+
+
+def test_what_a_dead_load_left_does_not_come_back(spark, tmp_path):
+    conf = {"path": str(tmp_path / "t"), "primary_keys": ["id"], "partition_by": ["name"]}
+    write_scd(spark, frame(spark, (1, "a")), conf, T1)
+    table = VersionedTable(spark, str(tmp_path / "t"), "ledger")
+    table.write(table.read().withColumn("name", F.lit("left over")), ["name"])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_scd(spark, frame(spark, (1, "a"), (2, "b")), conf, T2)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert rows(stored(spark, tmp_path / "t"), "id", "name") == [(1, "a"), (2, "b")]
+
+
 def test_named_table_without_a_path(spark):
     conf = {
         "type": "scd4",

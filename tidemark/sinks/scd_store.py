@@ -23,11 +23,13 @@ from ..operators import scd as ops
 from ..operators.changes import (
     CHANGE_TYPE,
     DELETE,
+    HASH,
     INSERT,
     NEW,
     POSTIMAGE,
     PREIMAGE,
     apply_change_feed,
+    attribute_fields,
     duplicate_keys,
     gone,
     require_columns,
@@ -88,8 +90,24 @@ def _options(conf: Conf, *extra: str) -> dict[str, Any]:
     return {**options, "ignore": conf.get("partition_by", [])}
 
 
-def _finish(table: VersionedTable, df: DataFrame, conf: Conf) -> int:
-    number = table.commit({table.part: table.write(df, conf.get("partition_by"))})
+def _basis(source: DataFrame, conf: Conf) -> list[Any]:
+    """What ``hash_data`` is taken over."""
+    fields = attribute_fields(source, conf["primary_keys"], conf.get("partition_by", []))
+    return [conf.get("hash", "exact"), sorted(f.name.lower() for f in fields)]
+
+
+def _comparable(stored: DataFrame | None, table: VersionedTable, source: DataFrame, conf: Conf):
+    """Stored rows, without their hashes if these were taken over something else."""
+    if stored is None or table.notes().get("hashed") == _basis(source, conf):
+        return stored
+    return stored.drop(HASH)
+
+
+def _finish(
+    table: VersionedTable, df: DataFrame, conf: Conf, hashed: list[Any] | None = None
+) -> int:
+    entry = table.write(df, conf.get("partition_by"), hashed=hashed)
+    number = table.commit({table.part: entry})
     if conf.get("table"):
         table.publish(conf["table"])
     return number
@@ -103,19 +121,19 @@ def _load_scd1(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Col
 
 def _load_scd2(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
     table = VersionedTable(spark, _paths(spark, conf), LEDGER, _format(conf))
-    opened = table.read_open()
+    opened = _comparable(table.read_open(), table, source, conf)
     if opened is None:
         load = ops.scd2_init(source, keys, as_of, **_options(conf))
     else:
         options = _options(conf, "insert_new", "expire_missing")
         null_safe = conf.get("null_safe_keys", False)
         load = ops.scd2_step(opened, source, keys, as_of, null_safe=null_safe, **options)
-    return _finish(table, load, conf)
+    return _finish(table, load, conf, _basis(source, conf))
 
 
 def _load_scd4(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
-    pair = _Pair(spark, conf)
-    before, options = pair.current.read(), _options(conf)
+    pair, options = _Pair(spark, conf, source), _options(conf)
+    before = pair.before()
     if before is None:
         state = ops.scd4_init(source, keys, as_of, **options)
         return pair.commit(state, state if conf.get("seed_history", True) else state.limit(0))
@@ -134,7 +152,7 @@ def write_feed(
 
     The feed is read several times, so it should be stored or cheap.
     """
-    pair, keys = _Pair(spark, conf), conf["primary_keys"]
+    pair, keys = _Pair(spark, conf, feed), conf["primary_keys"]
     require_columns(feed, keys)
     moment = as_of if isinstance(as_of, Column) else F.lit(as_of or dt.datetime.now())
     images = feed.where(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).drop(CHANGE_TYPE)
@@ -162,22 +180,26 @@ class _Pair:
     """The two tables of a type 4 dimension. One commit file covers both, so they
     change together."""
 
-    def __init__(self, spark: SparkSession, conf: Conf):
+    def __init__(self, spark: SparkSession, conf: Conf, source: DataFrame):
         paths = _paths(spark, conf)
         if not isinstance(paths, Mapping) or not {"current", "history"} <= paths.keys():
             raise ValueError("SCD type 4 needs a current and a history location")
-        self.conf, now = conf, paths["current"]
+        self.conf, self.source, now = conf, source, paths["current"]
         self.current = VersionedTable(spark, now, REPLACE, _format(conf), part="current")
         self.history = VersionedTable(
             spark, paths["history"], APPEND, _format(conf), log=now, part="history"
         )
 
+    def before(self) -> DataFrame | None:
+        return _comparable(self.current.read(), self.current, self.source, self.conf)
+
     def commit(self, state: DataFrame, archive: DataFrame) -> int:
         split, names = self.conf.get("partition_by"), self.conf.get("table")
+        basis = _basis(self.source, self.conf)
         number = self.current.commit(
             {
                 "history": self.history.write(archive, split),
-                "current": self.current.write(state, split),
+                "current": self.current.write(state, split, hashed=basis),
             }
         )
         if names:

@@ -18,6 +18,8 @@ How loads make up the table:
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,7 +96,11 @@ class VersionedTable:
         info = self._info(n)
         return info and self._files(info, f"v={n}").where(F.col(CURRENT)).drop("v")
 
-    def _info(self, n: int) -> dict | None:
+    def notes(self) -> dict[str, Any]:
+        """The newest load's commit entry."""
+        return self._info(self.version()) or {}
+
+    def _info(self, n: int) -> dict[str, Any] | None:
         commit = json.loads(files.read(self.spark, f"{self.log}/{n}.json")) if n else {}
         return commit.get(self.part)
 
@@ -119,32 +125,36 @@ class VersionedTable:
             for f in info["schema"]["fields"]
         )
         root = files.absolute(self.spark, self.root)
-        shown = {
-            REPLACE: f"v = {n}",
-            APPEND: f"v <= {n}",
-            LEDGER: f"v <= {n} AND (v = {n} OR NOT CAST({CURRENT} AS BOOLEAN))",
-        }[self.mode]
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {name} AS "
-            f"SELECT {columns} FROM {info['format']}.`{root}` WHERE {shown}"
-        )
+        if self.mode == REPLACE:
+            rows = f"{info['format']}.`{root}/v={n}`"
+        else:
+            # Loads may differ in their columns, which SQL finds in the files only.
+            rows = f"{info['format']}.`{root}` WITH ('mergeSchema' = 'true') WHERE v <= {n}"
+        if self.mode == LEDGER:
+            rows += f" AND (v = {n} OR NOT CAST({CURRENT} AS BOOLEAN))"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {rows}")
 
     # -- change -------------------------------------------------------------
 
-    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> dict:
-        """Write the next load's files. Returns its commit entry; nothing is
-        visible before :meth:`commit`."""
+    def write(
+        self, df: DataFrame, partition_by: Sequence[str] | None = None, **notes: Any
+    ) -> dict[str, Any]:
+        """Write the next load's files. Returns its commit entry, with ``notes``;
+        nothing is visible before :meth:`commit`."""
         n = self.version() + 1
         split = list(partition_by or [])
+        if self.mode != REPLACE and n > 1 and split != self.notes().get("partition_by", split):
+            raise ValueError(f"Partition columns of {self.root} cannot change")
         if split and n > 1:
             # Rows kept from earlier loads lie in many partitions. Without this
             # each task would write a small file into each of them.
             df = df.hint("rebalance", *[F.col(c) for c in split])
-        if self.mode == LEDGER:
-            split = [CURRENT, *split]
+        folders = [CURRENT, *split] if self.mode == LEDGER else split
+        # Whatever an attempt that died has left there goes away as a whole.
         writer = df.write.format(self.fmt).mode("overwrite")
-        if split:
-            writer = writer.partitionBy(*split)
+        writer = writer.option("partitionOverwriteMode", "static")
+        if folders:
+            writer = writer.partitionBy(*folders)
         writer.save(f"{self.root}/v={n}")
         pointer = f"{self.root}/{_POINTER}"
         if self.log_root != self.root and not files.exists(self.spark, pointer):
@@ -154,7 +164,9 @@ class VersionedTable:
             "root": files.absolute(self.spark, self.root),
             "mode": self.mode,
             "format": self.fmt,
+            "partition_by": split,
             "schema": self._schema_with(df).jsonValue(),
+            **notes,
         }
 
     def _schema_with(self, df: DataFrame) -> T.StructType:
