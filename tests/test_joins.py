@@ -1,12 +1,12 @@
 from __future__ import annotations
 
 import itertools
+import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
-from tidemark.operators.joins import _hot_keys, join_on, join_using
+from tidemark.operators.joins import _hot_slots, _slot, join_on, join_using
 
 # Key 7 holds most rows of the left, key 8 most rows of the right.
 LEFT = (
@@ -71,17 +71,28 @@ def test_join_using_equals_spark(spark, both_plans, how, spread):
     assert rows(ours) == rows(theirs)
 
 
-def test_hot_keys_are_found_and_spread(spark, both_plans):
-    left, right = sides(spark)
-    left = left.unionByName(left.withColumn("l", F.col("l") + 10000))
-    hot = spark.range(1).select(_hot_keys(left, ["a"]).alias("h")).first()["h"]
-    expected = spark.range(1).select(F.xxhash64(F.lit(7)).alias("h")).first()["h"]
-    assert expected in hot
-    joined = join_on(left, right, ["a"], "inner", "left")
-    if both_plans == "shuffle":
-        parts = joined.where("df1.a = 7").groupBy(F.spark_partition_id()).count().count()
-        plan = joined._jdf.queryExecution().optimizedPlan().toString()
-        assert "__salt" in plan and parts > 0
+def test_hot_slots(spark):
+    left, _ = sides(spark)
+    found = spark.range(1).select(_hot_slots(left, ["a"]).alias("h")).first()["h"]
+    expected = left.groupBy(_slot(["a"]).alias("s")).count().where("count * 64 > 191").select("s")
+    assert len(LEFT) == 191 and found == sorted(r["s"] for r in expected.collect())
+    assert left.where("a = 7").select(_slot(["a"])).first()[0] in found
+    assert spark.range(1).select(_hot_slots(left.limit(0), ["a"]).alias("h")).first()["h"] == []
+
+
+def test_both_sides_use_one_list(spark):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        left, right = sides(spark)
+        joined = join_on(left, right, ["a"], "full", "left")
+        joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(threshold, before)
+    assert len(set(re.findall(r"array_contains\((?:Reused)?Subquery (\S+),", plan))) <= 2
+    assert "__salt" in plan
 
 
 def test_self_join_keeps_both_sides(spark, both_plans):
@@ -90,6 +101,33 @@ def test_self_join_keeps_both_sides(spark, both_plans):
     assert rows(full) == rows(join_on(left, left, ["a", "b"], "full"))
 
 
+@pytest.mark.parametrize("spread", ["left", "right"])
+@pytest.mark.parametrize("how", ["inner", "full", "anti"])
+@pytest.mark.parametrize(
+    "left_key, right_key",
+    [
+        ("CAST(id % 3 AS INT)", "CAST(id AS BIGINT)"),
+        ("CAST(id % 3 AS STRING)", "CAST(id AS INT)"),
+        ("IF(id % 3 = 0, -0.0D, id)", "IF(id = 1, 0.0D, id)"),
+        ("IF(id % 3 = 0, DOUBLE('NaN'), id)", "IF(id = 1, DOUBLE('NaN'), id)"),
+        ("IF(id % 3 = 0, 'x', 'y') COLLATE UTF8_LCASE", "IF(id = 1, 'X', 'z') COLLATE UTF8_LCASE"),
+        ("CAST(id % 3 AS DECIMAL(9,2))", "CAST(id AS DECIMAL(12,4))"),
+        ("named_struct('a', id % 3)", "named_struct('a', id)"),
+    ],
+)
+def test_hot_keys_of_all_types(spark, left_key, right_key, how, spread):
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        left = spark.range(60).selectExpr(f"{left_key} AS k", "id AS l")
+        right = spark.range(6).selectExpr(f"{right_key} AS k", "id AS r")
+        ours, plain = (rows(join_on(left, right, ["k"], how, s)) for s in (spread, None))
+    finally:
+        spark.conf.set(threshold, before)
+    assert [tuple(map(str, r)) for r in ours] == [tuple(map(str, r)) for r in plain]
+
+
 def test_long_names_of_join_types(spark):
     left, right = sides(spark)
     assert join_on(left, right, ["a"], "left_outer").count() == len(brute(["a"], "left"))

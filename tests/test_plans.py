@@ -153,17 +153,19 @@ def report_frames(spark, seed):
     return data, frames
 
 
-def report_by_hand(data):
+def report_by_hand(data, all_branches=False, fan_out=False):
     """The report row by row, joining everything with everything."""
     prev, m0, m1 = DAY(2024, 1, 4), DAY(2024, 1, 1), DAY(2024, 1, 31)
-    paid = {}
+    paid, times = {}, {}
     for loan, day, amount in data["loan_payments"]:
-        if amount > 0 and m0 <= day <= m1:
-            paid[loan] = paid.get(loan, 0) + amount
+        if amount > 0:
+            times[loan] = times.get(loan, 0) + 1
+            paid[loan] = paid.get(loan, 0) + (amount if m0 <= day <= m1 else 0)
     owed = {}
     for loan, customer, amount, rate, day in data["loans"]:
         if amount > 5000 and m0 <= day <= prev and customer is not None:
-            owed.setdefault(customer, []).append((amount, rate, paid.get(loan, 0)))
+            back = [paid.get(loan, 0)] + [0] * (times.get(loan, 1) - 1 if fan_out else 0)
+            owed.setdefault(customer, []).extend((amount, rate, x) for x in back)
     groups = {}
     for c, name, email, kind, branch, loaded in data["customers"]:
         if loaded != prev:
@@ -175,7 +177,7 @@ def report_by_hand(data):
                 if ac != c or balance <= 5000 or opened > DAY(2024, 1, 5):
                     continue
                 for b, bname, place, bloaded in data["branches"]:
-                    if b != branch or "N" not in place or bloaded != prev:
+                    if b != branch or not (all_branches or "N" in place and bloaded == prev):
                         continue
                     for dt_, service, amount in data["transaction_details"]:
                         if dt_ != t or amount <= 100:
@@ -210,6 +212,13 @@ def test_monthly_report_equals_brute_force(spark, both_plans, seed):
     assert not report.isEmpty()
 
 
+@pytest.mark.parametrize("options", [{"all_branches": True}, {"fan_out": True}])
+def test_monthly_report_variants(spark, options):
+    data, frames = report_frames(spark, 2)
+    report = monthly_customer_report(frames, "2024-01-05", **options)
+    assert rows(report) == report_by_hand(data, **options)
+
+
 # -- registry and runner ----------------------------------------------------------
 
 

@@ -8,12 +8,12 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key is treated as hot when it holds more than one row in this many. At most
-# that many keys can be hot, which bounds the list handed to every task.
+# Keys are counted by hash, in this many slots. A slot with more than one row in
+# HOT_SHARE is hot, so at most HOT_SHARE slots are.
+SLOTS = 1 << 16
 HOT_SHARE = 64
-# Size of the frequency sketch each scan task keeps (a few kilobytes).
-SKETCH_ITEMS = 512
 
 _SALT = "__salt"
 
@@ -57,7 +57,9 @@ def join_on(
 
     ``spread`` names the side (``"left"`` or ``"right"``) on which one key may
     hold a large part of the rows. That side's hot keys are then spread over all
-    shuffle partitions; the rows returned are the same.
+    shuffle partitions, unless the other side is small enough to broadcast; the
+    rows returned are the same. Key types should agree: with different ones the
+    keys are joined, but not spread.
     """
     kind = _HOW.get(how.lower().replace("_", ""))
     if kind is None:
@@ -118,12 +120,11 @@ def _salted(
     df1: DataFrame, df2: DataFrame, keys: Sequence[str], kind: str, spread: str
 ) -> DataFrame:
     hot_side, other = (df1, df2) if spread == "left" else (df2, df1)
-    if fits_broadcast(other):
+    if fits_broadcast(other) or not _hash_alike(df1, df2, keys):
         return df1.alias("df1").join(df2.alias("df2"), _same(keys), kind)
 
     salts = int(df1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = _hot_keys(hot_side, keys)
-    is_hot = F.array_contains(hot, F.xxhash64(*keys))
+    is_hot = F.array_contains(_hot_slots(hot_side, keys), _slot(keys))
     # A row with a NULL key never matches, so it may go anywhere.
     free = reduce(or_, [F.col(c).isNull() for c in keys])
     salt = F.pmod(row_digest(hot_side), F.lit(salts)).cast("int")
@@ -140,24 +141,41 @@ def _salted(
     return joined.select(*columns)
 
 
+def _hash_alike(df1: DataFrame, df2: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether equal keys of the two sides have equal hashes, so that both sides
+    agree on which keys are hot. Not so across types, nor under a collation."""
+    binary = T.StringType()
+    for c in keys:
+        left, right = (df.select(F.col(f"`{c}`")).schema[0].dataType for df in (df1, df2))
+        if left != right or (isinstance(left, T.StringType) and left != binary):
+            return False
+    return True
+
+
 def row_digest(df: DataFrame) -> Column:
     """A number that depends on the content of a row alone: a task that is run
     again after a lost executor sends every row where the first attempt sent it."""
     return F.xxhash64(*[f"`{f.name}`" for f in df.schema if f.dataType.typeName() != "map"])
 
 
-def _hot_keys(df: DataFrame, keys: Sequence[str]) -> Column:
-    """Hashes of the hot keys, as a scalar subquery over the key columns only.
+def _slot(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
+
+
+def _hot_slots(df: DataFrame, keys: Sequence[str]) -> Column:
+    """The hot slots as a scalar subquery. It reads the key columns only and
+    counts per slot before anything shuffles.
 
-    The sketch may miss or add a key near the limit; that changes how rows are
-    spread, not which rows come out, as both sides use the same list.
+    The counts are exact, so the list is the same each time it is computed: both
+    sides of a join must agree on it. No hot key is missed; a few other keys that
+    share its slot are spread with it.
     """
-    counted = df.select(F.xxhash64(*keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {HOT_SHARE}, {SKETCH_ITEMS})").alias("top"),
-        F.count("*").alias("n"),
+    counted = df.groupBy(_slot(keys).alias("slot")).agg(F.count("*").alias("n"))
+    whole = counted.agg(
+        F.collect_list(F.struct("slot", "n")).alias("slots"), F.sum("n").alias("total")
     )
-    hot = F.filter("top", lambda t: t["count"] * F.lit(HOT_SHARE) > F.col("n"))
-    return counted.select(F.transform(hot, lambda t: t["item"]).alias("hot")).scalar()
+    hot = F.filter("slots", lambda s: s["n"] * F.lit(HOT_SHARE) > F.col("total"))
+    return whole.select(F.sort_array(F.transform(hot, lambda s: s["slot"]))).scalar()
 
 
 def _unmatched(df1: DataFrame, df2: DataFrame, keys: Sequence[str], side: str) -> DataFrame:

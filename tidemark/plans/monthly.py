@@ -89,9 +89,14 @@ def monthly_customer_report(
     min_loan: float = 5000,
     service_types: tuple[str, ...] = ("Banking", "Loan"),
     location_like: str = "%N%",
+    all_branches: bool = False,
+    fan_out: bool = False,
 ) -> DataFrame:
     """The month of the day before ``data_date``.
 
+    Branches count if their location matches and they were loaded on that day;
+    ``all_branches`` takes every branch. For ``fan_out`` see :func:`loan_summary`.
+
     One row per customer, balance, branch and service. Transactions and accounts
     of a customer are never paired up: activity is added up per customer and
     service first, accounts are counted per balance, and the sum over all pairs
@@ -109,12 +114,12 @@ def monthly_customer_report(
         .groupBy("CustomerID", "Balance")
         .agg(F.count("*").alias("accounts"))
     )
-    located = (
-        on_previous_day(
+    if not all_branches:
+        branches = on_previous_day(
             branches.where(F.col("Location").like(location_like)), "ds_partition_date", data_date
         )
-        .groupBy("BranchID", "BranchName", "Location")
-        .agg(F.count("*").alias("branches"))
+    located = branches.groupBy("BranchID", "BranchName", "Location").agg(
+        F.count("*").alias("branches")
     )
     who = ["CustomerID", "Name", "Email", "AccountType"]
     place = ["BranchName", "Location"]
@@ -141,7 +146,7 @@ def monthly_customer_report(
     paid = join_on(
         payments.where(F.col("PaymentAmount") > 0), started, ["LoanID"], "semi", spread="left"
     )
-    owed = loan_summary(started, paid, window.first_day, window.last_day)
+    owed = loan_summary(started, paid, window.first_day, window.last_day, fan_out)
     served = placed.join(activity, "CustomerID").join(owed, "CustomerID", "left")
     spent = F.col("Amount") * F.col("accounts") * F.col("branches")
     # Accounts come last: of a customer with very many of them only this join
