@@ -311,7 +311,9 @@ def test_report_job_from_csv(spark, tmp_path):
             "primary_keys": ["CustomerID", "BranchName", "Balance", "ServiceName"],
             "path": {p: str(tmp_path / "out" / p) for p in ("current", "history")}}},
     }
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
     run_report(spark, "monthly_customer_report", config, "2024-01-05")
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
     stored = read_input(spark, {"format": "delta", "path": str(tmp_path / "out" / "current")})
     expected = report_by_hand(data)
     assert rows(stored, *monthly_customer_report(frames, "2024-01-05").columns) == expected

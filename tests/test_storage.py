@@ -248,6 +248,25 @@ def test_unstaged_source(spark, tmp_path):
     assert rows(stored(spark, tmp_path / "t")) == [(1, "a")]
 
 
+class _Session:
+    """A session with a master and a shared folder, as far as scratch space goes."""
+
+    def __init__(self, master, shared=None):
+        self.master, self.shared = master, shared
+        self.conf = self.sparkContext = self
+
+    def get(self, name, default=None):
+        return self.shared or default
+
+
+def test_scratch_space_is_shared_on_a_cluster():
+    assert files.scratch_dir(_Session("yarn", "hdfs:///shared/")).startswith("hdfs:///shared/tidemark-")
+    assert files.scratch_dir(_Session("local[2]", "/mnt/shared")).startswith("/mnt/shared/")
+    assert "tidemark-" in files.scratch_dir(_Session("local[2]"))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        files.scratch_dir(_Session("yarn"))
+
+
 # -- plain outputs and inputs ---------------------------------------------------
 
 
