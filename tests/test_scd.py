@@ -13,6 +13,7 @@ from tidemark.operators import (
     changed_keys,
     classify,
     duplicate_keys,
+    join_using,
     scd1_merge,
     scd2_init,
     scd2_merge,
@@ -267,6 +268,27 @@ def test_column_names_differ_in_case(spark, old):
     assert rows(second.where("id = 1"), "start_date") == [(T1,)]
 
 
+def test_names_with_dots_and_spaces(spark, old, new):
+    def odd(df):
+        return df.where("id > 0").toDF("the.key", "a name", "x.y")
+
+    before, after, key = odd(old), odd(new), ["the.key"]
+    assert rows(classify(before, after, key).groupBy("change").count()) == [
+        ("insert", 1),
+        ("unchanged", 1),
+        ("update", 2),
+    ]
+    assert changed_keys(before, after, key, hash="concat").count() == 2
+    assert change_feed(before, after, key).count() == 5
+    assert scd1_merge(before, after, key).columns == before.columns
+    first = scd2_init(before, key, at(T1))
+    assert scd2_merge(first, after, key, at(T2)).count() == 6
+    assert scd4_history(first, after, key, at(T2)).count() == 2
+    assert scd4_current(first, after, key, at(T2)).count() == 4
+    joined = join_using(before, after, key, "full", spread="left")
+    assert joined.columns[0] == "the.key" and joined.count() == 4
+
+
 # -- type 4 -------------------------------------------------------------------
 
 

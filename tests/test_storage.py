@@ -33,6 +33,18 @@ def test_scd1_loads(spark, tmp_path):
     assert rows(stored(spark, tmp_path / "t")) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+@pytest.mark.parametrize("kind", ["scd1", "scd2"])
+def test_odd_column_names(spark, tmp_path, kind):
+    conf = {"type": kind, "path": str(tmp_path / "t"), "primary_keys": ["the.key"], "table": "odd_dim"}
+    wide = frame(spark, (1, "a"), (2, "b")).toDF("the.key", "a name")
+    for moment in (T1, T2):
+        write_scd(spark, wide, conf, moment)
+    table = stored(spark, tmp_path / "t")
+    assert rows(table, "`the.key`", "`a name`") == [(1, "a"), (2, "b")]
+    assert spark.table("odd_dim").count() == 2
+    spark.sql("DROP VIEW odd_dim")
+
+
 def test_scd1_grows_a_column(spark, tmp_path):
     conf = {"type": "scd1", "path": str(tmp_path / "t"), "primary_keys": ["id"]}
     write_scd(spark, frame(spark, (1, "a")), conf)
@@ -188,6 +200,14 @@ def test_duplicate_source_keys_are_rejected(spark, tmp_path):
     assert VersionedTable(spark, str(tmp_path / "t")).version() == 0
 
 
+def test_rows_without_a_key_do_not_clash(spark, tmp_path):
+    conf = {"type": "scd1", "path": str(tmp_path / "t"), "primary_keys": ["id"]}
+    write_scd(spark, frame(spark, (None, "a"), (None, "b"), (1, "c")), conf)
+    assert stored(spark, tmp_path / "t").count() == 3
+    with pytest.raises(ValueError, match="share a key"):
+        write_scd(spark, frame(spark, (None, "a"), (None, "b")), {**conf, "null_safe_keys": True})
+
+
 def test_wrong_configurations(spark, tmp_path):
     df, path = frame(spark, (1, "a")), str(tmp_path / "t")
     with pytest.raises(ValueError, match="SCD type"):

@@ -17,7 +17,7 @@ _MICROS = _NTZ + "XXX"
 
 def row_hash(columns: Sequence[str]) -> Column:
     """SHA-256 of the columns joined by dots; NULLs are left out of the text."""
-    return F.sha2(F.concat_ws(".", *[F.col(c) for c in columns]), 256)
+    return F.sha2(F.concat_ws(".", *[F.col(f"`{c}`") for c in columns]), 256)
 
 
 def row_fingerprint(fields: Iterable[T.StructField]) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import row_fingerprint, row_hash
-from .joins import fits_broadcast, row_digest
+from .joins import fits_broadcast, named, row_digest
 
 # Bookkeeping columns of versioned rows, and change types.
 START, END, CURRENT, HASH = "start_date", "end_date", "is_current", "hash_data"
@@ -48,7 +48,7 @@ def content_hash(fields: Sequence[T.StructField], kind: str = "exact") -> Column
     if kind == "exact":
         return row_fingerprint(fields)
     if kind == "concat":
-        return row_hash([f"`{f.name}`" for f in fields])
+        return row_hash([f.name for f in fields])
     raise ValueError(f"Unsupported hash: {kind}")
 
 
@@ -112,7 +112,7 @@ def _packed(new: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``new`` as one struct column, so that it can stand beside ``old``."""
     wanted = {c.lower() for c in columns}
     return new.select(
-        F.struct(*[F.col(f"`{c}`") for c in new.columns if c.lower() in wanted]).alias(NEW)
+        F.struct(*named(c for c in new.columns if c.lower() in wanted)).alias(NEW)
     )
 
 
@@ -162,7 +162,8 @@ def _fresh(
     Only the few old keys that the load can meet are looked at.
     """
     on = _matches(keys, "s", "k", null_safe)
-    seen = old.select(*keys).alias("s").join(new.select(*keys).alias("k"), on, "left_semi")
+    met = new.select(*named(keys))
+    seen = old.select(*named(keys)).alias("s").join(met.alias("k"), on, "left_semi")
     on = _matches(keys, f"n.{NEW}", "s", null_safe)
     whole = _packed(new, [*keys, *new.columns])
     return whole.alias("n").join(seen.alias("s"), on, "left_anti")
@@ -186,7 +187,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Reads the key columns only and counts before it shuffles.
     """
-    return df.groupBy(*keys).agg(F.count("*").alias("row_count")).where("row_count > 1")
+    return df.groupBy(*named(keys)).agg(F.count("*").alias("row_count")).where("row_count > 1")
 
 
 def classify(
@@ -202,7 +203,8 @@ def classify(
     Only keys and hashes are shuffled.
     """
     old, new = hashed_pair(old, new, keys, ignore, hash)
-    pairs = compared(old.select(*keys, HASH), new.select(*keys, HASH), keys, null_safe)
+    narrow = [*named(keys), F.col(HASH)]
+    pairs = compared(old.select(*narrow), new.select(*narrow), keys, null_safe)
     label = (
         F.when(gone(), DELETE)
         .when(fresh(), INSERT)
@@ -224,7 +226,8 @@ def changed_keys(
     """Keys present in both snapshots with different content."""
     old, new = hashed_pair(old, new, keys, ignore, hash)
     on = _matches(keys, "o", "n", null_safe) & (F.col(f"o.{HASH}") != F.col(f"n.{HASH}"))
-    left, right = old.select(*keys, HASH).alias("o"), new.select(*keys, HASH).alias("n")
+    narrow = [*named(keys), F.col(HASH)]
+    left, right = old.select(*narrow).alias("o"), new.select(*narrow).alias("n")
     return left.join(right, on, "inner").select(*[F.col(f"o.`{c}`") for c in keys])
 
 
@@ -267,7 +270,7 @@ def apply_change_feed(
     old images go to the history, closed at ``as_of``.
     """
     images = feed.where(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).drop(CHANGE_TYPE)
-    touched = feed.select(*keys).distinct()
+    touched = feed.select(*named(keys)).distinct()
     on = _matches(keys, "c", "t", null_safe)
     rest = current.alias("c").join(touched.alias("t"), on, "left_anti")
     state = rest.unionByName(images, allowMissingColumns=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -33,6 +33,11 @@ _HOW = {
 }
 
 
+def named(columns: Iterable[str]) -> list[Column]:
+    """Columns by exact name, whatever characters it has."""
+    return [F.col(f"`{c}`") for c in columns]
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer's size estimate is below the broadcast threshold.
 
@@ -73,7 +78,7 @@ def join_on(
         return df1.alias("df1").join(df2.alias("df2"), _same(join_cols), kind)
     if kind in ("left_semi", "left_anti"):
         # One row per key is enough on the right, however often a key occurs.
-        keys = df2.select(*join_cols).distinct()
+        keys = df2.select(*named(join_cols)).distinct()
         if spread == "right":
             return df1.alias("df1").join(keys.alias("df2"), _same(join_cols), kind)
         return _salted(df1, keys, join_cols, kind, "left")
@@ -126,7 +131,7 @@ def _salted(
     salts = int(df1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.array_contains(_hot_slots(hot_side, keys), _slot(keys))
     # A row with a NULL key never matches, so it may go anywhere.
-    free = reduce(or_, [F.col(c).isNull() for c in keys])
+    free = reduce(or_, [c.isNull() for c in named(keys)])
     salt = F.pmod(row_digest(hot_side), F.lit(salts)).cast("int")
     marked = hot_side.withColumn(_SALT, F.when(free | is_hot, salt).otherwise(0))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -159,7 +164,7 @@ def row_digest(df: DataFrame) -> Column:
 
 
 def _slot(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS)).cast("int")
+    return F.pmod(F.xxhash64(*named(keys)), F.lit(SLOTS)).cast("int")
 
 
 def _hot_slots(df: DataFrame, keys: Sequence[str]) -> Column:
@@ -181,7 +186,7 @@ def _hot_slots(df: DataFrame, keys: Sequence[str]) -> Column:
 def _unmatched(df1: DataFrame, df2: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
     """Rows of ``side`` without a partner, widened with NULLs to both sides' columns."""
     own, foreign = (df1, df2) if side == "left" else (df2, df1)
-    seen = foreign.select(*keys).distinct()
+    seen = foreign.select(*named(keys)).distinct()
     alone = own.alias("df1").join(seen.alias("df2"), _same(keys), "left_anti")
 
     kept = [F.col(f"df1.`{c}`") for c in own.columns]

@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
+from functools import reduce
+from operator import and_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +37,7 @@ from ..operators.changes import (
     require_columns,
     with_replacement,
 )
+from ..operators.joins import named
 from ..tables import APPEND, LEDGER, REPLACE, VersionedTable, files
 
 Conf = Mapping[str, Any]
@@ -67,7 +70,11 @@ def write_scd(
 
 
 def _checked(load, spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
-    clash = duplicate_keys(source, keys).limit(3).collect()
+    # Rows with a NULL key match nothing, unless NULL counts as a key.
+    keyed = source
+    if not conf.get("null_safe_keys"):
+        keyed = source.where(reduce(and_, [c.isNotNull() for c in named(keys)]))
+    clash = duplicate_keys(keyed, keys).limit(3).collect()
     if clash:
         raise ValueError(f"Several source rows share a key, for example {clash}")
     return load(spark, source, conf, keys, as_of)
@@ -162,7 +169,7 @@ def write_feed(
         return pair.commit(opened, opened)
     null_safe = conf.get("null_safe_keys", False)
     tagged = opened.withColumn(CHANGE_TYPE, F.lit(POSTIMAGE))
-    out = feed.where(F.col(CHANGE_TYPE).isin(DELETE, PREIMAGE)).select(*keys)
+    out = feed.where(F.col(CHANGE_TYPE).isin(DELETE, PREIMAGE)).select(*named(keys))
     closed = with_replacement(before, out.distinct(), keys, keys, null_safe).where(~gone())
     removed = closed.drop(NEW).withColumn(CHANGE_TYPE, F.lit(DELETE))
     state, past = apply_change_feed(

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.changes import CURRENT
+from ..operators.joins import named
 from . import files
 
 REPLACE, APPEND, LEDGER = "replace", "append", "ledger"
@@ -148,7 +149,7 @@ class VersionedTable:
         if split and n > 1:
             # Rows kept from earlier loads lie in many partitions. Without this
             # each task would write a small file into each of them.
-            df = df.hint("rebalance", *[F.col(c) for c in split])
+            df = df.hint("rebalance", *named(split))
         folders = [CURRENT, *split] if self.mode == LEDGER else split
         # Whatever an attempt that died has left there goes away as a whole.
         writer = df.write.format(self.fmt).mode("overwrite")
