@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from pathlib import Path
 from typing import Any
@@ -27,6 +28,8 @@ from .registry import Registry, registry
 
 Frames = Mapping[str, DataFrame]
 
+logger = logging.getLogger(__name__)
+
 
 def read_config(config: Mapping[str, Any] | str | Path) -> dict[str, Any]:
     if isinstance(config, Mapping):
@@ -76,6 +79,7 @@ def run(
     if isinstance(entries, Mapping):
         entries = [{"name": "input", **entries}]
     inputs = load_inputs(spark, entries)
+    logger.info("Inputs: %s", ", ".join(inputs))
     frames = apply_steps(inputs, conf.get("transformation") or [])
     if transform is not None:
         frames["result"] = transform(frames)

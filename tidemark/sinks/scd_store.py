@@ -4,7 +4,7 @@
 
     {"type": "scd2", "primary_keys": ["id"], "path": "out/customer",
      "partition_by": ["data_date"], "hash": "exact",
-      "insert_new": true, "expire_missing": false, "stage_source": true}
+     "insert_new": true, "expire_missing": false, "stage_source": true}
 
 Type 4 has ``"path": {"current": ..., "history": ...}`` and ``seed_history``.
 With ``table`` the result is also a view of that name (type 4: two names).
@@ -13,6 +13,7 @@ With ``table`` the result is also a view of that name (type 4: two names).
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import and_
@@ -42,6 +43,8 @@ from ..tables import APPEND, LEDGER, REPLACE, VersionedTable, files
 
 Conf = Mapping[str, Any]
 
+logger = logging.getLogger(__name__)
+
 
 def write_scd(
     spark: SparkSession, df: DataFrame, conf: Conf, as_of: dt.datetime | Column | None = None
@@ -77,7 +80,10 @@ def _checked(load, spark, source: DataFrame, conf: Conf, keys: list[str], as_of:
     clash = duplicate_keys(keyed, keys).limit(3).collect()
     if clash:
         raise ValueError(f"Several source rows share a key, for example {clash}")
-    return load(spark, source, conf, keys, as_of)
+    number = load(spark, source, conf, keys, as_of)
+    where = conf.get("path") or conf.get("table")
+    logger.info("Load %d of %s (%s)", number, where, conf.get("type", "scd2"))
+    return number
 
 
 def _paths(spark: SparkSession, conf: Conf) -> Any:
