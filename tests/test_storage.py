@@ -339,6 +339,32 @@ def test_unknown_formats_and_locations(spark):
         read_input(spark, {"format": "csv"})
 
 
+@pytest.mark.parametrize("kind", ["scd1", "scd2", "scd4"])
+def test_trim(spark, tmp_path, kind):
+    paths = {p: str(tmp_path / p) for p in ("current", "history")}
+    path = paths if kind == "scd4" else paths["current"]
+    conf = {"type": kind, "path": path, "primary_keys": ["id"]}
+    for i in range(4):
+        write_scd(spark, frame(spark, (1, f"n{i}"), (2, "same"), (3 + i, "x")), conf, T1)
+    before = rows(stored(spark, paths["current"]))
+    past = rows(stored(spark, paths["history"])) if kind == "scd4" else []
+    table = VersionedTable.at(spark, paths["current"])
+    third = rows(table.read(3))
+    table.trim(keep=2)
+    table.trim(keep=2)
+    assert rows(stored(spark, paths["current"])) == before and rows(table.read(3)) == third
+    if kind == "scd4":
+        assert rows(stored(spark, paths["history"])) == past
+    with pytest.raises(ValueError, match="no load 1"):
+        table.read(1)
+    with pytest.raises(ValueError, match="kept"):
+        table.trim(0)
+    kept = {d.name for d in (tmp_path / "current").glob("v=*") if (d / "is_current=true").exists()
+            or any(d.glob("*.parquet"))}
+    assert kept == {"v=3", "v=4"}
+    assert write_scd(spark, frame(spark, (1, "n9")), conf, T2) == 5
+
+
 # -- change feeds -----------------------------------------------------------------
 
 

@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Keys are counted by hash, in this many slots. A slot with more than one row in
-# HOT_SHARE is hot, so at most HOT_SHARE slots are.
+# HOT_SHARE is hot, so fewer than HOT_SHARE slots are.
 SLOTS = 1 << 16
-HOT_SHARE = 64
+HOT_SHARE = 512
+# A hot slot is cut into pieces of this part of an average shuffle partition.
+FINENESS = 8
 
 _SALT = "__salt"
 
@@ -128,14 +130,16 @@ def _salted(
     if fits_broadcast(other) or not _hash_alike(df1, df2, keys):
         return df1.alias("df1").join(df2.alias("df2"), _same(keys), kind)
 
-    salts = int(df1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.array_contains(_hot_slots(hot_side, keys), _slot(keys))
+    partitions = int(df1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = F.coalesce(
+        F.try_element_at(_hot_slots(hot_side, keys, partitions), _slot(keys)), F.lit(1)
+    )
     # A row with a NULL key never matches, so it may go anywhere.
     free = reduce(or_, [c.isNull() for c in named(keys)])
-    salt = F.pmod(row_digest(hot_side), F.lit(salts)).cast("int")
-    marked = hot_side.withColumn(_SALT, F.when(free | is_hot, salt).otherwise(0))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = other.withColumn(_SALT, F.explode(copies))
+    spread_over = F.when(free, F.lit(partitions)).otherwise(pieces)
+    salt = F.pmod(row_digest(hot_side), spread_over).cast("int")
+    marked = hot_side.withColumn(_SALT, salt)
+    copied = other.withColumn(_SALT, F.explode(F.sequence(F.lit(0), pieces - 1)))
 
     left, right = (marked, copied) if spread == "left" else (copied, marked)
     on = _same(keys) & (F.col(f"df1.{_SALT}") == F.col(f"df2.{_SALT}"))
@@ -167,20 +171,26 @@ def _slot(keys: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(*named(keys)), F.lit(SLOTS)).cast("int")
 
 
-def _hot_slots(df: DataFrame, keys: Sequence[str]) -> Column:
-    """The hot slots as a scalar subquery. It reads the key columns only and
-    counts per slot before anything shuffles.
+def _hot_slots(df: DataFrame, keys: Sequence[str], partitions: int) -> Column:
+    """The hot slots and the number of pieces for each, as a scalar subquery. It
+    reads the key columns only and counts per slot before anything shuffles.
 
-    The counts are exact, so the list is the same each time it is computed: both
-    sides of a join must agree on it. No hot key is missed; a few other keys that
-    share its slot are spread with it.
+    The counts are exact, so the result is the same each time it is computed:
+    both sides of a join must agree on it. No hot key is missed; a few other keys
+    that share its slot are spread with it.
     """
     counted = df.groupBy(_slot(keys).alias("slot")).agg(F.count("*").alias("n"))
     whole = counted.agg(
-        F.collect_list(F.struct("slot", "n")).alias("slots"), F.sum("n").alias("total")
+        F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("slots"),
+        F.sum("n").alias("total"),
     )
     hot = F.filter("slots", lambda s: s["n"] * F.lit(HOT_SHARE) > F.col("total"))
-    return whole.select(F.sort_array(F.transform(hot, lambda s: s["slot"]))).scalar()
+
+    def pieces(s: Column) -> Column:
+        wanted = F.ceil(s["n"].cast("double") / F.col("total") * F.lit(FINENESS * partitions))
+        return F.struct(s["slot"], F.least(wanted, F.lit(partitions)).cast("int"))
+
+    return whole.select(F.map_from_entries(F.transform(hot, pieces)).alias("hot")).scalar()
 
 
 def _unmatched(df1: DataFrame, df2: DataFrame, keys: Sequence[str], side: str) -> DataFrame:

@@ -82,6 +82,8 @@ class VersionedTable:
     def read(self, load: int | None = None) -> DataFrame | None:
         """The table as of a committed load, the newest unless given."""
         n = load or self.version()
+        if load is not None and not files.exists(self.spark, f"{self.log}/{n}.json"):
+            raise ValueError(f"{self.root} has no load {load}")
         info = self._info(n)
         if info is None:
             return None
@@ -101,6 +103,23 @@ class VersionedTable:
         """The newest load's commit entry."""
         return self._info(self.version()) or {}
 
+    def trim(self, keep: int = 1) -> None:
+        """Delete rows that only earlier states of the table show, except the
+        ``keep`` newest states. Those earlier states can then no longer be read.
+
+        Run it on each table of a shared log, when no query reads old states.
+        """
+        if keep < 1:
+            raise ValueError("At least the newest state must be kept")
+        below = {REPLACE: "", LEDGER: f"/{CURRENT}=true"}.get(self.mode)
+        if below is None:
+            return
+        for n in range(1, self.version() - keep + 1):
+            # First the state, then its rows: an interrupted run leaves no state
+            # that can be read in part.
+            files.remove(self.spark, f"{self.log}/{n}.json")
+            files.remove(self.spark, f"{self.root}/v={n}{below}")
+
     def _info(self, n: int) -> dict[str, Any] | None:
         commit = json.loads(files.read(self.spark, f"{self.log}/{n}.json")) if n else {}
         return commit.get(self.part)
