@@ -374,3 +374,6 @@ def test_require_ready(spark, tmp_path):
     with pytest.raises(ValueError, match="run log"):
         require_ready(spark, {"depend_jobs": ["a"]}, None, "2024-01-05")
     require_ready(spark, {"depend_jobs": ["b"], "input": [absent]}, log, "2024-01-05", skip=True)
+    with pytest.raises(ValueError, match="b"):
+        require_ready(spark, {"depend_jobs": ["b"]}, log, "2024-01-05", skip="false")
+    require_ready(spark, {"depend_jobs": ["b"]}, log, "2024-01-05", skip="True")

@@ -59,11 +59,11 @@ def require_ready(
     config: Mapping[str, Any],
     run_log: DataFrame | None,
     data_date: str,
-    skip: bool = False,
+    skip: bool | str = False,
 ) -> None:
     """Raise unless every job in ``depend_jobs`` succeeded for the date and every
-    configured input exists. ``skip`` turns the check off."""
-    if skip:
+    configured input exists. ``skip``, also as text, turns the check off."""
+    if str(skip).lower() == "true":
         return
     jobs = config.get("depend_jobs") or []
     if jobs:
