@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidemark.operators import change_feed, classify, join_on, scd1_merge, scd2_init, scd2_step, scd4_current
+from tidemark.plans import service_activity
 from tidemark.sinks import write_scd
 from tidemark.tables import VersionedTable
 from tidemark.workload import QUERIES
@@ -134,6 +135,22 @@ def test_monthly_report_reads_one_month_of_orders(spark):
     assert "o_orderdate >= 1998-03-01" in text or "GreaterThanOrEqual(o_orderdate,1998-03-01" in text
 
 
+def test_report_reads_the_columns_it_needs(spark, tmp_path):
+    shapes = {
+        "transactions": "id AS TransactionID, id AS CustomerID",
+        "details": "id AS TransactionID, id AS ServiceID, id AS Amount",
+        "services": "id AS ServiceID, 'S' AS ServiceName",
+    }
+    frames = []
+    for name, columns in shapes.items():
+        path = str(tmp_path / name)
+        spark.sql(f"SELECT {columns}, 'wide' AS unused FROM range(100)").write.parquet(path)
+        frames.append(spark.read.parquet(path))
+    with conf(spark, autoBroadcastJoinThreshold="-1"):
+        text = plan(service_activity(*frames))
+    assert "__salt" in text and "unused" not in text
+
+
 def test_no_query_uses_python_workers_or_cross_joins(spark):
     for name, query in QUERIES.items():
         text = plan(query(spark, SF_DIR))

@@ -66,7 +66,8 @@ def join_on(
     hold a large part of the rows. That side's hot keys are then spread over all
     shuffle partitions, unless the other side is small enough to broadcast; the
     rows returned are the same. Key types should agree: with different ones the
-    keys are joined, but not spread.
+    keys are joined, but not spread. The spreading looks at all columns of that
+    side, so select the needed ones first.
     """
     kind = _HOW.get(how.lower().replace("_", ""))
     if kind is None:
@@ -137,8 +138,8 @@ def _salted(
     # A row with a NULL key never matches, so it may go anywhere.
     free = reduce(or_, [c.isNull() for c in named(keys)])
     spread_over = F.when(free, F.lit(partitions)).otherwise(pieces)
-    salt = F.pmod(row_digest(hot_side), spread_over).cast("int")
-    marked = hot_side.withColumn(_SALT, salt)
+    salt = F.when(spread_over > 1, F.pmod(row_digest(hot_side), spread_over).cast("int"))
+    marked = hot_side.withColumn(_SALT, salt.otherwise(0))
     copied = other.withColumn(_SALT, F.explode(F.sequence(F.lit(0), pieces - 1)))
 
     left, right = (marked, copied) if spread == "left" else (copied, marked)

@@ -70,8 +70,9 @@ def service_activity(
     Details meet the transactions first: a month of these leaves few of them.
     """
     owners = transactions.select("TransactionID", "CustomerID")
+    amounts = details.select("TransactionID", "ServiceID", "Amount")
     return (
-        join_using(details, owners, ["TransactionID"], spread="left")
+        join_using(amounts, owners, ["TransactionID"], spread="left")
         .join(services.select("ServiceID", "ServiceName"), "ServiceID")
         .groupBy("CustomerID", "ServiceName")
         .agg(
@@ -143,9 +144,10 @@ def monthly_customer_report(
         window.previous_day,
     )
     # Only payments on these few loans need adding up.
-    paid = join_on(
-        payments.where(F.col("PaymentAmount") > 0), started, ["LoanID"], "semi", spread="left"
+    paid = payments.where(F.col("PaymentAmount") > 0).select(
+        "LoanID", "PaymentDate", "PaymentAmount"
     )
+    paid = join_on(paid, started, ["LoanID"], "semi", spread="left")
     owed = loan_summary(started, paid, window.first_day, window.last_day, fan_out)
     served = placed.join(activity, "CustomerID").join(owed, "CustomerID", "left")
     spent = F.col("Amount") * F.col("accounts") * F.col("branches")
