@@ -84,7 +84,8 @@ def test_scd2_load_does_not_read_closed_rows(spark, tmp_path):
     assert opened.inputFiles() and rows(opened, "name") == [("c",)]
     plan = opened._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "is_current" in plan.split("PartitionFilters: [")[1]
-    assert sorted(p.name for p in (tmp_path / "t" / "v=3").iterdir() if "=" in p.name) == [
+    (newest,) = (tmp_path / "t").glob("v=3-*")
+    assert sorted(p.name for p in newest.iterdir() if "=" in p.name) == [
         "is_current=false",
         "is_current=true",
     ]
@@ -235,14 +236,28 @@ def test_a_load_that_died_is_invisible_and_can_run_again(spark, tmp_path):
 def test_two_loads_cannot_both_commit(spark, tmp_path):
     one, two = (VersionedTable(spark, str(tmp_path / "t")) for _ in range(2))
     first = one.write(frame(spark, (1, "a")))
-    second = two.write(frame(spark, (1, "a")))
+    second = two.write(frame(spark, (1, "b")))
     assert one.commit({"table": first}) == 1
     with pytest.raises(FileExistsError):
         two.commit({"table": second})
-    assert two.version() == 1
+    assert two.version() == 1 and rows(two.read()) == [(1, "a")]
     assert [n for n in files.names(spark, one.log) if n.endswith("draft")] == []
 
 
+def test_a_load_on_an_outdated_state_cannot_commit(spark, tmp_path):
+    conf = {"path": str(tmp_path / "t"), "primary_keys": ["id"]}
+    write_scd(spark, frame(spark, (1, "a")), conf, T1)
+    slow = VersionedTable(spark, str(tmp_path / "t"), "ledger")
+    slow.begin()
+    state = slow.read_open()
+    write_scd(spark, frame(spark, (1, "b")), conf, T2)
+    assert rows(slow.read_open(), "name") == [("a",)]
+    entry = slow.write(state)
+    with pytest.raises(FileExistsError):
+        slow.commit({"table": entry})
+    assert rows(stored(spark, tmp_path / "t"), "name") == [("a",), ("b",)]
+
+
 def test_source_is_computed_once_and_staging_is_removed(spark, tmp_path):
     seen = spark.sparkContext.accumulator(0)
 
@@ -359,8 +374,8 @@ def test_trim(spark, tmp_path, kind):
         table.read(1)
     with pytest.raises(ValueError, match="kept"):
         table.trim(0)
-    kept = {d.name for d in (tmp_path / "current").glob("v=*") if (d / "is_current=true").exists()
-            or any(d.glob("*.parquet"))}
+    kept = {d.name[:3] for d in (tmp_path / "current").glob("v=*")
+            if (d / "is_current=true").exists() or any(d.glob("*.parquet"))}
     assert kept == {"v=3", "v=4"}
     assert write_scd(spark, frame(spark, (1, "n9")), conf, T2) == 5
 
@@ -413,6 +428,6 @@ def test_later_loads_write_few_files_per_partition(spark, tmp_path):
     for day, moment in zip(("2024-01-01", "2024-01-02", "2024-01-03"), (T1, T2, T3)):
         state = spark.range(moment.day * 1000).selectExpr("CAST(id AS INT) AS id", "'a' AS name")
         write_output(spark, state.repartition(20), output, day, moment)
-    newest = tmp_path / "t" / "v=3" / "is_current=true"
+    (newest,) = (tmp_path / "t").glob("v=3-*/is_current=true")
     found = {d.name: len(list(d.glob("*.parquet"))) for d in newest.iterdir() if "=" in d.name}
     assert found == {f"data_date=2024-01-0{d}": 1 for d in (1, 2, 3)}

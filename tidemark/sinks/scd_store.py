@@ -128,12 +128,14 @@ def _finish(
 
 def _load_scd1(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
     table = VersionedTable(spark, _paths(spark, conf), REPLACE, _format(conf))
+    table.begin()
     merged = ops.scd1_merge(table.read(), source, keys, conf.get("null_safe_keys", False))
     return _finish(table, merged, conf)
 
 
 def _load_scd2(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
     table = VersionedTable(spark, _paths(spark, conf), LEDGER, _format(conf))
+    table.begin()
     opened = _comparable(table.read_open(), table, source, conf)
     if opened is None:
         load = ops.scd2_init(source, keys, as_of, **_options(conf))
@@ -202,6 +204,7 @@ class _Pair:
         self.history = VersionedTable(
             spark, paths["history"], APPEND, _format(conf), log=now, part="history"
         )
+        self.history.begin(self.current.begin())
 
     def before(self) -> DataFrame | None:
         return _comparable(self.current.read(), self.current, self.source, self.conf)

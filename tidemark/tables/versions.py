@@ -1,10 +1,11 @@
 """Tables that are replaced or extended one whole load at a time.
 
-Load ``n`` writes files to ``<root>/v=<n>/`` and then a commit file
-``<root>/_commits/<n>.json`` with the schema. Readers see committed loads only,
-so a load that dies half-way changes nothing and can simply run again. Files in
-use are never overwritten. One load runs at a time; if two do, the second one
-to commit fails.
+Load ``n`` writes its files to a directory of its own, ``<root>/v=<n>-<mark>/``,
+and then a commit file ``<root>/_commits/<n>.json`` that names the directory and
+the schema. Readers see committed loads only, so a load that dies half-way
+changes nothing and can simply run again, and two loads that run at the same
+time do not touch each other's files: the second one to commit fails. Files are
+never overwritten.
 
 How loads make up the table:
 
@@ -18,10 +19,11 @@ How loads make up the table:
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +60,7 @@ class VersionedTable:
         self.log_root = (log or self.root).rstrip("/")
         self.log = f"{self.log_root}/_commits"
         self.part = part
+        self._base: int | None = None
 
     @classmethod
     def at(cls, spark: SparkSession, root: str) -> VersionedTable | None:
@@ -79,29 +82,39 @@ class VersionedTable:
         loads = [n.removesuffix(".json") for n in files.names(self.spark, self.log)]
         return max((int(n) for n in loads if n.isdigit()), default=0)
 
+    def begin(self, base: int | None = None) -> int:
+        """Start a load: from here on this object sees one state, and its commit
+        fails if another load has been committed on top of that."""
+        self._base = self.version() if base is None else base
+        return self._base
+
+    def _state(self) -> int:
+        return self.version() if self._base is None else self._base
+
     def read(self, load: int | None = None) -> DataFrame | None:
         """The table as of a committed load, the newest unless given."""
-        n = load or self.version()
-        if load is not None and not files.exists(self.spark, f"{self.log}/{n}.json"):
+        n = load or self._state()
+        if load is not None and not self._committed(load):
             raise ValueError(f"{self.root} has no load {load}")
         info = self._info(n)
         if info is None:
             return None
         if self.mode == REPLACE:
-            return self._files(info, f"v={n}").drop("v")
-        df = self._files(info).where(F.col("v") <= n)
-        return (df.where(self._visible(n)) if self.mode == LEDGER else df).drop("v")
+            return self._newest(info).drop("v")
+        df = self._files(info).where(F.col("v").isin(info["loads"]))
+        if self.mode == LEDGER:
+            df = df.where((F.col("v") == info["files"]) | ~F.col(CURRENT))
+        return df.drop("v")
 
     def read_open(self) -> DataFrame | None:
         """Current rows of a ledger. Looks into the newest load's directory only,
         however many loads came before."""
-        n = self.version()
-        info = self._info(n)
-        return info and self._files(info, f"v={n}").where(F.col(CURRENT)).drop("v")
+        info = self._info(self._state())
+        return info and self._newest(info).where(F.col(CURRENT)).drop("v")
 
     def notes(self) -> dict[str, Any]:
-        """The newest load's commit entry."""
-        return self._info(self.version()) or {}
+        """Commit entry of the state this object sees."""
+        return self._info(self._state()) or {}
 
     def trim(self, keep: int = 1) -> None:
         """Delete rows that only earlier states of the table show, except the
@@ -115,10 +128,16 @@ class VersionedTable:
         if below is None:
             return
         for n in range(1, self.version() - keep + 1):
+            info = self._info(n) if self._committed(n) else None
+            if info is None:
+                continue
             # First the state, then its rows: an interrupted run leaves no state
             # that can be read in part.
             files.remove(self.spark, f"{self.log}/{n}.json")
-            files.remove(self.spark, f"{self.root}/v={n}{below}")
+            files.remove(self.spark, f"{self.root}/v={info['files']}{below}")
+
+    def _committed(self, n: int) -> bool:
+        return files.exists(self.spark, f"{self.log}/{n}.json")
 
     def _info(self, n: int) -> dict[str, Any] | None:
         commit = json.loads(files.read(self.spark, f"{self.log}/{n}.json")) if n else {}
@@ -127,31 +146,30 @@ class VersionedTable:
     def _files(self, info: dict, below: str = "") -> DataFrame:
         """Rows with their load ``v``. The schema is known, so no file is opened
         to find it, and columns that older files lack are NULL."""
-        schema = T.StructType.fromJson(info["schema"]).add("v", T.IntegerType())
+        schema = T.StructType.fromJson(info["schema"]).add("v", T.StringType())
         reader = self.spark.read.format(info["format"]).schema(schema)
         return reader.option("basePath", self.root).load(f"{self.root}/{below}")
 
-    @staticmethod
-    def _visible(n: int) -> Column:
-        return (F.col("v") == n) | ~F.col(CURRENT)
+    def _newest(self, info: dict[str, Any]) -> DataFrame:
+        return self._files(info, f"v={info['files']}")
 
     def publish(self, name: str) -> None:
         """Make the newest load readable under a name of the catalog."""
-        n = self.version()
-        info = self._info(n)
+        info = self._info(self.version())
         columns = ", ".join(
             f"CAST(`{f['name']}` AS {T.StructField.fromJson(f).dataType.simpleString()}) "
             f"AS `{f['name']}`"
             for f in info["schema"]["fields"]
         )
-        root = files.absolute(self.spark, self.root)
+        root, newest = files.absolute(self.spark, self.root), info["files"]
         if self.mode == REPLACE:
-            rows = f"{info['format']}.`{root}/v={n}`"
+            rows = f"{info['format']}.`{root}/v={newest}`"
         else:
             # Loads may differ in their columns, which SQL finds in the files only.
-            rows = f"{info['format']}.`{root}` WITH ('mergeSchema' = 'true') WHERE v <= {n}"
+            loads = ", ".join(f"'{load}'" for load in info["loads"])
+            rows = f"{info['format']}.`{root}` WITH ('mergeSchema' = 'true') WHERE v IN ({loads})"
         if self.mode == LEDGER:
-            rows += f" AND (v = {n} OR NOT CAST({CURRENT} AS BOOLEAN))"
+            rows += f" AND (v = '{newest}' OR NOT CAST({CURRENT} AS BOOLEAN))"
         self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {rows}")
 
     # -- change -------------------------------------------------------------
@@ -161,39 +179,39 @@ class VersionedTable:
     ) -> dict[str, Any]:
         """Write the next load's files. Returns its commit entry, with ``notes``;
         nothing is visible before :meth:`commit`."""
-        n = self.version() + 1
+        n, before = self._state() + 1, self.notes()
         split = list(partition_by or [])
-        if self.mode != REPLACE and n > 1 and split != self.notes().get("partition_by", split):
+        if self.mode != REPLACE and split != before.get("partition_by", split):
             raise ValueError(f"Partition columns of {self.root} cannot change")
-        if split and n > 1:
+        if split and before:
             # Rows kept from earlier loads lie in many partitions. Without this
             # each task would write a small file into each of them.
             df = df.hint("rebalance", *named(split))
         folders = [CURRENT, *split] if self.mode == LEDGER else split
-        # Whatever an attempt that died has left there goes away as a whole.
-        writer = df.write.format(self.fmt).mode("overwrite")
-        writer = writer.option("partitionOverwriteMode", "static")
+        writer = df.write.format(self.fmt)
         if folders:
             writer = writer.partitionBy(*folders)
-        writer.save(f"{self.root}/v={n}")
+        load = f"{n}-{uuid.uuid4().hex[:12]}"
+        writer.save(f"{self.root}/v={load}")
         pointer = f"{self.root}/{_POINTER}"
         if self.log_root != self.root and not files.exists(self.spark, pointer):
             files.create(self.spark, pointer, files.absolute(self.spark, self.log_root))
         return {
             "load": n,
+            "files": load,
+            "loads": [*before.get("loads", []), load],
             "root": files.absolute(self.spark, self.root),
             "mode": self.mode,
             "format": self.fmt,
             "partition_by": split,
-            "schema": self._schema_with(df).jsonValue(),
+            "schema": self._schema_with(df, before).jsonValue(),
             **notes,
         }
 
-    def _schema_with(self, df: DataFrame) -> T.StructType:
+    def _schema_with(self, df: DataFrame, before: dict[str, Any]) -> T.StructType:
         """Columns of earlier loads stay readable beside new ones."""
         fields = [T.StructField(f.name, f.dataType) for f in df.schema]
-        before = None if self.mode == REPLACE else self._info(self.version())
-        if before is None:
+        if self.mode == REPLACE or not before:
             return T.StructType(fields)
         new = {f.name.lower() for f in fields}
         old = T.StructType.fromJson(before["schema"]).fields
