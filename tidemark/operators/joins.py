@@ -164,7 +164,8 @@ def _hash_alike(df1: DataFrame, df2: DataFrame, keys: Sequence[str]) -> bool:
 
 def row_digest(df: DataFrame) -> Column:
     """A number that depends on the content of a row alone: a task that is run
-    again after a lost executor sends every row where the first attempt sent it."""
+    again after a lost executor sends every row where the first attempt sent it.
+    Rows that agree in every column therefore stay together."""
     return F.xxhash64(*[f"`{f.name}`" for f in df.schema if f.dataType.typeName() != "map"])
 
 
