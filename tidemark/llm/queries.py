@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality, sharding, simhash
+from . import chat, fingerprints, licenses, mixing, packing, quality, search, sharding, simhash, warc
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,16 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+@query
+def op1_warc_chunks(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("target_uri")
+
+
+@query
+def op2_bm25_topk(spark, sf_dir):
+    return search.similar_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -45,11 +55,26 @@ def op5_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_chat_perspectives(spark, sf_dir):
+    return chat.perspectives(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op7_iblt_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_uniform_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_license_scan(spark, sf_dir):
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_classifier(spark, sf_dir):
     return quality.score_documents(
