@@ -1,0 +1,71 @@
+"""Small odd tables for the corpus operators."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import types as T
+
+DOCUMENTS = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("text", T.StringType()),
+        T.StructField("lang", T.StringType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("n_chars", T.LongType()),
+    ]
+)
+
+# Names that operators use for columns of their own.
+CLASHING = (
+    "fp row key copy m part time size score component component_id length piece start "
+    "shard slot place node root a b n words target taken whole best own edited"
+).split()
+
+
+def words(chance: random.Random, n: int) -> list[str]:
+    return ["".join(chance.choices("abcdefgh", k=chance.randint(1, 6))) for _ in range(n)]
+
+
+def prose(chance: random.Random, n: int) -> str:
+    out = words(chance, n)
+    return "".join(w + (chance.choice(["\n", "  ", " "]) if i % 7 == 6 else " ") for i, w in enumerate(out))
+
+
+def odd_rows(seed: int = 1, n: int = 60) -> list[tuple]:
+    """Nulls in every column, empty and long texts, ties, copies, repeated rows."""
+    chance = random.Random(seed)
+    out = []
+    for i in range(n):
+        text = prose(chance, chance.choice([0, 1, 2, 5, 40, 300]))
+        out.append((i, text, chance.choice(["en", "de", None]), f"s{i % 5}", len(text)))
+    long = prose(chance, 30_000)
+    copied = prose(chance, 80)
+    out += [
+        (100, None, "en", "s0", None),
+        (101, "", None, None, 0),
+        (102, " \t\n ", "en", "s1", 4),
+        (103, long, "en", "s2", len(long)),
+        (104, "x" * 50_000, "en", "s2", 50_000),
+        (105, "Éa b c \U0001f600 İ", "fr", "s3", 12),
+        (None, copied, "en", "s0", len(copied)),
+        (None, None, None, None, None),
+    ]
+    out += [(200 + i, copied, "en", "s0", len(copied)) for i in range(30)]  # copies
+    out += [(300, copied, "en", "s0", len(copied))] * 3  # repeated rows
+    out += [(301, long + " end", "en", "s2", len(long) + 4), (301, "other", "en", "s2", 5)]
+    return out
+
+
+def documents(spark, rows, clashing: bool = False):
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    if clashing:
+        from pyspark.sql import functions as F
+
+        df = df.withColumns({c: F.lit(f"extra {c}") for c in CLASHING})
+    return df.repartition(3)
+
+
+def tuples(df, *columns) -> list[tuple]:
+    picked = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is None, str(v)) for v in r])

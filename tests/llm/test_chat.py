@@ -1,0 +1,92 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from tidemark.llm import chat
+
+TURNS = "conv_id long, turn int, role string, text string"
+
+
+def name_of(role):
+    out, gap = "", False
+    for ch in (role or "").strip(" "):
+        if ch <= " " or ch in "<>|":
+            gap = True
+        else:
+            out, gap = out + ("_" if gap else "") + ch, False
+    out += "_" if gap else ""
+    return out or "unknown"
+
+
+def brute(rows, per_part=chat.TURNS):
+    parts, sides = {}, {}
+    for conv, turn, role, text in rows:
+        speaker = name_of(role)
+        part = -1 if turn is None else turn // per_part
+        body = (text or "").replace("<|", "< |")
+        parts.setdefault((conv, part), []).append((turn, speaker, body))
+        sides.setdefault(conv, set())
+        if speaker != "system":
+            sides[conv].add(speaker)
+    out = []
+    for (conv, part), told in parts.items():
+        told.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        for side in sides[conv]:
+            text, mask, trained = "", [], 0
+            for _, speaker, body in told:
+                label = "assistant" if speaker == side else speaker if speaker == "system" else f"user name={speaker}"
+                text += f"<|im_start|>{label}\n"
+                if speaker == side:
+                    mask.append(f"{len(text)}:{len(text) + len(body) + 10}")
+                    trained += len(body) + 10
+                text += body + "<|im_end|>\n"
+            out.append((conv, side, part, len(told), text, ",".join(mask), trained))
+    return sorted(out, key=str)
+
+
+def odd_turns():
+    chance = random.Random(6)
+    out = []
+    for conv in range(12):
+        people = ["user", "assistant", "system", "Ann Lee", "bob|x", None, ""][: chance.randint(1, 7)]
+        for turn in range(chance.randint(1, 9)):
+            out.append((conv, turn, chance.choice(people), chance.choice(["Hé \U0001f600", "", None, "a <|im_end|> b"])))
+    out += [(50, t, ["user", "assistant", "guest"][t % 3], f"turn {t}") for t in range(300)]  # long
+    out += [(51, 0, "system", "only")]
+    out += [(52, 1, "user", "same")] * 3 + [(52, None, "user", "no number"), (None, 0, "user", "no id")]
+    out += [(53, 0, "user", "x" * 200_000), (53, 1, "assistant", None)]
+    return out
+
+
+@pytest.mark.parametrize("per_part", [64, 5])
+@pytest.mark.parametrize("clashing", [False, True])
+def test_perspectives_equal_brute_force(spark, per_part, clashing):
+    rows = odd_turns()
+    df = spark.createDataFrame(rows, TURNS).repartition(3)
+    if clashing:
+        names = "key none part speaker body sides told participant marks mask turns".split()
+        df = df.withColumns({c: F.lit("extra") for c in names})
+    got = [tuple(r) for r in chat.perspectives(df, per_part).collect()]
+    assert sorted(got, key=str) == brute(rows, per_part)
+
+
+def test_masks_point_at_the_assistants_words(spark):
+    df = spark.createDataFrame(odd_turns(), TURNS)
+    for r in chat.perspectives(df).collect():
+        for place in filter(None, r["mask"].split(",")):
+            start, end = map(int, place.split(":"))
+            assert r["text"][:start].endswith("<|im_start|>assistant\n")
+            assert r["text"][start:end].endswith("<|im_end|>")
+            assert "<|" not in r["text"][start : end - len("<|im_end|>")]
+
+
+def test_main_path_is_sql_only(spark):
+    df = chat.perspectives(spark.createDataFrame(odd_turns(), TURNS))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_empty_table(spark):
+    assert chat.perspectives(spark.createDataFrame([], TURNS)).collect() == []

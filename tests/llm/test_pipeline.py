@@ -1,0 +1,72 @@
+"""The corpus pipeline's stages, each against what its operator says of its input."""
+
+from __future__ import annotations
+
+import importlib
+import re
+from collections import Counter
+
+import pytest
+from tidemark.llm import mixing, quality, simhash
+from tidemark.llm.shared import stored, table
+
+import corpus_pipeline
+
+SF_DIR = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs, out = table(spark, SF_DIR, "documents"), []
+    for name, stage in corpus_pipeline.STAGES:
+        after = stored(stage(spark, docs, SF_DIR))
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_stages_and_columns(stages):
+    assert len(stages) == len(corpus_pipeline.STAGES) == 4
+    for _, before, after in stages[:-1]:
+        assert after.columns == before.columns
+
+
+def test_quality_keeps_what_is_predicted_good(spark, stages):
+    _, before, after = stages[0]
+    scores = quality.score_documents(before, table(spark, SF_DIR, "labels"))
+    want = sorted(r["doc_id"] for r in scores.where("predicted = 1").collect())
+    assert sorted(r["doc_id"] for r in after.collect()) == want
+    labels = {r["doc_id"]: r["quality"] for r in table(spark, SF_DIR, "labels").collect()}
+    assert all(d in want for d, q in labels.items() if q)
+
+
+def test_dedup_keeps_one_of_each_component(stages):
+    _, before, after = stages[1]
+    out = simhash.near_duplicates(before).collect()
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted({r["component_id"] for r in out})
+
+
+def test_mix_holds_the_words_taken(stages):
+    _, before, after = stages[2]
+    got = Counter()
+    for r in after.collect():
+        got[r["doc_id"]] += len(WORD.findall(r["text"]))
+    want = {r["doc_id"]: r["taken"] for r in mixing.mix(before).collect() if r["taken"]}
+    assert got == Counter(want)
+
+
+def test_packing_places_every_document(stages):
+    _, before, after = stages[3]
+    rows = after.collect()
+    assert Counter(r["doc_id"] for r in rows if r["piece"] == 0) == Counter(r["doc_id"] for r in before.collect())
+    fill = Counter()
+    for r in rows:
+        fill[r["sequence_id"]] += r["length"]
+    assert max(fill.values()) <= 1024
+    assert len(fill) <= -(-sum(fill.values()) // 1024) * 1.02 + 1
+
+
+def test_run_gives_the_last_stages_rows(spark, stages):
+    importlib.reload(corpus_pipeline)
+    assert corpus_pipeline.run(spark, SF_DIR).count() == stages[-1][2].count()

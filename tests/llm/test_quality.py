@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tidemark.llm import quality
+
+from .common import documents, odd_rows, prose
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def good_text(chance):
+    return " ".join(w.capitalize() + "," if i % 9 == 8 else w for i, w in enumerate(prose(chance, 80).split()))
+
+
+def bad_text(chance):
+    own = prose(chance, 60).split()
+    kind = chance.randint(0, 2)
+    if kind == 0:
+        return " ".join(w + chance.choice(["***", "$$$", "%%%"]) for w in own)
+    if kind == 1:
+        return " ".join(w.upper() + "!!" for w in own)
+    return " ".join(w for w in own for _ in range(4))
+
+
+@pytest.fixture(scope="module")
+def labelled():
+    chance = random.Random(1)
+    rows, truth = [], {}
+    for i in range(600):
+        good = chance.random() < 0.8
+        text = good_text(chance) if good else bad_text(chance)
+        rows.append((i, text, "en", f"s{i % 3}", len(text)))
+        truth[i] = int(good)
+    return rows, truth
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_held_out_labels_are_predicted(spark, labelled, clashing):
+    rows, truth = labelled
+    labels = spark.createDataFrame([(i, q, 0) for i, q in truth.items() if i % 2], LABELS)
+    out = quality.score_documents(documents(spark, rows, clashing), labels).collect()
+    assert sorted(r["doc_id"] for r in out) == sorted(truth)
+    for r in out:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1
+        assert r["predicted"] == int(r["score"] >= 0.3)
+    held = [r for r in out if r["held_out"]]
+    right = sum(r["predicted"] == truth[r["doc_id"]] for r in held)
+    assert right >= 0.95 * len(held)
+    kept = [r["predicted"] for r in out if truth[r["doc_id"]]]
+    assert sum(kept) >= 0.98 * len(kept)
+
+
+def test_labels_of_the_held_out_fold_and_bad_labels_change_nothing(spark, labelled):
+    rows, truth = labelled
+    docs = documents(spark, rows)
+    own = [(i, q, 0) for i, q in truth.items() if i % 2]
+    flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, 0) for i, q, _ in own]
+    fewer = [r for r in own if r[1] == 1]
+    first = quality.score_documents(docs, spark.createDataFrame(own, LABELS)).orderBy("doc_id").collect()
+    for other in (flipped, fewer):
+        again = quality.score_documents(docs, spark.createDataFrame(other, LABELS))
+        assert again.orderBy("doc_id").collect() == first
+
+
+def test_odd_rows_all_get_a_score(spark):
+    rows = odd_rows()
+    labels = spark.createDataFrame(
+        [(0, 1, 0), (1, 1, None), (2, 1, 0), (2, 1, 0), (3, 0, 1), (4, None, 0), (None, 1, 0), (999, 1, 0)], LABELS
+    )
+    out = quality.score_documents(documents(spark, rows), labels).collect()
+    assert sorted(str(r["doc_id"]) for r in out) == sorted(str(r[0]) for r in rows)
+    assert all(0 <= r["score"] <= 1 for r in out)
+    assert all(r["held_out"] for r in out if r["doc_id"] is None)
+
+
+def test_without_labels_or_documents(spark):
+    none = spark.createDataFrame([], LABELS)
+    out = quality.score_documents(documents(spark, odd_rows()), none).collect()
+    assert {r["score"] for r in out} == {0.5}
+    assert quality.score_documents(documents(spark, []), none).collect() == []
+
+
+def test_keeping_leaves_the_columns(spark, labelled):
+    rows, truth = labelled
+    docs = documents(spark, rows, clashing=True)
+    labels = spark.createDataFrame([(i, q, 0) for i, q in truth.items()], LABELS)
+    kept = quality.keep_good(docs, labels)
+    assert kept.dtypes == docs.dtypes
+    scores = quality.score_documents(docs, labels)
+    want = {r["doc_id"] for r in scores.where("predicted = 1").collect()}
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == want
+    assert kept.where(F.col("score") != "extra score").count() == 0
+
+
+def test_prior_is_found():
+    rng = np.random.default_rng(1)
+    for prior in (0.3, 0.6, 0.85):
+        positives = rng.normal(2, 1, 4000)
+        mixed = np.where(rng.random(4000) < prior, rng.normal(2, 1, 4000), rng.normal(-2, 1, 4000))
+        assert quality.estimate_prior(positives, mixed) == pytest.approx(prior, abs=0.06)
+
+
+def test_features_of_odd_texts():
+    x = quality.features(["", "a", " ", "\n\n", "é\U0001f600", "a" * 100_000, "\x00\x01"])
+    assert x.shape == (7, quality.FEATURES) and np.isfinite(x).all()

@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import pytest
+from tidemark.llm import sharding
+
+from .common import documents, odd_rows, tuples
+
+
+def test_hypergeometric_has_the_right_distribution():
+    chance, n = random.Random(1), 20_000
+    good, bad, draws = 7, 12, 9
+    seen = Counter(sharding.hypergeometric(chance, good, bad, draws) for _ in range(n))
+    for k in range(good + 1):
+        p = math.comb(good, k) * math.comb(bad, draws - k) / math.comb(good + bad, draws)
+        assert abs(seen[k] - n * p) < 5 * math.sqrt(n * p + 1)
+
+
+def test_hypergeometric_at_its_ends_and_at_scale():
+    chance = random.Random(2)
+    assert sharding.hypergeometric(chance, 0, 5, 3) == 0
+    assert sharding.hypergeometric(chance, 5, 0, 3) == 3
+    assert sharding.hypergeometric(chance, 5, 5, 0) == 0
+    big = sharding.hypergeometric(chance, 10**10, 23 * 10**10, 10**9)
+    assert abs(big - 10**9 / 24) < 6 * math.sqrt(10**9 / 24)
+
+
+def test_matrix_has_its_margins():
+    counts = [5, 0, 17, 100, 1]
+    sizes = sharding.even_sizes(sum(counts), 7)
+    matrix = sharding.communication_matrix(counts, sizes, 3)
+    assert [sum(r) for r in matrix] == counts
+    assert [sum(c) for c in zip(*matrix, strict=True)] == sizes
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_every_row_has_its_place(spark, clashing):
+    rows = odd_rows()
+    out = sharding.shard_documents(documents(spark, rows, clashing)).collect()
+    got = sorted((str(r["doc_id"]), r["size"], r["text_crc32"]) for r in out)
+    data = [(r[0], (r[1] or "").encode()) for r in rows]
+    assert got == sorted((str(i), len(t) + 8, zlib.crc32(t)) for i, t in data)
+    slots = {}
+    for r in out:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        assert r["law"] == "rows" and r["grown_shard"] is None
+    assert set(slots) == set(range(24))
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_partitions_make_no_difference(spark):
+    rows = odd_rows(2)
+    first = tuples(sharding.shard_documents(documents(spark, rows)))
+    assert first == tuples(sharding.shard_documents(documents(spark, rows[::-1]).repartition(5)))
+
+
+def test_shuffle_is_uniform(spark):
+    """Neighbours go apart, and each seed deals them differently."""
+    rows = [(i, str(i), "en", "s", 1) for i in range(2400)]
+    docs = documents(spark, rows)
+    out = {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.shard_documents(docs).collect()}
+    together = sum(out[i][0] == out[i + 1][0] for i in range(2399))
+    assert abs(together - 100) < 50
+    again = {r["doc_id"]: r["shard"] for r in sharding.shard_documents(docs, seed=9).collect()}
+    assert abs(sum(out[i][0] == again[i] for i in out) - 100) < 50
+    ordered = sum(out[i][1] < out[i + 1][1] for i in range(2399))
+    assert abs(ordered - 1200) < 150
+
+
+def test_fewer_rows_than_shards_and_none(spark):
+    out = sharding.shard_documents(documents(spark, [(1, None, None, None, None)])).collect()
+    assert [(r["size"], r["text_crc32"], r["slot"]) for r in out] == [(8, 0, 0)]
+    assert sharding.shard_documents(documents(spark, [])).collect() == []

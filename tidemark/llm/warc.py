@@ -3,10 +3,9 @@
 A payload is cut where it is read; from there on a record is a run of rows
 (record, chunk number, bytes) and nothing holds more than a chunk of it. A long
 payload becomes a segmented WARC record: a first segment and ``continuation``
-records. Spark's text writer writes one row per segment with the record separator
-as its line end, so archives get to any file system that Spark can write, under
-its commit protocol. They are read the same way; the reader puts the bytes back
-together by ``Content-Length``, so payloads may contain the separator.
+records. Spark's text writer writes a segment as one line, so archives get to any
+file system that Spark can write, under its commit protocol. They are read as lines
+too, whatever these hold; the reader goes by ``Content-Length``.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ import re
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +25,8 @@ from .shared import python_ready, stored
 CHUNK = 1 << 20
 # Shorter payloads are stored again instead of referred to.
 REVISIT_FROM = 100
+# Lines of an archive in an Arrow batch, at most.
+LINES = 2048
 END = b"\r\n\r\n"
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -34,13 +35,17 @@ DATE = "1970-01-01T00:00:00Z"
 _IDS = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the URL name space
 
 
+def _url(pages: DataFrame) -> Column:
+    url = pages["url"] if "url" in pages.columns else F.lit(None)
+    return url.cast("string").alias("url")
+
+
 def payload_rows(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """page_id, url, row, digest, size, number, last, data: the chunks of each
     page's html in UTF-8; a null or empty one has one empty chunk."""
-    url = pages["url"] if "url" in pages.columns else F.lit(None)
     whole = pages.select(
         pages["page_id"].alias("page_id"),
-        url.cast("string").alias("url"),
+        _url(pages),
         F.monotonically_increasing_id().alias("row"),
         F.encode(F.coalesce(pages["html"].cast("string"), F.lit("")), "UTF-8").alias("payload"),
     ).withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload").cast("long")})
@@ -61,22 +66,23 @@ def payload_rows(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def revisits(pages: DataFrame, least: int = REVISIT_FROM) -> DataFrame:
-    """page_id, digest and first: pages whose payload, of ``least`` bytes or more,
+    """page_id, digest, first and first_url: pages whose payload, of ``least`` bytes or more,
     equals that of a page with a smaller id. Payloads stay where they are."""
     payload = F.encode(F.coalesce(pages["html"].cast("string"), F.lit("")), "UTF-8")
     narrow = pages.select(
         pages["page_id"].alias("page_id"),
+        _url(pages),
         F.sha2(payload, 256).alias("digest"),
         F.octet_length(payload).alias("size"),
     )
     narrow = stored(narrow.where(F.col("size") >= least).drop("size"))
-    groups = narrow.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    groups = groups.where("n > 1").drop("n")
-    return narrow.join(groups, "digest").where("page_id > first").distinct()
-
-
-def _record_id(page_id, digest: str, copy: int) -> str:
-    return uuid.uuid5(_IDS, f"{page_id} {digest} {copy}").urn
+    least_page = F.min(F.struct("page_id", "url")).alias("least")
+    named = narrow.where(F.col("page_id").isNotNull())
+    groups = named.groupBy("digest").agg(least_page, F.count("*").alias("n")).where("n > 1")
+    groups = groups.select(
+        "digest", F.col("least.page_id").alias("first"), F.col("least.url").alias("first_url")
+    )
+    return named.drop("url").join(groups, "digest").where("page_id > first").distinct()
 
 
 def _header(fields: list[tuple[str, object]]) -> bytes:
@@ -91,18 +97,14 @@ def _address(url: str | None, page_id) -> str:
 
 
 def _segments(batches: Iterator) -> Iterator:
-    """One row per WARC record or segment, without the separator after it."""
+    """One row per WARC record or segment, without the last byte, a newline."""
     import pyarrow as pa
 
-    before, copy = None, 0
     for batch in batches:
         out = []
         for r in batch.to_pylist():
             page_id, digest, number = r["page_id"], r["digest"], r["number"]
-            if number == 0:
-                copy = copy + 1 if (page_id, digest) == before else 0
-                before = (page_id, digest)
-            own = _record_id(page_id, digest, copy)
+            own = uuid.uuid5(_IDS, f"{page_id} {digest} {r['row']}").urn
             first = r["first"]
             if first is not None and number:
                 continue  # a revisit has no payload
@@ -121,7 +123,8 @@ def _segments(batches: Iterator) -> Iterator:
                 ("WARC-Payload-Digest", f"sha256:{digest}"),
                 ("WARC-Block-Digest", f"sha256:{hashlib.sha256(body).hexdigest()}"),
                 ("WARC-Profile", PROFILE if first is not None else None),
-                ("WARC-Refers-To", f"<{_record_id(first, digest, 0)}>" if first is not None else None),
+                ("WARC-Refers-To-Target-URI", _address(r["first_url"], first) if first is not None else None),
+                ("WARC-Refers-To-Date", DATE if first is not None else None),
                 ("WARC-Segment-Number", number + 1 if segmented else None),
                 ("WARC-Segment-Origin-ID", f"<{own}>" if number else None),
                 ("WARC-Segment-Total-Length", r["size"] if segmented and r["last"] else None),
@@ -129,7 +132,7 @@ def _segments(batches: Iterator) -> Iterator:
                 ("Refers-To-Page-ID", first),
                 ("Content-Length", len(body)),
             ]
-            out.append(_header(fields) + body)
+            out.append(_header(fields) + body + END[:-1])
         yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
 
 
@@ -144,7 +147,7 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK, least: int =
     """
     python_ready(pages.sparkSession)
     again = revisits(pages, least).select(
-        F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "first"
+        F.col("page_id").alias("r_page"), F.col("digest").alias("r_digest"), "first", "first_url"
     )
     rows = payload_rows(pages, chunk)
     same = (F.col("page_id") == F.col("r_page")) & (F.col("digest") == F.col("r_digest"))
@@ -152,11 +155,11 @@ def write_archives(pages: DataFrame, path: str, chunk: int = CHUNK, least: int =
     # The chunks of a row come from one task and have one key, so they are together.
     runs = joined.sortWithinPartitions("page_id", "digest", "row", "number")
     lines = runs.mapInArrow(_segments, "value binary").select(F.col("value").cast("string"))
-    lines.write.option("compression", "gzip").option("lineSep", END.decode()).text(path)
+    lines.write.option("compression", "gzip").option("lineSep", "\n").text(path)
 
 
 class ArchiveReader:
-    """Takes an archive's lines, as split at the separator, and gives chunk rows. It
+    """Takes an archive's lines, as split at newlines, and gives chunk rows. It
     holds one chunk, what the lines brought beyond it, and a running digest."""
 
     def __init__(self, chunk: int = CHUNK) -> None:
@@ -168,7 +171,7 @@ class ArchiveReader:
 
     def feed(self, line: bytes) -> Iterator[tuple]:
         self.buffer += line
-        self.buffer += END
+        self.buffer += b"\n"
         while True:
             if self.need is None:
                 end = self.buffer.find(END)
@@ -234,7 +237,8 @@ def read_chunks(spark: SparkSession, path: str, with_data: bool = True, chunk: i
     record_type, refers_to, payload_bytes and payload_digest (both of the payload up
     to and with this chunk; a revisit has the digest of what it refers to) and
     data. An archive is read in its order by one task, a chunk at a time."""
-    python_ready(spark)
+    # Lines are short, as a rule; the bytes of a batch are bounded besides.
+    python_ready(spark, LINES)
     fields = [
         T.StructField("record_id", T.StringType()),
         T.StructField("chunk", T.IntegerType()),
@@ -279,7 +283,7 @@ def read_chunks(spark: SparkSession, path: str, with_data: bool = True, chunk: i
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     # Gzipped files are not split, so a task sees whole archives.
-    lines = spark.read.option("lineSep", END.decode()).text(path)
+    lines = spark.read.option("lineSep", "\n").text(path)
     lines = lines.select(F.col("value").cast("binary"), F.col("_metadata.file_path").alias("file"))
     return lines.mapInArrow(parsed, T.StructType(fields))
 
