@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,47 +22,90 @@ from .shared import python_ready, ranked, stored, text_of
 
 CAPACITY = 1024
 END = 2
-# Words a Python worker remembers the ids of; it starts over when it is full.
-REMEMBERED = 400_000
+# Words a Python worker remembers the ids of, in each of two generations.
+REMEMBERED = 450_000
+
+# White space that texts are not cut at; such texts are encoded in one piece.
+_OTHER_SPACE = ("\t", "\r", "\x0b", "\x0c", "\x85", "\xa0", "  ", "\n\n", " \n", "\n ")
+_WIDE_SPACE = re.compile("[\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+# Letters up to here have been letters in every edition of Unicode.
+_OLD_LETTERS = "\u0250"
 
-_ASCII_SPACE = " \t\n\r\x0b\x0c"
-_UNITS = re.compile(f"[{_ASCII_SPACE}]*[^{_ASCII_SPACE}]+|[{_ASCII_SPACE}]+")
-_OTHER_SPACE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _loaded: dict[str, WordEncoder] = {}
 
 
+class Remembered(dict):
+    """Values by key, computed when first asked for. When a generation is full the
+    one before it is dropped; a key that is still in use moves to the new one."""
+
+    def __init__(self, compute: Callable[[str], bytes], most: int = REMEMBERED) -> None:
+        self.compute, self.most, self.old = compute, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class WordEncoder:
     """Ids of whole texts, by words.
 
     Byte-level BPE never merges across the start of white space, so the ids of a
-    text are those of its units, each a run of white space and what follows up to
-    the next. Texts repeat words, and a worker keeps the ids of those it has
-    seen. Texts with white space beyond ASCII are encoded in one piece.
+    text are those of its words, each with the blank before it, and of its line
+    ends. Texts repeat words, and a worker remembers the ids of those it has seen.
+    Texts with other or repeated white space are encoded in one piece.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are text here
-        self.known: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        units = [[t] if _OTHER_SPACE.search(t) else _UNITS.findall(t) for t in texts]
-        missing = list({u for own in units for u in own if u not in self.known})
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            self.known.update(zip(part, self._ids(part), strict=True))
-        return [b"".join(map(self.known.__getitem__, own)) for own in units]
+        self.model, self.split = self.tokenizer.model, ByteLevel(add_prefix_space=False)
+        spelled = sorted(ByteLevel.alphabet())
+        plain = [c for c in spelled if ord(c) < 256]
+        shifted = iter(c for c in spelled if ord(c) >= 256)
+        self.spelling = {b: chr(b) if chr(b) in plain else next(shifted) for b in range(256)}
+        self.tokens = Remembered(self._token)
+        self.words = Remembered(lambda word: self._word(" ", word))
+        self.starts = Remembered(lambda word: self._word("", word))
+        self.line_end = self._word("", "\n")
+
+    def _token(self, spelled: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+
+    def _word(self, blank: str, word: str) -> bytes:
+        letters = word.rstrip(".,!?")
+        if letters.isalpha() and max(letters) < _OLD_LETTERS:
+            # The splitter's usual case: letters, and the marks after them.
+            marks = word[len(letters) :]
+            head = self.tokens[(blank + letters).encode().decode("latin-1").translate(self.spelling)]
+            return head + self.tokens[marks] if marks else head
+        return b"".join([self.tokens[p] for p, _ in self.split.pre_tokenize_str(blank + word)])
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids."""
+        if (
+            any(s in text for s in _OTHER_SPACE)
+            or text[:1] in (" ", "\n")
+            or text[-1:] in (" ", "\n")
+            or (not text.isascii() and _WIDE_SPACE.search(text))
+        ):
+            found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            return array("I", found[0].ids).tobytes()
+        out, word = [], self.words.__getitem__
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append(self.starts[first])
+            out += map(word, rest)
+            out.append(self.line_end)
+        return b"".join(out[:-1])
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -110,9 +154,8 @@ def token_pieces(
         encoder = _encoder(tokenizer)
         for batch in batches:
             rows: list[tuple] = []
-            encoded = encoder.encode(batch.column("text").to_pylist())
-            for at, ids in enumerate(encoded):
-                ids += last
+            for at, text in enumerate(batch.column("text").to_pylist()):
+                ids = encoder.encode(text) + last
                 for n, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]
                     rows.append((at, n, start, length, zlib.crc32(own), own))
