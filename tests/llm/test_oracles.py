@@ -1,0 +1,39 @@
+"""The corpus queries against their SQL, and that each has a query."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+from tidemark.llm import ORACLES, QUERIES
+
+import __spark_entry__ as contract
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+def normal(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted((tuple(r[i] for i in order) for r in rows), key=str)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    cursor = con.execute(ORACLES[name])
+    names = [c[0] for c in cursor.description]
+    want = cursor.fetchall()
+    df = QUERIES[name](spark, SF_DIR)
+    assert sorted(df.columns) == sorted(names)
+    assert normal(df.columns, df.collect()) == normal(names, want)
+    assert want
+
+
+def test_every_operator_is_registered():
+    names = contract.queries()
+    assert "pipeline" in names and QUERIES.keys() <= names.keys()
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert ORACLES.keys() <= contract.oracle_sql().keys()

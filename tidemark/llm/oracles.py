@@ -1,5 +1,76 @@
-"""DuckDB SQL for those queries of this subpackage that SQL can express."""
+"""DuckDB SQL for those queries of this subpackage that SQL can express.
+
+The others are tested against brute-force versions: packing needs a tokenizer,
+SimHash and the seeded choices of mixing a hash that DuckDB lacks, sharding random
+draws, the sketches peeling, the licence scan word statistics per line, and the
+classifier is trained.
+"""
 
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_warc_chunks"] = """
+    WITH d AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest
+               FROM pages),
+         f AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS least FROM d)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+           CASE WHEN n >= 100 AND page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND page_id > least THEN least END AS refers_to
+    FROM f"""
+
+ORACLES["op2_bm25_topk"] = r"""
+    WITH texts AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+    words AS (SELECT doc_id, unnest(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS term FROM texts),
+    tf AS (SELECT doc_id, term, count(*) AS n FROM words GROUP BY ALL),
+    len AS (SELECT doc_id, sum(n) AS n FROM tf GROUP BY doc_id),
+    total AS (SELECT (SELECT count(*) FROM documents) AS docs,
+                     (SELECT sum(n) FROM len) / (SELECT count(*) FROM documents) AS average),
+    idf AS (SELECT term, ln(1 + (max(docs) - count(*) + 0.5) / (count(*) + 0.5)) AS w
+            FROM tf, total GROUP BY term),
+    scored AS (
+        SELECT q.doc_id AS query_id, d.doc_id AS doc_id,
+               round(sum(w * d.n * 2.2 / (d.n + 1.2 * (0.25 + 0.75 * len.n / average))), 6) AS score
+        FROM tf q JOIN idf USING (term) JOIN tf d USING (term)
+        JOIN len ON len.doc_id = d.doc_id, total
+        WHERE q.doc_id % 100 = 0
+        GROUP BY q.doc_id, d.doc_id),
+    ranked AS (
+        SELECT query_id, doc_id, score,
+               CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id)
+                    AS INTEGER) AS rank
+        FROM scored WHERE score > 0)
+    SELECT query_id, rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+ORACLES["op6_chat_perspectives"] = r"""
+    WITH own AS (
+        SELECT conv_id, coalesce(turn // 64, -1) AS part, turn,
+               CASE WHEN coalesce(regexp_replace(trim(role), '[\x00-\x20<>|]+', '_', 'g'), '') = ''
+                    THEN 'unknown'
+                    ELSE regexp_replace(trim(role), '[\x00-\x20<>|]+', '_', 'g') END AS speaker,
+               replace(coalesce(text, ''), '<|', '< |') AS body
+        FROM conversations),
+    sides AS (SELECT DISTINCT conv_id, speaker AS participant FROM own WHERE speaker <> 'system'),
+    told AS (
+        SELECT o.*, participant,
+               '<|im_start|>' || CASE WHEN speaker = participant THEN 'assistant'
+                                      WHEN speaker = 'system' THEN speaker
+                                      ELSE 'user name=' || speaker END || chr(10) AS head
+        FROM own o JOIN sides s ON o.conv_id IS NOT DISTINCT FROM s.conv_id),
+    placed AS (
+        SELECT *, length(head) + length(body) + 11 AS width,
+               coalesce(sum(length(head) + length(body) + 11) OVER (
+                   PARTITION BY conv_id, part, participant
+                   ORDER BY turn NULLS FIRST, speaker, body
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS first
+        FROM told)
+    SELECT conv_id, participant, CAST(part AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS turns,
+           string_agg(head || body || '<|im_end|>' || chr(10), ''
+                      ORDER BY turn NULLS FIRST, speaker, body) AS text,
+           coalesce(string_agg(first || ':' || (first + length(body) + 10), ',' ORDER BY first)
+                    FILTER (speaker = participant), '') AS mask,
+           CAST(coalesce(sum(length(body) + 10) FILTER (speaker = participant), 0) AS BIGINT)
+               AS trained
+    FROM placed GROUP BY conv_id, part, participant"""
