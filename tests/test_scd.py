@@ -285,7 +285,7 @@ def test_names_with_dots_and_spaces(spark, old, new):
     assert scd2_merge(first, after, key, at(T2)).count() == 6
     assert scd4_history(first, after, key, at(T2)).count() == 2
     assert scd4_current(first, after, key, at(T2)).count() == 4
-    joined = join_using(before, after, key, "full", spread="left")
+    joined = join_using(before, after, key, "full")
     assert joined.columns[0] == "the.key" and joined.count() == 4
 
 

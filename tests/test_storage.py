@@ -84,7 +84,7 @@ def test_scd2_load_does_not_read_closed_rows(spark, tmp_path):
     assert opened.inputFiles() and rows(opened, "name") == [("c",)]
     plan = opened._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "is_current" in plan.split("PartitionFilters: [")[1]
-    (newest,) = (tmp_path / "t").glob("v=3-*")
+    (newest,) = (tmp_path / "t").glob("tidemark_load=3-*")
     assert sorted(p.name for p in newest.iterdir() if "=" in p.name) == [
         "is_current=false",
         "is_current=true",
@@ -374,9 +374,9 @@ def test_trim(spark, tmp_path, kind):
         table.read(1)
     with pytest.raises(ValueError, match="kept"):
         table.trim(0)
-    kept = {d.name[:3] for d in (tmp_path / "current").glob("v=*")
+    kept = {d.name.split("-")[0] for d in (tmp_path / "current").glob("tidemark_load=*")
             if (d / "is_current=true").exists() or any(d.glob("*.parquet"))}
-    assert kept == {"v=3", "v=4"}
+    assert kept == {"tidemark_load=3", "tidemark_load=4"}
     assert write_scd(spark, frame(spark, (1, "n9")), conf, T2) == 5
 
 
@@ -428,6 +428,6 @@ def test_later_loads_write_few_files_per_partition(spark, tmp_path):
     for day, moment in zip(("2024-01-01", "2024-01-02", "2024-01-03"), (T1, T2, T3)):
         state = spark.range(moment.day * 1000).selectExpr("CAST(id AS INT) AS id", "'a' AS name")
         write_output(spark, state.repartition(20), output, day, moment)
-    (newest,) = (tmp_path / "t").glob("v=3-*/is_current=true")
+    (newest,) = (tmp_path / "t").glob("tidemark_load=3-*/is_current=true")
     found = {d.name: len(list(d.glob("*.parquet"))) for d in newest.iterdir() if "=" in d.name}
     assert found == {f"data_date=2024-01-0{d}": 1 for d in (1, 2, 3)}

@@ -8,7 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_BARE = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_BARE = (
+    T.NumericType,
+    T.BooleanType,
+    T.DateType,
+    T.TimestampNTZType,
+    T.DayTimeIntervalType,
+    T.YearMonthIntervalType,
+)
 
 # Full precision for timestamps inside nested values.
 _NTZ = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -25,6 +32,7 @@ def row_fingerprint(fields: Iterable[T.StructField]) -> Column:
 
     NULL has a mark of its own, and text is written with its length in front, so
     neither a NULL nor a separator inside a value can pass for something else.
+    Instants are written as such, so the session's time zone plays no part.
     Columns are taken in name order: reordering the columns of a source is not a
     change.
     """
@@ -36,6 +44,8 @@ def _framed(field: T.StructField) -> Column:
     value = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.BinaryType):
         text = F.hex(value)
+    elif isinstance(field.dataType, T.TimestampType):
+        text = F.unix_micros(value).cast("string")
     elif isinstance(field.dataType, _BARE):
         # Written out, these never hold the separator or the mark.
         text = value.cast("string")
@@ -46,5 +56,10 @@ def _framed(field: T.StructField) -> Column:
 
 
 def _nested(value: Column) -> Column:
-    options = {"ignoreNullFields": "false", "timestampFormat": _MICROS, "timestampNTZFormat": _NTZ}
+    options = {
+        "ignoreNullFields": "false",
+        "timeZone": "UTC",
+        "timestampFormat": _MICROS,
+        "timestampNTZFormat": _NTZ,
+    }
     return F.to_json(value, options)

@@ -1,8 +1,9 @@
 """Differences between two snapshots of one entity.
 
-A comparison stands every old row beside the new row with its key, as one full
-outer join would. A load that is small enough to broadcast is compared without
-shuffling the old rows at all; any other one shuffles each side once.
+A comparison stands every old row beside the new row with its key: one full outer
+join, whatever the sizes. Each side is read and shuffled once. A caller that knows
+a load to be tiny beside a large stored table may ask for ``small``, which gives
+the same rows by joins that can broadcast the load and leave the old rows in place.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import row_fingerprint, row_hash
-from .joins import fits_broadcast, named, row_digest
+from .joins import named
 
 # Bookkeeping columns of versioned rows, and change types.
 START, END, CURRENT, HASH = "start_date", "end_date", "is_current", "hash_data"
@@ -25,9 +26,13 @@ CHANGE_TYPE = "_change_type"
 INSERT, DELETE, UPDATE = "insert", "delete", "update"
 PREIMAGE, POSTIMAGE = "update_preimage", "update_postimage"
 
-# In a comparison: the new row, and whether there is an old one.
+COMMIT_VERSION = "_commit_version"
+
+# In a comparison: the new row, and whether there is an old one. In a feed: whether
+# an image is its key's last state.
 NEW, OLD = "__new", "__old"
-_SLOT = "__slot"
+LAST = "__last"
+_SLOT, _AMONG, _AT, _HAD = "__slot", "__among", "__at", "__had"
 
 
 def attribute_fields(
@@ -81,8 +86,18 @@ def hashed_pair(
 
 
 def align_types(df: DataFrame, model: DataFrame) -> DataFrame:
-    """``df`` with the types ``model`` has for the columns both know."""
+    """``df`` with the types ``model`` has for the columns both know.
+
+    A column whose values the other type cannot hold is an error, not rounded.
+    """
     kinds = {f.name.lower(): f.dataType for f in model.schema}
+    lossy = [
+        f"{f.name} ({f.dataType.simpleString()} to {kinds[f.name.lower()].simpleString()})"
+        for f in df.schema
+        if f.name.lower() in kinds and not _holds(kinds[f.name.lower()], f.dataType)
+    ]
+    if lossy:
+        raise ValueError(f"Columns do not fit the types of the target: {', '.join(lossy)}")
     return df.select(
         *[
             F.col(f"`{f.name}`").cast(kinds[f.name.lower()]).alias(f.name)
@@ -93,6 +108,37 @@ def align_types(df: DataFrame, model: DataFrame) -> DataFrame:
     )
 
 
+# Digits a whole number may have, by type.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _holds(target: T.DataType, source: T.DataType) -> bool:
+    """Whether every value of one type can be written in the other. A whole number
+    fits any other whole type as long as its value does; Spark checks that."""
+    if target == source or isinstance(source, T.NullType):
+        return True
+    if isinstance(target, T.StringType):
+        return isinstance(source, T.AtomicType)
+    if isinstance(source, T.StringType):
+        return False
+    whole = type(source) in _DIGITS
+    if type(target) in _DIGITS:
+        return whole
+    if isinstance(target, T.DecimalType):
+        if whole:
+            return target.precision - target.scale >= _DIGITS[type(source)]
+        return (
+            isinstance(source, T.DecimalType)
+            and target.scale >= source.scale
+            and target.precision - target.scale >= source.precision - source.scale
+        )
+    if isinstance(target, T.DoubleType):
+        return isinstance(source, T.FloatType) or (whole and _DIGITS[type(source)] <= 10)
+    if isinstance(target, (T.TimestampType, T.TimestampNTZType)):
+        return isinstance(source, T.DateType)
+    return not isinstance(source, T.AtomicType) and type(target) is type(source)
+
+
 def require_columns(df: DataFrame, columns: Sequence[str]) -> None:
     known = {c.lower() for c in df.columns}
     missing = [c for c in columns if c.lower() not in known]
@@ -122,36 +168,56 @@ def with_replacement(
     keys: Sequence[str],
     columns: Sequence[str],
     null_safe: bool = False,
+    among: Column | None = None,
 ) -> DataFrame:
     """Every row of ``old`` beside the listed columns of the row of ``new`` with
-    its key, as the struct ``NEW``; that is NULL where ``new`` has no such row."""
-    on = _matches(keys, "o", f"n.{NEW}", null_safe)
+    its key, as the struct ``NEW``; that is NULL where ``new`` has no such row.
+    With ``among`` only the old rows it holds for can have one."""
+    left, on = _marked(old, among, _matches(keys, "o", f"n.{NEW}", null_safe))
     right = _packed(new, [*keys, *columns])
-    return old.alias("o").join(right.alias("n"), on, "left").select("o.*", NEW)
+    return left.alias("o").join(right.alias("n"), on, "left").select("o.*", NEW).drop(_AMONG)
+
+
+def _marked(old: DataFrame, among: Column | None, on: Column) -> tuple[DataFrame, Column]:
+    if among is None:
+        return old, on
+    return old.withColumn(_AMONG, among), on & F.col(f"o.{_AMONG}")
 
 
 def compared(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], null_safe: bool = False
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    small: bool = False,
+    among: Column | None = None,
 ) -> DataFrame:
     """All rows of both sides: columns of ``old``, ``OLD`` where there is an old
-    row, and the new row as the struct ``NEW``."""
+    row, and the new row as the struct ``NEW``. With ``among`` only the old rows it
+    holds for can meet a new one."""
     left = old.withColumn(OLD, F.lit(True))
-    if fits_broadcast(new):
-        kept = with_replacement(left, new, keys, new.columns, null_safe)
-        return kept.unionByName(_fresh(new, old, keys, null_safe), allowMissingColumns=True)
+    if small:
+        kept = with_replacement(left, new, keys, new.columns, null_safe, among)
+        seen = old if among is None else old.where(among)
+        return kept.unionByName(_fresh(new, seen, keys, null_safe), allowMissingColumns=True)
     right = _packed(new, [*keys, *new.columns])
-    on = _matches(keys, "o", f"n.{NEW}", null_safe)
+    left, on = _marked(left, among, _matches(keys, "o", f"n.{NEW}", null_safe))
     if not null_safe:
         # Rows without a key match nothing, but would all hash to one partition.
-        left, right = _scattered(left, keys, ""), _scattered(right, keys, f"{NEW}.")
+        left = left.withColumn(_SLOT, _scatter(old.schema, keys, ""))
+        right = right.withColumn(_SLOT, _scatter(new.schema, keys, f"{NEW}."))
         on = on & (F.col(f"o.{_SLOT}") == F.col(f"n.{_SLOT}"))
-    return left.alias("o").join(right.alias("n"), on, "full").drop(_SLOT)
+    return left.alias("o").join(right.alias("n"), on, "full").drop(_SLOT, _AMONG)
 
 
-def _scattered(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
-    """Adds a slot that is 0, or taken from the content of a row without a key."""
+def _scatter(schema: T.StructType, keys: Sequence[str], prefix: str) -> Column:
+    """0, or for a row without a key a hash of its scalar columns. It depends on
+    content alone, so a task that is run again sends each row where it went before."""
     unkeyed = reduce(or_, [F.col(f"{prefix}`{c}`").isNull() for c in keys])
-    return df.withColumn(_SLOT, F.when(unkeyed, row_digest(df)).otherwise(F.lit(0)))
+    nested = (T.MapType, T.ArrayType, T.StructType, T.VariantType)
+    scalars = [f.name for f in schema if not isinstance(f.dataType, nested)]
+    spread = F.xxhash64(*[F.col(f"{prefix}`{c}`") for c in scalars])
+    return F.when(unkeyed, spread).otherwise(F.lit(0).cast("long"))
 
 
 def _fresh(
@@ -239,23 +305,58 @@ def change_feed(
     hash: str = "exact",
     null_safe: bool = False,
 ) -> DataFrame:
-    """Row images that turn ``old`` into ``new``, tagged with ``_change_type``."""
-    columns = new.columns
+    """Row images that turn ``old`` into ``new``, tagged with ``_change_type``.
+
+    Images have the columns of ``new``, then those that only ``old`` has.
+    """
+    given = {c.lower(): c for c in new.columns}
+    kinds = {f.name: f.dataType for f in [*old.schema, *new.schema]}
+    lost = [c for c in old.columns if c.lower() not in given and c not in AUDIT]
+    columns = [*new.columns, *lost]
     old, new = hashed_pair(old, new, keys, ignore, hash)
 
-    def image(prefix: str, tag: str) -> Column:
-        values = [F.col(f"{prefix}`{c}`").alias(c) for c in columns]
+    def image(after: bool, tag: str) -> Column:
+        values = []
+        for c in columns:
+            if not after:
+                value = F.col(f"`{c}`")
+            elif c in lost:
+                value = F.lit(None).cast(kinds[c])
+            else:
+                value = F.col(f"{NEW}.`{c}`")
+            values.append(value.alias(c))
         return F.struct(*values, F.lit(tag).alias(CHANGE_TYPE))
 
     images = (
-        F.when(gone(), F.array(image("", DELETE)))
-        .when(fresh(), F.array(image(f"{NEW}.", INSERT)))
-        .otherwise(F.array(image("", PREIMAGE), image(f"{NEW}.", POSTIMAGE)))
+        F.when(gone(), F.array(image(False, DELETE)))
+        .when(fresh(), F.array(image(True, INSERT)))
+        .otherwise(F.array(image(False, PREIMAGE), image(True, POSTIMAGE)))
     )
     moved = compared(old, new, keys, null_safe).where(gone() | fresh() | differs())
     return moved.select(F.explode(images).alias("image")).select("image.*")
 
 
+def feed_events(feed: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
+    """A feed's images with ``LAST``: whether the image is the state its key has
+    after the feed.
+
+    ``version`` names the column that orders the changes of a key, by default
+    ``_commit_version`` if the feed has it; within one version a deletion comes
+    before a new image. Without such a column all images are of one version.
+    """
+    if version is None and COMMIT_VERSION in feed.columns:
+        version = COMMIT_VERSION
+    kind = F.col(CHANGE_TYPE)
+    after = kind.isin(INSERT, POSTIMAGE)
+    at = F.struct(
+        (F.col(f"`{version}`") if version else F.lit(0)).alias("version"),
+        F.when(after, 2).when(kind == DELETE, 1).otherwise(0).alias("step"),
+    )
+    timed = feed.withColumn(_AT, at)
+    newest = F.max(_AT).over(Window.partitionBy(*named(keys)))
+    return timed.withColumn(LAST, after & (F.col(_AT) == newest)).drop(_AT)
+
+
 def apply_change_feed(
     current: DataFrame,
     history: DataFrame,
@@ -263,21 +364,26 @@ def apply_change_feed(
     keys: Sequence[str],
     as_of: Column,
     null_safe: bool = False,
+    version: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Current state and history after a feed.
 
-    Keys named in the feed leave the current state and its new images enter it;
-    old images go to the history, closed at ``as_of``.
+    Keys named in the feed leave the current state and the last of their new images
+    enters it; for the order of a key's changes see :func:`feed_events`. Old images
+    go to the history, closed at ``as_of``. A current row that a feed replaces
+    without giving its old image goes there too.
     """
-    images = feed.where(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).drop(CHANGE_TYPE)
-    touched = feed.select(*named(keys)).distinct()
+    events = feed_events(feed, keys, version)
+    extra = [CHANGE_TYPE, LAST, *([version or COMMIT_VERSION])]
+    images = events.where(LAST).drop(*extra)
+    old_image = F.col(CHANGE_TYPE).isin(DELETE, PREIMAGE)
+    touched = feed.groupBy(*named(keys)).agg(F.max(old_image).alias(_HAD))
     on = _matches(keys, "c", "t", null_safe)
-    rest = current.alias("c").join(touched.alias("t"), on, "left_anti")
+    met = current.alias("c").join(touched.alias("t"), on, "left")
+    rest = met.where(F.col(f"t.{_HAD}").isNull()).select("c.*")
     state = rest.unionByName(images, allowMissingColumns=True)
 
-    closed = (
-        feed.where(F.col(CHANGE_TYPE).isin(DELETE, PREIMAGE))
-        .drop(CHANGE_TYPE)
-        .withColumn(END, as_of)
-    )
-    return state, history.unionByName(closed, allowMissingColumns=True)
+    closed = events.where(old_image).drop(*extra).withColumn(END, as_of)
+    silent = met.where(~F.col(f"t.{_HAD}")).select("c.*").withColumn(END, as_of)
+    past = history.unionByName(closed, allowMissingColumns=True)
+    return state, past.unionByName(silent, allowMissingColumns=True)

@@ -1,23 +1,18 @@
-"""Equi-joins on named keys, with an option for sides that have hot keys."""
+"""Equi-joins on named keys.
+
+A key that holds a large part of a side's rows is left to adaptive execution, which
+splits its partition in inner, left, right, semi and anti joins. It cannot do so in
+a full outer join; a full join is therefore a left join and the unmatched rest.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Keys are counted by hash, in this many slots. A slot with more than one row in
-# HOT_SHARE is hot, so fewer than HOT_SHARE slots are.
-SLOTS = 1 << 16
-HOT_SHARE = 512
-# A hot slot is cut into pieces of this part of an average shuffle partition.
-FINENESS = 8
-
-_SALT = "__salt"
 
 _HOW = {
     "inner": "inner",
@@ -40,70 +35,32 @@ def named(columns: Iterable[str]) -> list[Column]:
     return [F.col(f"`{c}`") for c in columns]
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate is below the broadcast threshold.
-
-    This is the check Catalyst itself makes; it only picks between two plans
-    that give the same rows.
-    """
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size) <= limit
-
-
 def join_on(
-    df1: DataFrame,
-    df2: DataFrame,
-    join_cols: Sequence[str],
-    how: str = "inner",
-    spread: str | None = None,
+    df1: DataFrame, df2: DataFrame, join_cols: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Join two frames on equally named keys and keep both sides' columns.
 
     The sides stay addressable as ``df1.<column>`` and ``df2.<column>``.
-
-    ``spread`` names the side (``"left"`` or ``"right"``) on which one key may
-    hold a large part of the rows. That side's hot keys are then spread over all
-    shuffle partitions, unless the other side is small enough to broadcast; the
-    rows returned are the same. Key types should agree: with different ones the
-    keys are joined, but not spread. The spreading looks at all columns of that
-    side, so select the needed ones first.
     """
     kind = _HOW.get(how.lower().replace("_", ""))
     if kind is None:
         raise ValueError(f"Unsupported join type: {how}")
-    if spread not in (None, "left", "right"):
-        raise ValueError(f"spread must be 'left' or 'right', not {spread!r}")
     if not join_cols:
         raise ValueError("join_cols must name at least one column")
-
-    if spread is None:
-        return df1.alias("df1").join(df2.alias("df2"), _same(join_cols), kind)
-    if kind in ("left_semi", "left_anti"):
-        # One row per key is enough on the right, however often a key occurs.
-        keys = df2.select(*named(join_cols)).distinct()
-        if spread == "right":
-            return df1.alias("df1").join(keys.alias("df2"), _same(join_cols), kind)
-        return _salted(df1, keys, join_cols, kind, "left")
-
-    # Copies of the other side's rows must not surface as unmatched rows, so its
-    # unmatched rows are added on their own.
-    other = "right" if spread == "left" else "left"
-    joined = _salted(df1, df2, join_cols, spread if kind in (spread, "full") else "inner", spread)
-    if kind in (other, "full"):
-        joined = joined.union(_unmatched(df1, df2, join_cols, other))
-    return joined
+    left, right = df1.alias("df1"), df2.alias("df2")
+    if kind != "full":
+        return left.join(right, _same(join_cols), kind)
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in df1.schema]
+    rest = right.join(left, _same(join_cols), "left_anti")
+    unmatched = rest.select(*blank, *[F.col(f"df2.`{c}`") for c in df2.columns])
+    return left.join(right, _same(join_cols), "left").union(unmatched)
 
 
 def join_using(
-    df1: DataFrame,
-    df2: DataFrame,
-    join_cols: Sequence[str],
-    how: str = "inner",
-    spread: str | None = None,
+    df1: DataFrame, df2: DataFrame, join_cols: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Like :func:`join_on`, but every key appears once, in front."""
-    joined = join_on(df1, df2, join_cols, how, spread)
+    joined = join_on(df1, df2, join_cols, how)
     kind = _HOW[how.lower().replace("_", "")]
     if kind in ("left_semi", "left_anti"):
         return joined
@@ -122,85 +79,3 @@ def join_using(
 
 def _same(keys: Sequence[str]) -> Column:
     return reduce(and_, [F.col(f"df1.`{c}`") == F.col(f"df2.`{c}`") for c in keys])
-
-
-def _salted(
-    df1: DataFrame, df2: DataFrame, keys: Sequence[str], kind: str, spread: str
-) -> DataFrame:
-    hot_side, other = (df1, df2) if spread == "left" else (df2, df1)
-    if fits_broadcast(other) or not _hash_alike(df1, df2, keys):
-        return df1.alias("df1").join(df2.alias("df2"), _same(keys), kind)
-
-    partitions = int(df1.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = F.coalesce(
-        F.try_element_at(_hot_slots(hot_side, keys, partitions), _slot(keys)), F.lit(1)
-    )
-    # A row with a NULL key never matches, so it may go anywhere.
-    free = reduce(or_, [c.isNull() for c in named(keys)])
-    spread_over = F.when(free, F.lit(partitions)).otherwise(pieces)
-    salt = F.when(spread_over > 1, F.pmod(row_digest(hot_side), spread_over).cast("int"))
-    marked = hot_side.withColumn(_SALT, salt.otherwise(0))
-    copied = other.withColumn(_SALT, F.explode(F.sequence(F.lit(0), pieces - 1)))
-
-    left, right = (marked, copied) if spread == "left" else (copied, marked)
-    on = _same(keys) & (F.col(f"df1.{_SALT}") == F.col(f"df2.{_SALT}"))
-    joined = left.alias("df1").join(right.alias("df2"), on, kind)
-    columns = [F.col(f"df1.`{c}`") for c in df1.columns]
-    if kind not in ("left_semi", "left_anti"):
-        columns += [F.col(f"df2.`{c}`") for c in df2.columns]
-    return joined.select(*columns)
-
-
-def _hash_alike(df1: DataFrame, df2: DataFrame, keys: Sequence[str]) -> bool:
-    """Whether equal keys of the two sides have equal hashes, so that both sides
-    agree on which keys are hot. Not so across types, nor under a collation."""
-    binary = T.StringType()
-    for c in keys:
-        left, right = (df.select(F.col(f"`{c}`")).schema[0].dataType for df in (df1, df2))
-        if left != right or (isinstance(left, T.StringType) and left != binary):
-            return False
-    return True
-
-
-def row_digest(df: DataFrame) -> Column:
-    """A number that depends on the content of a row alone: a task that is run
-    again after a lost executor sends every row where the first attempt sent it.
-    Rows that agree in every column therefore stay together."""
-    return F.xxhash64(*[f"`{f.name}`" for f in df.schema if f.dataType.typeName() != "map"])
-
-
-def _slot(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*named(keys)), F.lit(SLOTS)).cast("int")
-
-
-def _hot_slots(df: DataFrame, keys: Sequence[str], partitions: int) -> Column:
-    """The hot slots and the number of pieces for each, as a scalar subquery. It
-    reads the key columns only and counts per slot before anything shuffles.
-
-    The counts are exact, so the result is the same each time it is computed:
-    both sides of a join must agree on it. No hot key is missed; a few other keys
-    that share its slot are spread with it.
-    """
-    counted = df.groupBy(_slot(keys).alias("slot")).agg(F.count("*").alias("n"))
-    whole = counted.agg(
-        F.sort_array(F.collect_list(F.struct("slot", "n"))).alias("slots"),
-        F.sum("n").alias("total"),
-    )
-    hot = F.filter("slots", lambda s: s["n"] * F.lit(HOT_SHARE) > F.col("total"))
-
-    def pieces(s: Column) -> Column:
-        wanted = F.ceil(s["n"].cast("double") / F.col("total") * F.lit(FINENESS * partitions))
-        return F.struct(s["slot"], F.least(wanted, F.lit(partitions)).cast("int"))
-
-    return whole.select(F.map_from_entries(F.transform(hot, pieces)).alias("hot")).scalar()
-
-
-def _unmatched(df1: DataFrame, df2: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
-    """Rows of ``side`` without a partner, widened with NULLs to both sides' columns."""
-    own, foreign = (df1, df2) if side == "left" else (df2, df1)
-    seen = foreign.select(*named(keys)).distinct()
-    alone = own.alias("df1").join(seen.alias("df2"), _same(keys), "left_anti")
-
-    kept = [F.col(f"df1.`{c}`") for c in own.columns]
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in foreign.schema]
-    return alone.select(*(kept + blank if side == "left" else blank + kept))

@@ -33,6 +33,10 @@ from .changes import (
 )
 
 
+# The hash a version was stored with.
+_STORED = "__stored"
+
+
 def _never(as_of: Column) -> Column:
     """NULL of the type of ``as_of``."""
     return F.nullif(as_of, as_of)
@@ -58,6 +62,7 @@ def scd1_merge(
     source: DataFrame,
     keys: Sequence[str],
     null_safe: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """Upsert: last write wins, rows only in the target stay.
 
@@ -81,7 +86,8 @@ def scd1_merge(
         return F.when(gone(), old).otherwise(new).alias(c)
 
     columns = [*target.columns, *[c for c in source.columns if c.lower() not in known]]
-    return compared(target, source, keys, null_safe).select(*[merged(c) for c in columns])
+    pairs = compared(target, source, keys, null_safe, small)
+    return pairs.select(*[merged(c) for c in columns])
 
 
 # -- type 2 -----------------------------------------------------------------
@@ -110,6 +116,7 @@ def scd2_step(
     insert_new: bool = True,
     expire_missing: bool = False,
     null_safe: bool = False,
+    small: bool = False,
 ) -> DataFrame:
     """What a load makes of the open versions: the versions open afterwards and
     those it has closed. Versions closed earlier take no part in a load.
@@ -117,13 +124,37 @@ def scd2_step(
     A key the target has never had opens a version unless ``insert_new`` is off;
     a key the source lacks stays open unless ``expire_missing`` is on.
     """
+    return _scd2(
+        opened, source, keys, as_of, ignore, hash, insert_new, expire_missing, null_safe, small
+    )
+
+
+def _scd2(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    as_of: Column,
+    ignore: Iterable[str],
+    hash: str,
+    insert_new: bool,
+    expire_missing: bool,
+    null_safe: bool,
+    small: bool = False,
+    is_open: Column | None = None,
+) -> DataFrame:
+    """The versions after a load, in one pass over ``target``. With ``is_open``
+    those it does not hold for come through as they are."""
     _check_source(source, keys)
-    opened, source = hashed_pair(opened, source, keys, ignore, hash)
-    columns = [c for c in opened.columns if c not in AUDIT]
+    stays = F.lit(False) if is_open is None else ~is_open
+    stored = F.col(HASH) if HASH in target.columns else F.lit(None).cast("string")
+    kept = target.withColumn(_STORED, stored)
+    kept, source = hashed_pair(kept, source, keys, [*ignore, _STORED], hash)
+    columns = [c for c in kept.columns if c not in AUDIT and c != _STORED]
     supplied = {c.lower(): c for c in source.columns if c not in AUDIT}
-    kinds = {f.name: f.dataType for f in opened.schema}
+    kinds = {f.name: f.dataType for f in kept.schema}
 
     closing = differs() | gone() if expire_missing else differs()
+    closing = closing & ~stays
 
     def newer(c: str) -> Column:
         if c.lower() in supplied:
@@ -138,18 +169,18 @@ def scd2_step(
         [F.col(f"`{c}`") for c in columns],
         F.col(START),
         F.when(closing, as_of).otherwise(F.col(END)),
-        ~closing,
-        F.col(HASH),
+        F.when(stays, F.col(CURRENT)).otherwise(~closing),
+        F.when(stays, F.col(_STORED)).otherwise(F.col(HASH)),
     )
     after = version(
         [newer(c) for c in columns], as_of, _never(as_of), F.lit(True), F.col(f"{NEW}.{HASH}")
     )
     versions = F.when(differs(), F.array(before, after)).otherwise(F.array(before))
     if insert_new:
-        pairs = compared(opened, source, keys, null_safe)
+        pairs = compared(kept, source, keys, null_safe, small, is_open)
         versions = F.when(fresh(), F.array(after)).otherwise(versions)
     else:
-        pairs = with_replacement(opened, source, keys, source.columns, null_safe)
+        pairs = with_replacement(kept, source, keys, source.columns, null_safe, is_open)
     return pairs.select(F.explode(versions).alias("v")).select("v.*")
 
 
@@ -164,15 +195,15 @@ def scd2_merge(
     expire_missing: bool = False,
     null_safe: bool = False,
 ) -> DataFrame:
-    """The whole table after a load: earlier closed versions and :func:`scd2_step`."""
+    """The whole table after a load: earlier closed versions and what
+    :func:`scd2_step` gives, in one pass over the table."""
     if target is None:
         return scd2_init(source, keys, as_of, ignore, hash)
     is_open = F.coalesce(F.col(CURRENT), F.lit(False))
-    step = scd2_step(
-        target.where(is_open), source, keys, as_of, ignore, hash,
-        insert_new, expire_missing, null_safe,
+    return _scd2(
+        target, source, keys, as_of, ignore, hash,
+        insert_new, expire_missing, null_safe, is_open=is_open,
     )
-    return target.where(~is_open).unionByName(step, allowMissingColumns=True)
 
 
 # -- type 4 -----------------------------------------------------------------

@@ -39,6 +39,8 @@ def loan_summary(
     """
     paid_on = F.col("PaymentDate").cast("date")
     paid = F.when(paid_on.between(first_day, last_day), F.col("PaymentAmount"))
+    if not fan_out:  # then payments outside the range do not count at all
+        payments = between_days(payments, "PaymentDate", first_day, last_day)
     per_loan = payments.groupBy("LoanID").agg(
         F.sum(paid.otherwise(F.lit(0))).alias("paid"), F.count("*").alias("payments")
     )
@@ -72,7 +74,7 @@ def service_activity(
     owners = transactions.select("TransactionID", "CustomerID")
     amounts = details.select("TransactionID", "ServiceID", "Amount")
     return (
-        join_using(amounts, owners, ["TransactionID"], spread="left")
+        join_using(amounts, owners, ["TransactionID"])
         .join(services.select("ServiceID", "ServiceName"), "ServiceID")
         .groupBy("CustomerID", "ServiceName")
         .agg(
@@ -128,7 +130,7 @@ def monthly_customer_report(
     placed = (
         on_previous_day(customers, "ds_partition_date", data_date)
         .select(*who, "BranchID")
-        .transform(join_using, located, ["BranchID"], spread="left")
+        .transform(join_using, located, ["BranchID"])
         .groupBy(*who, *place)
         .agg(F.sum("branches").alias("branches"))
     )
@@ -147,7 +149,7 @@ def monthly_customer_report(
     paid = payments.where(F.col("PaymentAmount") > 0).select(
         "LoanID", "PaymentDate", "PaymentAmount"
     )
-    paid = join_on(paid, started, ["LoanID"], "semi", spread="left")
+    paid = join_on(paid, started, ["LoanID"], "semi")
     owed = loan_summary(started, paid, window.first_day, window.last_day, fan_out)
     served = placed.join(activity, "CustomerID").join(owed, "CustomerID", "left")
     spent = F.col("Amount") * F.col("accounts") * F.col("branches")

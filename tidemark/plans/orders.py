@@ -13,7 +13,7 @@ from .runner import Frames, require
 def customers_with_orders(frames: Frames) -> DataFrame:
     """Every order beside its customer. One customer may own many orders."""
     customers, orders = require(frames, ["customer_df", "orders_df"])
-    return join_using(customers, orders, ["customer_id"], "inner", spread="right")
+    return join_using(customers, orders, ["customer_id"])
 
 
 def order_totals(details: DataFrame) -> DataFrame:

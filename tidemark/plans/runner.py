@@ -80,15 +80,24 @@ def run(
         entries = [{"name": "input", **entries}]
     inputs = load_inputs(spark, entries)
     logger.info("Inputs: %s", ", ".join(inputs))
-    frames = apply_steps(inputs, conf.get("transformation") or [])
-    if transform is not None:
-        frames["result"] = transform(frames)
     output = conf.get("outputs") or conf.get("output")
-    name = "result" if transform is not None or not output else output.get("dataframe")
-    (df,) = require(frames, [name or "result"])
-    if output:
-        write_output(spark, df, output, data_date, as_of)
-        for cached in inputs.values():
-            if cached.is_cached:
-                cached.unpersist()
+    try:
+        frames = apply_steps(inputs, conf.get("transformation") or [])
+        if transform is not None:
+            frames["result"] = transform(frames)
+        name = "result" if transform is not None or not output else output.get("dataframe")
+        (df,) = require(frames, [name or "result"])
+        if output:
+            write_output(spark, df, output, data_date, as_of)
+    except BaseException:
+        _release(inputs)
+        raise
+    if output:  # without one the caller has yet to use them
+        _release(inputs)
     return df
+
+
+def _release(inputs: Frames) -> None:
+    for cached in inputs.values():
+        if cached.is_cached:
+            cached.unpersist()

@@ -7,6 +7,9 @@
      "insert_new": true, "expire_missing": false, "stage_source": true}
 
 Type 4 has ``"path": {"current": ..., "history": ...}`` and ``seed_history``.
+``small_load`` says that loads are tiny beside the stored rows: types 1 and 2 then
+compare them by joins that can broadcast the load, which reads the stored rows
+twice but does not shuffle them. The rows are the same either way.
 With ``table`` the result is also a view of that name (type 4: two names).
 """
 
@@ -25,15 +28,16 @@ from pyspark.sql import functions as F
 from ..operators import scd as ops
 from ..operators.changes import (
     CHANGE_TYPE,
-    DELETE,
+    COMMIT_VERSION,
+    END,
     HASH,
     INSERT,
+    LAST,
     NEW,
     POSTIMAGE,
-    PREIMAGE,
-    apply_change_feed,
     attribute_fields,
     duplicate_keys,
+    feed_events,
     gone,
     require_columns,
     with_replacement,
@@ -129,7 +133,8 @@ def _finish(
 def _load_scd1(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
     table = VersionedTable(spark, _paths(spark, conf), REPLACE, _format(conf))
     table.begin()
-    merged = ops.scd1_merge(table.read(), source, keys, conf.get("null_safe_keys", False))
+    null_safe, small = conf.get("null_safe_keys", False), conf.get("small_load", False)
+    merged = ops.scd1_merge(table.read(), source, keys, null_safe, small)
     return _finish(table, merged, conf)
 
 
@@ -141,8 +146,9 @@ def _load_scd2(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Col
         load = ops.scd2_init(source, keys, as_of, **_options(conf))
     else:
         options = _options(conf, "insert_new", "expire_missing")
-        null_safe = conf.get("null_safe_keys", False)
-        load = ops.scd2_step(opened, source, keys, as_of, null_safe=null_safe, **options)
+        options["null_safe"] = conf.get("null_safe_keys", False)
+        options["small"] = conf.get("small_load", False)
+        load = ops.scd2_step(opened, source, keys, as_of, **options)
     return _finish(table, load, conf, _basis(source, conf))
 
 
@@ -165,30 +171,39 @@ def write_feed(
     """Apply a change feed to a stored type 4 dimension and return the load's
     number. The first feed sets the dimension up from its new images.
 
-    The feed is read several times, so it should be stored or cheap.
+    ``version`` in ``conf`` names the column that orders a key's changes, by default
+    ``_commit_version`` if the feed has it. Of several new images of a key the last
+    one is current; the others go to the history with the stored row they replace,
+    whether or not the feed gives that row's old image. Several new images of a key
+    without an order are an error. The feed is read several times, so it should be
+    stored or cheap.
     """
-    pair, keys = _Pair(spark, conf, feed), conf["primary_keys"]
+    keys, version = conf["primary_keys"], conf.get("version")
     require_columns(feed, keys)
+    ordering = version or COMMIT_VERSION
+    data = feed.drop(ordering)
+    pair = _Pair(spark, conf, data)
     moment = as_of if isinstance(as_of, Column) else F.lit(as_of or dt.datetime.now())
-    images = feed.where(F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)).drop(CHANGE_TYPE)
-    opened = ops.scd4_init(images, keys, moment, **_options(conf))
+    events = feed_events(feed, keys, version).drop(ordering)
+    last = events.where(LAST).drop(CHANGE_TYPE, LAST)
+    clash = duplicate_keys(last, keys).limit(3).collect()
+    if clash:
+        raise ValueError(f"Several new images of a key without an order, for example {clash}")
+    options = _options(conf)
+    opened = ops.scd4_init(last, keys, moment, **options)
+    new_image = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
+    passed = events.where(new_image & ~F.col(LAST)).drop(CHANGE_TYPE, LAST)
+    passed = ops.scd4_init(passed, keys, moment, **options).withColumn(END, moment)
     before = pair.current.read()
     if before is None:
-        return pair.commit(opened, opened)
+        seed = opened if conf.get("seed_history", True) else opened.limit(0)
+        return pair.commit(opened, seed.unionByName(passed))
     null_safe = conf.get("null_safe_keys", False)
-    tagged = opened.withColumn(CHANGE_TYPE, F.lit(POSTIMAGE))
-    out = feed.where(F.col(CHANGE_TYPE).isin(DELETE, PREIMAGE)).select(*named(keys))
-    closed = with_replacement(before, out.distinct(), keys, keys, null_safe).where(~gone())
-    removed = closed.drop(NEW).withColumn(CHANGE_TYPE, F.lit(DELETE))
-    state, past = apply_change_feed(
-        before,
-        before.limit(0),
-        tagged.unionByName(removed, allowMissingColumns=True),
-        keys,
-        moment,
-        null_safe,
-    )
-    return pair.commit(state, past)
+    touched = data.select(*named(keys)).distinct()
+    met = with_replacement(before, touched, keys, keys, null_safe)
+    closed = met.where(~gone()).drop(NEW).withColumn(END, moment)
+    state = met.where(gone()).drop(NEW).unionByName(opened, allowMissingColumns=True)
+    return pair.commit(state, closed.unionByName(passed, allowMissingColumns=True))
 
 
 class _Pair:

@@ -12,12 +12,15 @@ With an ``scd`` section the output is a slowly changing dimension, see
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 
 from ..functions.dates import as_day
+from ..operators.joins import named
+from ..tables import files
 from ..tables.formats import file_format
 from .scd_store import write_scd
 
@@ -67,15 +70,33 @@ def write_output(
     writer = _writer(spark, df, output)
     if output.get("table"):
         writer.saveAsTable(output["table"])
+    elif output.get("mode", "overwrite") == "overwrite":
+        _replace(spark, writer, output["path"])
     else:
         writer.save(output["path"])
 
 
+def _replace(spark: SparkSession, writer: DataFrameWriter, path: str) -> None:
+    """Write beside the old files and swap when all is written, so that a write
+    that dies leaves the old ones."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    staged = f"{parent}/_{name}-{uuid.uuid4().hex}" if parent else f"_{name}-{uuid.uuid4().hex}"
+    try:
+        writer.mode("errorifexists").save(staged)
+        files.put_in_place(spark, staged, path)
+    finally:
+        files.remove(spark, staged)
+    spark.catalog.refreshByPath(path)
+
+
 def _writer(spark: SparkSession, df: DataFrame, output: Entry) -> DataFrameWriter:
     fmt = file_format(spark, output["format"])
     options = dict(output.get("options") or {})
     if fmt == "csv":
         options.setdefault("header", True)
-    writer = df.write.format(fmt).options(**options).mode(output.get("mode", "overwrite"))
     columns = output.get("partition_by") or []
+    if columns:
+        # Without this each task would write a small file into each partition.
+        df = df.hint("rebalance", *named(columns))
+    writer = df.write.format(fmt).options(**options).mode(output.get("mode", "overwrite"))
     return writer.partitionBy(*columns) if columns else writer

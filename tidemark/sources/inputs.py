@@ -38,16 +38,22 @@ def _reader(spark: SparkSession, entry: Entry) -> DataFrameReader:
     return reader.schema(entry["schema"]) if entry.get("schema") else reader
 
 
+def _table(spark: SparkSession, entry: Entry, name: str) -> DataFrame:
+    """A table by name. Its options reach the source, for instance those of a
+    change feed; the schema is the table's own."""
+    return spark.read.options(**(entry.get("options") or entry.get("option") or {})).table(name)
+
+
 def _read_csv(spark: SparkSession, entry: Entry) -> DataFrame:
     kind, where = location(spark, entry)
-    return spark.table(where) if kind == "table" else _reader(spark, entry).csv(where)
+    return _table(spark, entry, where) if kind == "table" else _reader(spark, entry).csv(where)
 
 
 def _read_columnar(spark: SparkSession, entry: Entry) -> DataFrame:
     """A catalog table, a table this package keeps, or a directory of files."""
     kind, where = location(spark, entry)
     if kind == "table":
-        return spark.table(where)
+        return _table(spark, entry, where)
     kept = VersionedTable.at(spark, where)
     if kept is not None:
         return kept.read()

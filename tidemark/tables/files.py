@@ -56,6 +56,22 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
+def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Let a finished directory take the place of another one."""
+    fs, new = _resolve(spark, staged)
+    _, target = _resolve(spark, path)
+    _, aside = _resolve(spark, f"{staged}-before")
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, aside):
+        raise OSError(f"Cannot move {path}")
+    if not fs.rename(new, target):
+        if replaced:
+            fs.rename(aside, target)
+        raise OSError(f"Cannot move {staged} to {path}")
+    if replaced:
+        fs.delete(aside, True)
+
+
 def absolute(spark: SparkSession, path: str) -> str:
     fs, handle = _resolve(spark, path)
     return fs.makeQualified(handle).toString().rstrip("/")

@@ -1,11 +1,17 @@
 """Tables that are replaced or extended one whole load at a time.
 
-Load ``n`` writes its files to a directory of its own, ``<root>/v=<n>-<mark>/``,
+Load ``n`` writes its files to a directory of its own, ``<root>/tidemark_load=<n>-<mark>/``,
 and then a commit file ``<root>/_commits/<n>.json`` that names the directory and
 the schema. Readers see committed loads only, so a load that dies half-way
 changes nothing and can simply run again, and two loads that run at the same
 time do not touch each other's files: the second one to commit fails. Files are
-never overwritten.
+never overwritten. That holds where renaming a file is one step that fails if the
+target exists, as on HDFS and local disks; on an object store that copies instead,
+loads of one table have to take turns.
+
+A text column that partitions the table is written into the files as well, because
+directory names do not keep all text: an empty one reads as NULL, and SQL takes
+``007`` for a number.
 
 How loads make up the table:
 
@@ -36,6 +42,9 @@ REPLACE, APPEND, LEDGER = "replace", "append", "ledger"
 # Names the table whose commit files count, where that is another one.
 _POINTER = "_log"
 
+# Reserved: the directory level of loads, and copies of text partition columns.
+LOAD, COPY = "tidemark_load", "tidemark_value_"
+
 
 class VersionedTable:
     """A table kept in ``root``.
@@ -100,17 +109,17 @@ class VersionedTable:
         if info is None:
             return None
         if self.mode == REPLACE:
-            return self._newest(info).drop("v")
-        df = self._files(info).where(F.col("v").isin(info["loads"]))
+            return self._newest(info).drop(LOAD)
+        df = self._files(info).where(F.col(LOAD).isin(info["loads"]))
         if self.mode == LEDGER:
-            df = df.where((F.col("v") == info["files"]) | ~F.col(CURRENT))
-        return df.drop("v")
+            df = df.where((F.col(LOAD) == info["files"]) | ~F.col(CURRENT))
+        return df.drop(LOAD)
 
     def read_open(self) -> DataFrame | None:
         """Current rows of a ledger. Looks into the newest load's directory only,
         however many loads came before."""
         info = self._info(self._state())
-        return info and self._newest(info).where(F.col(CURRENT)).drop("v")
+        return info and self._newest(info).where(F.col(CURRENT)).drop(LOAD)
 
     def notes(self) -> dict[str, Any]:
         """Commit entry of the state this object sees."""
@@ -134,7 +143,7 @@ class VersionedTable:
             # First the state, then its rows: an interrupted run leaves no state
             # that can be read in part.
             files.remove(self.spark, f"{self.log}/{n}.json")
-            files.remove(self.spark, f"{self.root}/v={info['files']}{below}")
+            files.remove(self.spark, f"{self.root}/{LOAD}={info['files']}{below}")
 
     def _committed(self, n: int) -> bool:
         return files.exists(self.spark, f"{self.log}/{n}.json")
@@ -144,33 +153,51 @@ class VersionedTable:
         return commit.get(self.part)
 
     def _files(self, info: dict, below: str = "") -> DataFrame:
-        """Rows with their load ``v``. The schema is known, so no file is opened
-        to find it, and columns that older files lack are NULL."""
-        schema = T.StructType.fromJson(info["schema"]).add("v", T.StringType())
-        reader = self.spark.read.format(info["format"]).schema(schema)
-        return reader.option("basePath", self.root).load(f"{self.root}/{below}")
+        """Rows with their load. The schema is known, so no file is opened to find
+        it, and columns that older files lack are NULL."""
+        schema = T.StructType.fromJson(info["schema"])
+        stored = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])
+        for c in info["copied"]:
+            stored = stored.add(f"{COPY}{c}", T.StringType())
+        reader = self.spark.read.format(info["format"]).schema(stored)
+        rows = reader.option("basePath", self.root).load(f"{self.root}/{below}")
+        values = [
+            F.col(f"`{COPY}{c}`").alias(c) if c in info["copied"] else F.col(f"`{c}`")
+            for c in schema.names
+        ]
+        return rows.select(*values, LOAD)
 
     def _newest(self, info: dict[str, Any]) -> DataFrame:
-        return self._files(info, f"v={info['files']}")
+        return self._files(info, f"{LOAD}={info['files']}")
 
     def publish(self, name: str) -> None:
-        """Make the newest load readable under a name of the catalog."""
+        """Make the newest load readable under a name of the catalog.
+
+        The view names each load's directory and the columns its files have, so no
+        footers are merged when it is used.
+        """
         info = self._info(self.version())
-        columns = ", ".join(
-            f"CAST(`{f['name']}` AS {T.StructField.fromJson(f).dataType.simpleString()}) "
-            f"AS `{f['name']}`"
-            for f in info["schema"]["fields"]
-        )
+        fields = T.StructType.fromJson(info["schema"]).fields
         root, newest = files.absolute(self.spark, self.root), info["files"]
-        if self.mode == REPLACE:
-            rows = f"{info['format']}.`{root}/v={newest}`"
-        else:
-            # Loads may differ in their columns, which SQL finds in the files only.
-            loads = ", ".join(f"'{load}'" for load in info["loads"])
-            rows = f"{info['format']}.`{root}` WITH ('mergeSchema' = 'true') WHERE v IN ({loads})"
-        if self.mode == LEDGER:
-            rows += f" AND (v = '{newest}' OR NOT CAST({CURRENT} AS BOOLEAN))"
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {rows}")
+        shown = [newest] if self.mode == REPLACE else info["loads"]
+        rows = []
+        for load in shown:
+            known = {c.lower() for c in info["columns"].get(load, [])}
+            if not known:  # a load without rows may have no file
+                continue
+            columns = []
+            for f in fields:
+                source = f"`{COPY}{f.name}`" if f.name in info["copied"] else f"`{f.name}`"
+                value = source if f.name.lower() in known else "NULL"
+                columns.append(f"CAST({value} AS {f.dataType.simpleString()}) AS `{f.name}`")
+            text = f"SELECT {', '.join(columns)} FROM {info['format']}.`{root}/{LOAD}={load}`"
+            if self.mode == LEDGER and load != newest:
+                text += f" WHERE NOT CAST({CURRENT} AS BOOLEAN)"
+            rows.append(text)
+        if not rows:
+            blank = [f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in fields]
+            rows = [f"SELECT {', '.join(blank)} WHERE FALSE"]
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {' UNION ALL '.join(rows)}")
 
     # -- change -------------------------------------------------------------
 
@@ -183,16 +210,25 @@ class VersionedTable:
         split = list(partition_by or [])
         if self.mode != REPLACE and split != before.get("partition_by", split):
             raise ValueError(f"Partition columns of {self.root} cannot change")
-        if split and before:
-            # Rows kept from earlier loads lie in many partitions. Without this
-            # each task would write a small file into each of them.
+        reserved = [c for c in df.columns if c.lower().startswith((LOAD, COPY))]
+        if reserved:
+            raise ValueError(f"Reserved column names: {reserved}")
+        schema = self._schema_with(df, before)
+        copied = [c for c in split if isinstance(df.schema[c].dataType, T.StringType)]
+        columns = list(df.columns)
+        if split:
+            # Without this each task would write a small file into each partition.
             df = df.hint("rebalance", *named(split))
+            df = df.withColumns({f"{COPY}{c}": F.col(f"`{c}`") for c in copied})
         folders = [CURRENT, *split] if self.mode == LEDGER else split
         writer = df.write.format(self.fmt)
         if folders:
             writer = writer.partitionBy(*folders)
         load = f"{n}-{uuid.uuid4().hex[:12]}"
-        writer.save(f"{self.root}/v={load}")
+        writer.save(f"{self.root}/{LOAD}={load}")
+        written = files.names(self.spark, f"{self.root}/{LOAD}={load}")
+        if all(n.startswith(("_", ".")) for n in written):
+            columns = []
         pointer = f"{self.root}/{_POINTER}"
         if self.log_root != self.root and not files.exists(self.spark, pointer):
             files.create(self.spark, pointer, files.absolute(self.spark, self.log_root))
@@ -204,7 +240,9 @@ class VersionedTable:
             "mode": self.mode,
             "format": self.fmt,
             "partition_by": split,
-            "schema": self._schema_with(df, before).jsonValue(),
+            "copied": copied,
+            "columns": {**before.get("columns", {}), load: columns},
+            "schema": schema.jsonValue(),
             **notes,
         }
 

@@ -49,6 +49,10 @@ ORACLES["sink_overwrite"] = "SELECT * FROM part"
 ORACLES["sink_append"] = "SELECT * FROM part UNION ALL SELECT * FROM part"
 ORACLES["sink_table"] = "SELECT * FROM part"
 ORACLES["sink_partitioned"] = f"SELECT *, DATE '{DAY2}' AS data_date FROM orders"
+ORACLES["sink_text_partitions"] = """
+    SELECT p_partkey, p_name,
+           CASE WHEN p_size % 7 = 0 THEN '' ELSE lpad(CAST(p_size AS VARCHAR), 4, '0') END AS p_code
+    FROM part"""
 ORACLES["pipeline_config"] = f"""
     SELECT c_mktsegment, count(*) AS orders,
            CAST(sum(CAST(o_totalprice AS {MONEY})) AS DOUBLE) AS value
@@ -98,12 +102,11 @@ ORACLES["join_customer_orders"] = """
     SELECT c_custkey AS customer_id, customer.* EXCLUDE (c_custkey), orders.* EXCLUDE (o_custkey)
     FROM customer JOIN orders ON c_custkey = o_custkey"""
 _SIDES = """
-    WITH l AS (SELECT o_custkey AS key, o_orderkey, o_orderdate FROM orders
-               WHERE o_orderstatus = 'P'),
-         r AS (SELECT c_custkey AS key, c_name FROM customer WHERE c_mktsegment = 'BUILDING')"""
+    WITH l AS (SELECT c_custkey AS key, c_name FROM customer),
+         r AS (SELECT user_id AS key, event_id, event_type FROM events)"""
 for _how in ("inner", "left", "right", "full"):
     ORACLES[f"join_generic_{_how}"] = f"""{_SIDES}
-    SELECT l.key AS left_key, o_orderkey, o_orderdate, r.key AS right_key, c_name
+    SELECT l.key AS left_key, c_name, r.key AS right_key, event_id, event_type
     FROM l {_how.upper()} JOIN r ON l.key = r.key"""
 ORACLES["join_generic_semi"] = f"{_SIDES} SELECT * FROM l WHERE key IN (SELECT key FROM r)"
 ORACLES["join_generic_anti"] = f"""{_SIDES}
@@ -158,7 +161,7 @@ ORACLES["loan_summary_fanout"] = _SUMMARY.format(
     source=f"({_LOANS}) LEFT JOIN (SELECT l_orderkey, {_PAID_IN_MONTH} AS paid FROM lineitem) "
     "ON loan = l_orderkey"
 )
-ORACLES["monthly_customer_loans"] = f"""
+_MONTHLY = f"""
     WITH cust AS (
         SELECT c_custkey, c_name, {_ACCOUNT_TYPE} AS account_type, n_name, r_name,
                CAST(c_acctbal AS {MONEY}) AS balance
@@ -202,6 +205,12 @@ ORACLES["monthly_customer_loans"] = f"""
                 THEN 'Potential High Value Customer'
                 ELSE 'Regular Customer' END AS "CustomerCategory"
     FROM grouped"""
+ORACLES["monthly_customer_loans"] = _MONTHLY
+_PAYMENTS = f"""(SELECT l_orderkey, {_PAID_IN_MONTH} AS paid FROM lineitem
+    WHERE CAST(l_extendedprice AS {MONEY}) > 0)"""
+ORACLES["monthly_customer_loans_literal"] = _MONTHLY.replace(
+    "r_name LIKE '%A%' AND ", ""
+).replace(_PER_LOAN, _PAYMENTS)
 
 # -- slowly changing dimensions -----------------------------------------------
 
@@ -226,6 +235,14 @@ ORACLES["scd1_evolve"] = """
            n AS order_count
     FROM customer FULL JOIN a ON c_custkey = o_custkey"""
 
+ORACLES["scd1_map"] = """
+    WITH a AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey)
+    SELECT coalesce(c_custkey, o_custkey) AS c_custkey,
+           CASE WHEN o_custkey IS NULL THEN c_mktsegment END AS segment,
+           CAST(n AS VARCHAR) AS orders
+    FROM customer FULL JOIN a ON c_custkey = o_custkey"""
+ORACLES["scd1_stored"] = ORACLES["scd1_merge"]
+
 _CHANGED = f"(SELECT old.o_orderkey FROM old JOIN new USING (o_orderkey) WHERE {_differ('old', 'new')})"
 
 
@@ -317,11 +334,28 @@ ORACLES["change_feed_history"] = f"""{_BOOKS}
     SELECT {BOOK_COLUMNS}, {_at(DAY2)} FROM ({_FEED})
     WHERE _change_type IN ('delete', 'update_preimage')"""
 
-ORACLES["change_feed_stored"] = f"""{_BOOKS},
-    current AS ({ORACLES["scd4_current"].removeprefix(_BOOKS)}),
-    history AS ({ORACLES["scd4_history"].removeprefix(_BOOKS)})
+_SECOND_CHANGED = f"""(SELECT new.o_orderkey FROM new JOIN third USING (o_orderkey)
+    WHERE {_differ('new', 'third')})"""
+ORACLES["change_feed_versions"] = f"{_BOOKS} SELECT {BOOK_COLUMNS} FROM third"
+ORACLES["change_feed_versions_history"] = f"""{_BOOKS}
+    SELECT {BOOK_COLUMNS}, {_at(DAY3)} AS end_date FROM ({_FEED})
+    WHERE _change_type IN ('delete', 'update_preimage')
+    UNION ALL
+    SELECT {_row("new")}, {_at(DAY3)} FROM new
+    WHERE o_orderkey NOT IN (SELECT o_orderkey FROM third) OR o_orderkey IN {_SECOND_CHANGED}"""
+
+
+def _pair(current: str, history: str) -> str:
+    return f"""{_BOOKS},
+    current AS ({current.removeprefix(_BOOKS)}),
+    history AS ({history.removeprefix(_BOOKS)})
     SELECT *, 'current' AS part FROM current UNION ALL SELECT *, 'history' FROM history"""
 
+
+ORACLES["change_feed_stored"] = _pair(ORACLES["scd4_current"], ORACLES["scd4_history"])
+ORACLES["scd4_stored"] = ORACLES["change_feed_stored"]
+ORACLES["change_feed_first"] = _pair(ORACLES["scd4_init"], ORACLES["scd4_init"])
+
 # -- readiness ----------------------------------------------------------------
 
 ORACLES["gate_dependencies"] = """

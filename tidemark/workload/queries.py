@@ -58,7 +58,8 @@ def src_csv(spark, sf_dir):
     original = table(spark, sf_dir, "orders")
     write_output(spark, original, {"format": "csv", "path": path})
     entry = {"format": "csv", "path": path, "options": {"header": True, "inferSchema": True}}
-    return changes.align_types(read_input(spark, entry), original)
+    read = read_input(spark, entry)
+    return read.select(*[F.col(f.name).cast(f.dataType) for f in original.schema])
 
 
 @query
@@ -131,6 +132,24 @@ def sink_partitioned(spark, sf_dir):
     return filters.on_day(read_input(spark, output), "data_date", LOAD_DAYS[1])
 
 
+@query
+def sink_text_partitions(spark, sf_dir):
+    """Partition values that look like numbers, through the published view."""
+    name = "tidemark_text_partitions"
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    part = table(spark, sf_dir, "part")
+    code = F.when(F.col("p_size") % 7 == 0, "").otherwise(F.lpad(F.col("p_size").cast("string"), 4, "0"))
+    conf = {
+        "type": "scd1",
+        "table": name,
+        "path": f"{scratch_dir(spark)}/part",
+        "primary_keys": ["p_partkey"],
+        "partition_by": ["p_code"],
+    }
+    write_scd(spark, part.select("p_partkey", "p_name", code.alias("p_code")), conf)
+    return read_input(spark, {"format": "parquet", "table": name})
+
+
 # -- configured jobs ----------------------------------------------------------
 
 
@@ -161,7 +180,7 @@ def pipeline_config(spark, sf_dir):
             {
                 "name": "join_df",
                 "inputs": ["customer", "keyed"],
-                "params": {"join_cols": ["c_custkey"], "how": "inner", "spread": "right"},
+                "params": {"join_cols": ["c_custkey"], "how": "inner"},
             },
             {"name": "value_per_segment", "output": "segments"},
         ],
@@ -249,26 +268,27 @@ def join_customer_orders(spark, sf_dir):
 
 
 def _generic_sides(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
-    customer = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    """Most customers have no event, some have very many."""
+    customer = table(spark, sf_dir, "customer")
+    events = table(spark, sf_dir, "events")
     return (
-        orders.select(F.col("o_custkey").alias("key"), "o_orderkey", "o_orderdate"),
         customer.select(F.col("c_custkey").alias("key"), "c_name"),
+        events.select(F.col("user_id").alias("key"), "event_id", "event_type"),
     )
 
 
 def _generic_join(how: str) -> Query:
     def joined(spark, sf_dir):
         left, right = _generic_sides(spark, sf_dir)
-        df = join_on(left, right, ["key"], how, spread="left")
+        df = join_on(left, right, ["key"], how)
         if how in ("semi", "anti"):
             return df
         return df.select(
             F.col("df1.key").alias("left_key"),
-            "o_orderkey",
-            "o_orderdate",
-            F.col("df2.key").alias("right_key"),
             "c_name",
+            F.col("df2.key").alias("right_key"),
+            "event_id",
+            "event_type",
         )
 
     joined.__name__ = f"join_generic_{how}"
@@ -358,6 +378,19 @@ def monthly_customer_loans(spark, sf_dir):
     )
 
 
+@query
+def monthly_customer_loans_literal(spark, sf_dir):
+    """Every branch, and loans counted once per payment."""
+    return monthly.monthly_customer_report(
+        t.report_inputs(spark, sf_dir),
+        DATA_DATE,
+        min_balance=1000,
+        service_types=("ECONOMY", "PROMO"),
+        all_branches=True,
+        fan_out=True,
+    )
+
+
 # -- slowly changing dimensions -----------------------------------------------
 
 
@@ -400,6 +433,33 @@ def scd1_evolve(spark, sf_dir):
     return scd.scd1_merge(customer, activity, ["c_custkey"])
 
 
+@query
+def scd1_map(spark, sf_dir):
+    """An attribute that has no hash and no order."""
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", F.create_map(F.lit("segment"), "c_mktsegment").alias("tags")
+    )
+    activity = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.create_map(F.lit("orders"), F.count("*").cast("string")).alias("tags")
+    )
+    merged = scd.scd1_merge(customer, activity, ["c_custkey"])
+    return merged.select(
+        "c_custkey",
+        F.try_element_at("tags", F.lit("segment")).alias("segment"),
+        F.try_element_at("tags", F.lit("orders")).alias("orders"),
+    )
+
+
+@query
+def scd1_stored(spark, sf_dir):
+    """A second load into a stored table."""
+    path = f"{scratch_dir(spark)}/orders"
+    conf = {"type": "scd1", "path": path, "primary_keys": ORDER_KEY, "stage_source": False}
+    for book in _books(spark, sf_dir)[:2]:
+        write_scd(spark, book, conf)
+    return read_input(spark, {"format": "delta", "path": path})
+
+
 def _after_two(spark, sf_dir, **options):
     old, new, _ = _books(spark, sf_dir)
     first, second = (instant(day) for day in LOAD_DAYS[:2])
@@ -489,6 +549,32 @@ def scd4_current(spark, sf_dir):
     return scd.scd4_current(current, new, ORDER_KEY, as_of).drop(HASH)
 
 
+def _stored_pair(spark, paths):
+    """Current and history of a stored type 4 dimension, told apart by ``part``."""
+    current = read_input(spark, {"format": "delta", "path": paths["current"]})
+    history = read_input(spark, {"format": "delta", "path": paths["history"]})
+    return (
+        current.withColumn("part", F.lit("current"))
+        .unionByName(history.withColumn("part", F.lit("history")))
+        .drop(HASH)
+    )
+
+
+def _pair_conf(spark):
+    base = scratch_dir(spark)
+    paths = {"current": f"{base}/current", "history": f"{base}/history"}
+    return base, {"type": "scd4", "path": paths, "primary_keys": ORDER_KEY}
+
+
+@query
+def scd4_stored(spark, sf_dir):
+    """Two loads into a stored pair of tables."""
+    _, conf = _pair_conf(spark)
+    for day, book in list(zip(LOAD_DAYS, _books(spark, sf_dir)))[:2]:
+        write_scd(spark, book, conf | {"stage_source": False}, instant(day))
+    return _stored_pair(spark, conf["path"])
+
+
 @query
 def change_feed(spark, sf_dir):
     old, new, _ = _books(spark, sf_dir)
@@ -512,24 +598,47 @@ def change_feed_history(spark, sf_dir):
     return _applied(spark, sf_dir)[1]
 
 
+def _versions(spark, sf_dir):
+    """One feed that takes the first book to the third, by way of the second."""
+    old, new, third = _books(spark, sf_dir)
+    number = changes.COMMIT_VERSION
+    first = changes.change_feed(old, new, ORDER_KEY).withColumn(number, F.lit(1))
+    second = changes.change_feed(new, third, ORDER_KEY).withColumn(number, F.lit(2))
+    history = old.limit(0).withColumn("end_date", F.lit(None).cast("timestamp_ntz"))
+    feed = first.unionByName(second)
+    return changes.apply_change_feed(old, history, feed, ORDER_KEY, instant(LOAD_DAYS[2]))
+
+
+@query
+def change_feed_versions(spark, sf_dir):
+    return _versions(spark, sf_dir)[0]
+
+
+@query
+def change_feed_versions_history(spark, sf_dir):
+    return _versions(spark, sf_dir)[1]
+
+
 @query
 def change_feed_stored(spark, sf_dir):
     """A first load, then a feed, into a stored pair of tables."""
     old, new, _ = _books(spark, sf_dir)
-    base = scratch_dir(spark)
-    paths = {"current": f"{base}/current", "history": f"{base}/history"}
-    conf = {"type": "scd4", "path": paths, "primary_keys": ORDER_KEY}
+    base, conf = _pair_conf(spark)
     write_scd(spark, old, conf, instant(LOAD_DAYS[0]))
     feed = {"format": "parquet", "path": f"{base}/feed"}
     write_output(spark, changes.change_feed(old, new, ORDER_KEY), feed)
     write_feed(spark, read_input(spark, feed), conf, instant(LOAD_DAYS[1]))
-    current = read_input(spark, {"format": "delta", "path": paths["current"]})
-    history = read_input(spark, {"format": "delta", "path": paths["history"]})
-    return (
-        current.withColumn("part", F.lit("current"))
-        .unionByName(history.withColumn("part", F.lit("history")))
-        .drop(HASH)
-    )
+    return _stored_pair(spark, conf["path"])
+
+
+@query
+def change_feed_first(spark, sf_dir):
+    """A feed alone sets a dimension up."""
+    old = _books(spark, sf_dir)[0]
+    _, conf = _pair_conf(spark)
+    feed = old.withColumn("_change_type", F.lit("insert"))
+    write_feed(spark, feed, conf, instant(LOAD_DAYS[0]))
+    return _stored_pair(spark, conf["path"])
 
 
 # -- readiness ----------------------------------------------------------------
