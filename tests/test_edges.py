@@ -1,0 +1,230 @@
+"""Data at the edges: time zones, reserved names, odd partition values, failing
+writes, feeds over several versions, types that do not fit."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tidemark.operators import change_feed, classify, scd1_merge, scd2_init, scd2_merge
+from tidemark.operators.changes import apply_change_feed
+from tidemark.plans import run
+from tidemark.sinks import read_history, write_feed, write_output, write_scd
+from tidemark.sources import read_input
+
+
+@pytest.fixture
+def zone(spark):
+    key = "spark.sql.session.timeZone"
+    before = spark.conf.get(key)
+    yield lambda name: spark.conf.set(key, name)
+    spark.conf.set(key, before)
+
+
+def instants(spark, seconds, name="at"):
+    return spark.range(1).select(F.lit(1).alias("id"), F.timestamp_seconds(F.lit(seconds)).alias(name))
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_an_hour_across_the_autumn_change_is_a_change(spark, zone, nested):
+    zone("Europe/Berlin")
+    first, second = (instants(spark, 1698537600 + h * 3600 - 3600) for h in (1, 2))
+    if nested:
+        first, second = (df.select("id", F.struct("at").alias("s")) for df in (first, second))
+    assert rows(classify(first, second, ["id"]), "change") == [("update",)]
+    assert rows(classify(first, first, ["id"]), "change") == [("unchanged",)]
+
+
+@pytest.mark.parametrize("nested", [False, True])
+def test_the_session_time_zone_is_no_change(spark, zone, tmp_path, nested):
+    df = instants(spark, 1_700_000_000)
+    if nested:
+        df = df.select("id", F.array(F.struct("at")).alias("s"))
+    conf = {"path": str(tmp_path / "t"), "primary_keys": ["id"]}
+    for name in ("UTC", "Asia/Tokyo"):
+        zone(name)
+        write_scd(spark, df, conf, F.lit("2024-01-01").cast("timestamp_ntz"))
+    assert read_input(spark, {"format": "parquet", "path": conf["path"]}).count() == 1
+
+
+def test_interval_attributes(spark):
+    old = spark.sql("SELECT 1 AS id, INTERVAL '1' DAY AS a, INTERVAL '2' MONTH AS b")
+    new = spark.sql("SELECT 1 AS id, INTERVAL '2' DAY AS a, INTERVAL '2' MONTH AS b")
+    assert rows(classify(old, new, ["id"]), "change") == [("update",)]
+    assert rows(classify(old, old, ["id"]), "change") == [("unchanged",)]
+
+
+def test_map_attributes_at_every_size(spark, both_plans):
+    old = spark.sql("SELECT IF(id = 0, NULL, id) AS id, map('a', id) AS m, array(map('b', id)) AS n FROM range(20)")
+    new = spark.sql("SELECT IF(id = 0, NULL, id) AS id, map('c', id) AS m, array(map('d', id)) AS n FROM range(10, 30)")
+    merged = scd1_merge(old, new, ["id"])
+    assert merged.count() == 30
+    assert merged.where("m['c'] IS NOT NULL").count() == 20
+
+
+def test_closed_versions_come_through_untouched(spark):
+    at = [F.lit(d).cast("timestamp_ntz") for d in ("2024-01-01", "2024-02-01", "2024-03-01")]
+    first = spark.sql("SELECT id, 'a' AS x FROM range(3)")
+    second = spark.sql("SELECT id, 'b' AS x FROM range(3)")
+    third = spark.sql("SELECT id, 'b' AS x, 'new' AS y FROM range(1, 4)")
+    table = scd2_merge(scd2_init(first, ["id"], at[0]), second, ["id"], at[1])
+    hashes = {r["id"]: r["hash_data"] for r in table.where("NOT is_current").collect()}
+    after = scd2_merge(table, third, ["id"], at[2], expire_missing=True)
+    closed = after.where("x = 'a'").collect()
+    assert {r["id"]: r["hash_data"] for r in closed} == hashes
+    assert {(str(r["end_date"]), r["is_current"]) for r in closed} == {("2024-02-01 00:00:00", False)}
+    assert rows(after.where("is_current"), "id", "y") == [(1, "new"), (2, "new"), (3, "new")]
+
+
+# -- storage ------------------------------------------------------------------
+
+
+def test_a_column_named_v_is_kept(spark, tmp_path):
+    conf = {"type": "scd1", "path": str(tmp_path / "t"), "primary_keys": ["id"]}
+    for i in range(2):
+        write_scd(spark, spark.sql(f"SELECT id, id * 10 + {i} AS v FROM range(2)"), conf)
+    assert rows(read_input(spark, {"format": "parquet", "path": conf["path"]}), "id", "v") == [(0, 1), (1, 11)]
+    with pytest.raises(ValueError, match="Reserved"):
+        write_scd(spark, spark.sql("SELECT 1L AS id, 2 AS tidemark_load"), conf)
+
+
+@pytest.mark.parametrize("kind", ["scd1", "scd2"])
+def test_text_partition_values(spark, tmp_path, kind):
+    name = f"text_values_{kind}"
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    conf = {"type": kind, "path": str(tmp_path / "t"), "table": name, "primary_keys": ["id", "code"], "partition_by": ["code"]}
+    data = [(1, "007"), (2, ""), (3, "1e3"), (4, "null"), (5, "2024-01-01"), (6, "a/b=c"), (7, " x ")]
+    df = spark.createDataFrame(data, "id int, code string").withColumn("n", F.lit("x"))
+    for text in ("x", "y"):
+        write_scd(spark, df.withColumn("n", F.lit(text)), conf)
+    for found in (spark.table(name), read_input(spark, {"format": "parquet", "path": conf["path"]})):
+        assert rows(found.where("n = 'y'"), "id", "code") == data
+        assert found.count() == len(data) * (1 if kind == "scd1" else 2)
+
+
+def test_a_view_over_loads_with_different_columns(spark, tmp_path):
+    spark.sql("DROP VIEW IF EXISTS grown")
+    conf = {"path": str(tmp_path / "t"), "table": "grown", "primary_keys": ["id"]}
+    write_scd(spark, spark.sql("SELECT 1 AS id, 'a' AS x"), conf)
+    write_scd(spark, spark.sql("SELECT 1 AS id, 'b' AS x, 5 AS y"), conf)
+    assert rows(spark.table("grown"), "x", "y", "is_current") == [("a", None, False), ("b", 5, True)]
+
+
+def test_an_overwrite_that_dies_leaves_the_old_rows(spark, tmp_path):
+    output = {"format": "parquet", "path": str(tmp_path / "t")}
+    write_output(spark, spark.range(5).toDF("id"), output)
+    with pytest.raises(Exception, match="boom"):
+        write_output(spark, spark.sql("SELECT raise_error('boom') AS id FROM range(3)"), output)
+    assert read_input(spark, output).count() == 5
+    assert {p.name for p in tmp_path.iterdir()} == {"t"}
+    # An output may also replace what it is made from.
+    write_output(spark, read_input(spark, output).withColumn("n", F.lit(1)), output)
+    assert read_input(spark, output).count() == 5
+
+
+def test_cached_inputs_are_released_when_a_job_fails(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(3).write.parquet(path)
+    seen = []
+    job = {"input": [{"name": "a", "format": "parquet", "path": path, "isCache": True}]}
+
+    def fails(frames):
+        seen.append(frames["a"])
+        raise RuntimeError("no")
+
+    with pytest.raises(RuntimeError):
+        run(spark, job, transform=fails)
+    assert not seen[0].is_cached
+
+
+def test_options_of_a_table_reach_its_source(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS optioned")
+    spark.range(3).write.option("path", str(tmp_path / "t")).saveAsTable("optioned")
+    entry = {"format": "parquet", "table": "optioned", "options": {"mergeSchema": "true"}}
+    df = read_input(spark, entry)
+    assert df.count() == 3
+    assert "mergeSchema" in df._jdf.queryExecution().logical().toString()
+
+
+# -- feeds --------------------------------------------------------------------
+
+FEED = "id int, x string, _change_type string, _commit_version int"
+
+
+def test_a_feed_over_versions_leaves_one_row_per_key(spark, tmp_path):
+    paths = {"current": str(tmp_path / "c"), "history": str(tmp_path / "h")}
+    conf = {"type": "scd4", "path": paths, "primary_keys": ["id"], "seed_history": False}
+    at = F.lit("2024-01-01").cast("timestamp_ntz")
+    write_scd(spark, spark.createDataFrame([(1, "a"), (2, "a"), (3, "a"), (4, "a")], "id int, x string"), conf, at)
+    feed = [
+        (1, "a", "update_preimage", 1), (1, "b", "update_postimage", 1),
+        (1, "b", "update_preimage", 2), (1, "c", "update_postimage", 2),
+        (2, "z", "update_postimage", 1),  # no old image
+        (3, "a", "delete", 1), (3, "d", "insert", 1),  # replaced within a version
+        (5, "e", "insert", 1), (5, "e", "delete", 2),  # came and went
+    ]
+    write_feed(spark, spark.createDataFrame(feed, FEED), conf, F.lit("2024-02-01").cast("timestamp_ntz"))
+    current = read_input(spark, {"format": "parquet", "path": paths["current"]})
+    assert rows(current, "id", "x") == [(1, "c"), (2, "z"), (3, "d"), (4, "a")]
+    assert rows(read_history(spark, paths), "id", "x") == [(1, "a"), (1, "b"), (2, "a"), (3, "a"), (5, "e")]
+
+
+def test_several_images_without_an_order_are_an_error(spark, tmp_path):
+    conf = {"path": {"current": str(tmp_path / "c"), "history": str(tmp_path / "h")}, "primary_keys": ["id"]}
+    feed = spark.createDataFrame([(1, "a", "insert"), (1, "b", "update_postimage")], "id int, x string, _change_type string")
+    with pytest.raises(ValueError, match="without an order"):
+        write_feed(spark, feed, conf)
+
+
+def test_applied_versions_and_silent_replacements(spark):
+    current = spark.createDataFrame([(1, "a"), (2, "a")], "id int, x string")
+    feed = [
+        (1, "a", "update_preimage", 1), (1, "b", "update_postimage", 1),
+        (1, "b", "update_preimage", 2), (1, "c", "update_postimage", 2),
+        (2, "z", "update_postimage", 1),
+    ]
+    history = current.limit(0).withColumn("end_date", F.lit(None).cast("string"))
+    state, past = apply_change_feed(current, history, spark.createDataFrame(feed, FEED), ["id"], F.lit("end"))
+    assert rows(state, "id", "x") == [(1, "c"), (2, "z")]
+    assert rows(past, "id", "x", "end_date") == [(1, "a", "end"), (1, "b", "end"), (2, "a", "end")]
+
+
+def test_a_feed_keeps_columns_that_went(spark):
+    old = spark.sql("SELECT 1 AS id, 'x' AS a, 'gone' AS b")
+    new = spark.sql("SELECT 1 AS id, 'y' AS a")
+    found = rows(change_feed(old, new, ["id"]), "a", "b", "_change_type")
+    assert found == [("x", "gone", "update_preimage"), ("y", None, "update_postimage")]
+
+
+# -- types --------------------------------------------------------------------
+
+
+@pytest.mark.parametrize(
+    "old, new",
+    [
+        ("CAST(2 AS DECIMAL(6,2))", "CAST(2.3456 AS DECIMAL(8,4))"),
+        ("DATE '2024-01-01'", "TIMESTAMP '2024-01-01 10:00:00'"),
+        ("1", "1.5D"),
+        ("1", "'x'"),
+    ],
+)
+def test_values_that_do_not_fit_are_an_error(spark, old, new):
+    with pytest.raises(ValueError, match="do not fit"):
+        scd1_merge(spark.sql(f"SELECT 1 AS id, {old} AS a"), spark.sql(f"SELECT 1 AS id, {new} AS a"), ["id"])
+
+
+@pytest.mark.parametrize(
+    "old, new, value",
+    [
+        ("CAST(2 AS DECIMAL(8,4))", "CAST(2.34 AS DECIMAL(6,2))", "2.3400"),
+        ("TIMESTAMP_NTZ '2024-01-01 10:00:00'", "DATE '2024-01-02'", "2024-01-02 00:00:00"),
+        ("1L", "7", "7"),
+        ("'x'", "7", "7"),
+        ("1.5D", "CAST(2 AS FLOAT)", "2.0"),
+        ("'x'", "NULL", None),
+    ],
+)
+def test_values_that_fit_take_the_targets_type(spark, old, new, value):
+    merged = scd1_merge(spark.sql(f"SELECT 1 AS id, {old} AS a"), spark.sql(f"SELECT 1 AS id, {new} AS a"), ["id"])
+    assert rows(merged.select(F.col("a").cast("string"))) == [(value,)]
