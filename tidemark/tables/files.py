@@ -42,6 +42,16 @@ def create(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(path)
 
 
+def put(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small new file."""
+    fs, handle = _resolve(spark, path)
+    stream = fs.create(handle, False)
+    try:
+        stream.write(bytearray(data))
+    finally:
+        stream.close()
+
+
 def read(spark: SparkSession, path: str) -> str:
     fs, handle = _resolve(spark, path)
     stream = fs.open(handle)
