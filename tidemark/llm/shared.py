@@ -3,7 +3,7 @@ distributed numbering. Everything here is plain DataFrame work."""
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from collections.abc import Sequence
 from pathlib import Path
@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..tables import files
 from ..tables.files import scratch_dir
 
 # A word: what lies between space, tab, newline, vertical tab, form feed and
@@ -44,11 +45,13 @@ def python_ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     package = Path(__file__).resolve().parent.parent
     context = spark.sparkContext
     if context.applicationId not in _sent:
-        archive = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+        archive = io.BytesIO()
         with zipfile.ZipFile(archive, "w") as out:
             for path in sorted(package.rglob("*.py")):
                 out.write(path, path.relative_to(package.parent))
-        context.addPyFile(str(archive))  # Spark serves it from the driver
+        shared = f"{scratch_dir(spark)}/{package.name}.zip"
+        files.put(spark, shared, archive.getvalue())
+        context.addPyFile(shared)
         _sent.add(context.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
