@@ -18,7 +18,7 @@ from .shared import WORD, fresh, ordered, stored, text_of
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
-BLOCK = 16
+BLOCK = 64
 CELL_ROWS = 4096
 SEED = 20
 
