@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from tidemark.llm import shared
+
+from .common import documents, odd_rows
+
+
+def test_ordered_numbers_rows_in_order(spark):
+    values = [None, None, *random.Random(1).sample(range(-500, 500), 400), 7, 7, 7]
+    df = spark.createDataFrame([(v,) for v in values], "v int").repartition(6)
+    rows = shared.ordered(df, ["v"], "place").collect()
+    assert sorted(r["place"] for r in rows) == list(range(len(values)))
+    line = [r["v"] for r in sorted(rows, key=lambda r: r["place"])]
+    assert line == sorted(values, key=lambda v: (v is not None, v or 0))
+
+
+@pytest.mark.parametrize("per_bucket", [3, 50, 10_000])
+def test_ranked_numbers_each_group_without_gaps(spark, per_bucket):
+    rows = [(i % 7 if i % 3 else 0, i) for i in range(900)]
+    df = shared.stored(spark.createDataFrame(rows, "g int, i int").repartition(4))
+    out = shared.ranked(df, ["g"], F.xxhash64("i"), ["i"], "rank", per_bucket).collect()
+    groups = {}
+    for r in out:
+        groups.setdefault(r["g"], []).append(r["rank"])
+    assert sum(map(len, groups.values())) == 900
+    assert all(sorted(own) == list(range(len(own))) for own in groups.values())
+
+
+def test_empty_tables(spark):
+    empty = shared.stored(spark.createDataFrame([], "g int, i int"))
+    assert shared.ordered(empty, ["i"], "place").collect() == []
+    assert shared.ranked(empty, ["g"], F.xxhash64("i"), ["i"], "rank").collect() == []
+
+
+def test_fresh_names_are_not_taken(spark):
+    df = documents(spark, odd_rows(n=3), clashing=True).withColumn("_FP", F.lit(1))
+    (name,) = shared.fresh(df, "fp")
+    assert name == "__fp"
+    assert len(set(shared.fresh(df, "new", "NEW", "doc_id"))) == 3
