@@ -3,8 +3,9 @@
 A file's own licence is that of its line nearest to a template. A file that is
 near to a template as a whole is the licence file of its directory, and files
 without a licence of their own take that of the nearest directory above them that
-has one. Word statistics cover all files. Texts are never shuffled: what moves are
-words of the few lines that can reach the threshold at all.
+has one. Word statistics cover all words of all files. Texts are never shuffled:
+what moves are word counts, and words of the few lines that can reach the threshold
+at all, which meet the counts as a table.
 """
 
 from __future__ import annotations
@@ -52,11 +53,11 @@ def _terms(text: Column) -> Column:
 
 class Weights:
     """Inverse document frequencies over all files, and unit vectors of templates.
-    Words of no template count as ones that occur in no file."""
+    ``df`` holds the words of the templates; those of all others stay in a table."""
 
     def __init__(self, templates: list[tuple[str, str]], df: dict[str, int], files: int) -> None:
         self.names = [name for name, _ in templates]
-        self.unseen = math.log(files + 1) + 1
+        self.files = files
         counts = [Counter(terms_of(text)) for _, text in templates]
         self.idf = {
             t: math.log((files + 1) / (df.get(t, 0) + 1)) + 1 for t in sorted(set().union(*counts))
@@ -84,14 +85,19 @@ class Weights:
         return kept
 
 
-def document_frequencies(files: DataFrame, vocabulary: list[str]) -> tuple[dict[str, int], int]:
-    """In how many files each word of the vocabulary occurs, and how many there
-    are. At most one row per word of the templates comes back."""
-    known = F.array(*[F.lit(t) for t in vocabulary])
-    found = F.array_intersect(_terms(F.col("text")), known)
-    # "" stands for the file itself.
-    rows = files.select(F.explode(F.concat(F.array(F.lit("")), found)).alias("term"))
-    counted = {r["term"]: r["count"] for r in rows.groupBy("term").count().collect()}
+def document_frequencies(files: DataFrame) -> DataFrame:
+    """Stored (term, files): in how many files each word occurs; the term "" stands
+    for the file itself. Only words and counts move, added up before they do."""
+    own = F.concat(F.array(F.lit("")), F.array_distinct(_terms(F.col("text"))))
+    rows = files.select(F.explode(own).alias("term"))
+    return stored(rows.groupBy("term").agg(F.count("*").alias("files")))
+
+
+def known_frequencies(frequencies: DataFrame, vocabulary: list[str]) -> tuple[dict[str, int], int]:
+    """Of the words of the vocabulary, in how many files they occur, and how many
+    files there are. At most one row per word of the templates comes back."""
+    rows = frequencies.where(F.col("term").isin("", *vocabulary)).collect()
+    counted = {r["term"]: r["files"] for r in rows}
     return counted, counted.pop("", 0)
 
 
@@ -100,12 +106,13 @@ def _lookup(values: dict[str, float], term: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), term)
 
 
-def cosines(texts: DataFrame, keys: list[str], weights: Weights) -> DataFrame:
+def cosines(texts: DataFrame, keys: list[str], weights: Weights, frequencies: DataFrame) -> DataFrame:
     """(keys, licence, cosine) of the best template for each (keys, text); of equal
-    ones the first."""
+    ones the first. ``frequencies`` as from :func:`document_frequencies`."""
     words = texts.select(*keys, F.explode(_terms(F.col("text"))).alias("term"))
-    counted = words.groupBy(*keys, "term").count()
-    weight = F.col("count") * F.coalesce(_lookup(weights.idf, F.col("term")), F.lit(weights.unseen))
+    counted = words.groupBy(*keys, "term").count().join(frequencies, "term", "left")
+    seen = F.coalesce("files", F.lit(0)) + 1
+    weight = F.col("count") * (F.log(F.lit(weights.files + 1.0) / seen) + 1)
     dots = [
         F.sum(F.col("w") * F.coalesce(_lookup(v, F.col("term")), F.lit(0.0))).alias(f"dot{i}")
         for i, v in enumerate(weights.vectors)
@@ -143,7 +150,8 @@ def scan(files: DataFrame, templates=TEMPLATES, header: float = HEADER, whole: f
     """
     own = files.select(files["path"].alias("path"), text_of(files).alias("text"))
     vocabulary = sorted({t for _, text in templates for t in terms_of(text)})
-    weights = Weights(templates, *document_frequencies(own, vocabulary))
+    frequencies = document_frequencies(own)
+    weights = Weights(templates, *known_frequencies(frequencies, vocabulary))
 
     near = own.where(_with_any(F.col("text"), weights.telling(min(header, whole))))
     # A few files in a hundred; from here on only these.
@@ -151,10 +159,10 @@ def scan(files: DataFrame, templates=TEMPLATES, header: float = HEADER, whole: f
     lines = near.select("path", "row", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     lines = lines.where(_with_any(F.col("text"), weights.telling(header)))
     best = F.max(F.struct("cosine", "licence")).alias("best")
-    notices = cosines(lines, ["path", "row", "line"], weights).where(F.col("cosine") >= header)
+    notices = cosines(lines, ["path", "row", "line"], weights, frequencies).where(F.col("cosine") >= header)
     notices = stored(notices.groupBy("path").agg(best).select("path", "best.licence", "best.cosine"))
 
-    licence_files = cosines(near, ["path", "row"], weights).where(F.col("cosine") >= whole)
+    licence_files = cosines(near, ["path", "row"], weights, frequencies).where(F.col("cosine") >= whole)
     directory = F.regexp_replace("path", "/?[^/]*$", "")
     nearest = F.min(F.struct((-F.col("cosine")).alias("away"), "path", "licence")).alias("own")
     licensed = licence_files.where(F.col("path").isNotNull()).groupBy(directory.alias("above"))
