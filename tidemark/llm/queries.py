@@ -62,7 +62,8 @@ def op6_chat_perspectives(spark, sf_dir):
 
 @query
 def op7_iblt_fingerprints(spark, sf_dir):
-    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return fingerprints.fingerprint_documents(docs, digests=fingerprints.sentences)
 
 
 @query
