@@ -31,8 +31,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents with their places in sequences of 1024 tokens."""
-    return packing.pack_documents(docs, tokenizer_path())
+    """Pieces of the documents, ids included, with their places in sequences of 1024
+    tokens. A document that the mix takes several times has as many copies."""
+    return packing.pack_documents(docs, tokenizer_path(), with_ids=True)
 
 
 STAGES = [

@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 import zlib
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -128,10 +128,11 @@ def token_pieces(
     capacity: int = CAPACITY,
     end: int = END,
     with_ids: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Tokenize whole texts, end each with the id ``end`` and cut those longer than
-    ``capacity``. One row per piece: doc_id, piece, start, length, ids_crc32 and,
-    with ``with_ids``, the ids themselves as little-endian bytes.
+    ``capacity``. One row per piece: doc_id, piece, start, length, ids_crc32, with
+    ``with_ids`` the ids themselves as little-endian bytes, and the columns ``keep``.
 
     A null or empty text is one piece that holds ``end`` only. Repeated rows give
     repeated pieces, a null doc_id stays null, other columns are left aside.
@@ -146,6 +147,7 @@ def token_pieces(
     ]
     if with_ids:
         fields.append(T.StructField("ids", T.BinaryType()))
+    fields += [docs.schema[c] for c in keep]
     last = end.to_bytes(4, "little")
 
     def pieces(batches: Iterator) -> Iterator:
@@ -160,8 +162,9 @@ def token_pieces(
                     own = ids[4 * start : 4 * (start + length)]
                     rows.append((at, n, start, length, zlib.crc32(own), own))
             at, n, start, length, crc, own = zip(*rows, strict=True) if rows else [()] * 6
+            rows_at = pa.array(at, pa.int64())
             columns = {
-                "doc_id": batch.column("doc_id").take(pa.array(at, pa.int64())),
+                "doc_id": batch.column("doc_id").take(rows_at),
                 "piece": pa.array(n, pa.int32()),
                 "start": pa.array(start, pa.int64()),
                 "length": pa.array(length, pa.int64()),
@@ -169,9 +172,10 @@ def token_pieces(
             }
             if with_ids:
                 columns["ids"] = pa.array(own, pa.binary())
+            columns |= {c: batch.column(c).take(rows_at) for c in keep}
             yield pa.RecordBatch.from_pydict(columns)
 
-    texts = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
+    texts = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"), *[docs[c] for c in keep])
     return texts.mapInArrow(pieces, T.StructType(fields))
 
 
@@ -254,7 +258,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     names = ["p_length", "p_first", "p_after", "p_each", "p_bin", "p_offset"]
     schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
     places = spark.createDataFrame(placements(patterns), schema)
-    keys = [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in pieces.columns]
+    keys = [c for c in ("doc_id", "piece", "start", "ids_crc32", "row") if c in pieces.columns]
     numbered = ranked(pieces, ["length"], F.xxhash64(*keys), keys, "p_rank")
     rank = F.col("p_rank")
     placed = numbered.join(
@@ -271,6 +275,27 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     )
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    """Tokenize, cut and pack whole documents; see the two steps."""
-    return pack(stored(token_pieces(docs, tokenizer, capacity)), capacity)
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False
+) -> DataFrame:
+    """Tokenize, cut and pack whole documents; see the two steps.
+
+    With ``with_ids`` the sequences can be read from the rows: ``ids`` holds a
+    piece's ids, and ``copy`` numbers the rows of a doc_id from 0, so that doc_id,
+    copy and piece tell each piece. Ids are shuffled once, to their places.
+    """
+    if not with_ids:
+        return pack(stored(token_pieces(docs, tokenizer, capacity)), capacity)
+    rows = docs.select(
+        docs["doc_id"].alias("doc_id"),
+        text_of(docs).alias("text"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    pieces = stored(token_pieces(rows, tokenizer, capacity, with_ids=True, keep=["row"]))
+    # A struct, as a null doc_id has copies too.
+    firsts = pieces.where("piece = 0").select(F.struct("doc_id").alias("doc"), "ids_crc32", "row")
+    copies = ranked(firsts, ["doc"], F.xxhash64("row"), ["ids_crc32", "row"], "copy")
+    placed = pack(pieces.drop("ids"), capacity).join(copies.select("row", "copy"), "row")
+    whole = placed.join(pieces.select("row", "piece", "ids"), ["row", "piece"])
+    names = ["piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"]
+    return whole.select("doc_id", "copy", *names)
