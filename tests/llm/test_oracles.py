@@ -35,5 +35,5 @@ def test_query_equals_sql(spark, name):
 def test_every_operator_is_registered():
     names = contract.queries()
     assert "pipeline" in names and QUERIES.keys() <= names.keys()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert ORACLES.keys() <= contract.oracle_sql().keys()

@@ -2,12 +2,14 @@
 
 The others are tested against brute-force versions: packing needs a tokenizer,
 SimHash and the seeded choices of mixing a hash that DuckDB lacks, sharding random
-draws, the sketches peeling, the licence scan word statistics per line, and the
-classifier is trained.
+draws, the sketches peeling, the licence scan word statistics per line, the aligner
+two tokenizers, and the classifier is trained.
 """
 
 from __future__ import annotations
 
+from .links import DAMPING, LINK, ROUNDS, RULES, THRESHOLD, UNIT
+
 ORACLES: dict[str, str] = {}
 
 ORACLES["op1_warc_chunks"] = """
@@ -74,3 +76,127 @@ ORACLES["op6_chat_perspectives"] = r"""
            CAST(coalesce(sum(length(body) + 10) FILTER (speaker = participant), 0) AS BIGINT)
                AS trained
     FROM placed GROUP BY conv_id, part, participant"""
+
+# CRC-32 by its table of 256 remainders, which the rule of the polynomial gives; letters
+# of runs and digits take one or two bytes of UTF-8.
+ORACLES["op11_spelling_variants"] = r"""
+    WITH RECURSIVE crc AS (
+        SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t),
+    runs AS (
+        SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run
+        FROM documents),
+    lowered AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w,
+               count(*) AS n
+        FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+    keyed AS (
+        SELECT w, n, flatten(list_transform(string_split(doc_id || ':' || w, ''),
+                   lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)]
+                                  ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END)) AS b
+        FROM lowered),
+    hashed AS (
+        SELECT w, n, xor(4294967295::BIGINT, list_reduce(b,
+                   lambda h, x: xor(h >> 8, t[(xor(h, x::BIGINT) & 255) + 1]), 4294967295::BIGINT)) AS h
+        FROM keyed, crc),
+    faulty AS (
+        SELECT CASE WHEN h % 199 = 0
+                    THEN substring(w, 1, (h % length(w))::INT) || substring(w, (h % length(w))::INT + 2)
+                    ELSE w END AS word, n
+        FROM hashed),
+    words AS (
+        SELECT word, sum(n)::BIGINT AS n FROM faulty
+        WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+    places AS (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM words),
+    without AS (
+        SELECT word, n, substring(word, 1, i - 1) || '*' || substring(word, i + 1) AS masked,
+               substring(word, 1, i - 1) || substring(word, i + 1) AS shorter
+        FROM places),
+    pairs AS (
+        SELECT a.word, a.n, b.word AS near, b.n AS near_n
+        FROM without a JOIN without b USING (masked) WHERE a.word <> b.word
+        UNION SELECT a.word, a.n, b.word, b.n FROM without a JOIN words b ON a.shorter = b.word
+        UNION SELECT b.word, b.n, a.word, a.n FROM without a JOIN words b ON a.shorter = b.word),
+    ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS place,
+               count(*) OVER (PARTITION BY word) AS n_near
+        FROM pairs),
+    formed AS (
+        SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+               CASE WHEN near_n >= 5 * w.n THEN near END AS form,
+               CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
+        FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1),
+    chain AS (
+        SELECT word, word AS root FROM formed
+        UNION ALL
+        SELECT c.word, f.form FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL)
+    SELECT word, form, last.root, n, n_near, form_n
+    FROM formed JOIN (
+        SELECT c.word, c.root FROM chain c JOIN formed f ON f.word = c.root WHERE f.form IS NULL) last
+        USING (word)"""
+
+
+def _rounds(edges: str, start: str, name: str) -> str:
+    """The rounds of :func:`links.propagate` as one table expression each."""
+    steps = [f"{name}0 AS MATERIALIZED (SELECT host, start AS rank FROM {start})"]
+    for i in range(1, ROUNDS + 1):
+        steps.append(
+            f"""{name}{i} AS MATERIALIZED (
+        SELECT host, sum(rank)::BIGINT AS rank FROM (
+            SELECT dst AS host, (rank * {DAMPING} // 100) // degree AS rank
+            FROM {edges} JOIN {name}{i - 1} ON src = host
+            UNION ALL SELECT host, start - start * {DAMPING} // 100 FROM {start})
+        GROUP BY host HAVING sum(rank) > 0)"""
+        )
+    return ",\n    ".join(steps)
+
+
+def _rule(column: str) -> str:
+    ordered = sorted(RULES, key=lambda r: (len(r[0]) + len(r[1]), len(r[0]), r), reverse=True)
+    cases = (
+        f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') "
+        f"THEN '{host + path if column == 'rule' else verdict}'"
+        for host, path, verdict in ordered
+    )
+    return f"CASE {' '.join(cases)} END"
+
+
+ORACLES["op13_url_filter"] = rf"""
+    WITH rests AS (
+        SELECT page_id, coalesce(html, '') AS html,
+               CASE WHEN contains(url, '://') THEN substring(url, instr(url, '://') + 3) ELSE '' END AS rest
+        FROM pages),
+    parts AS (
+        SELECT page_id, html, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+               translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz') AS host
+        FROM rests),
+    judged AS MATERIALIZED (SELECT *, {_rule("rule")} AS rule, {_rule("verdict")} AS said FROM parts),
+    found AS (SELECT host AS src, unnest(regexp_extract_all(html, '{LINK}', 1)) AS link FROM parts),
+    lowered AS (
+        SELECT DISTINCT src, translate(link, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                       'abcdefghijklmnopqrstuvwxyz') AS dst FROM found),
+    edges AS MATERIALIZED (
+        SELECT src, dst, count(*) OVER (PARTITION BY src) AS degree FROM lowered WHERE src <> dst),
+    back AS MATERIALIZED (
+        SELECT dst AS src, src AS dst, count(*) OVER (PARTITION BY dst) AS degree
+        FROM lowered WHERE src <> dst),
+    seeds AS (
+        SELECT host, count(*) FILTER (said = 'allow') AS allowed, count(*) FILTER (said = 'block') AS blocked
+        FROM judged GROUP BY host),
+    trusted AS MATERIALIZED (
+        SELECT host, (allowed::HUGEINT * {UNIT} // sum(allowed) OVER ())::BIGINT AS start
+        FROM seeds WHERE allowed > 0),
+    distrusted AS MATERIALIZED (
+        SELECT host, (blocked::HUGEINT * {UNIT} // sum(blocked) OVER ())::BIGINT AS start
+        FROM seeds WHERE blocked > 0),
+    {_rounds("edges", "trusted", "t")},
+    {_rounds("back", "distrusted", "d")},
+    trust AS (SELECT host, (rank::HUGEINT * {UNIT} // sum(rank) OVER ())::BIGINT AS rank FROM t{ROUNDS}),
+    distrust AS (SELECT host, (rank::HUGEINT * {UNIT} // sum(rank) OVER ())::BIGINT AS rank FROM d{ROUNDS})
+    SELECT page_id, host, path, rule,
+           coalesce(said, CASE WHEN coalesce(d.rank, 0) * 1000
+                                    > (coalesce(t.rank, 0) + coalesce(d.rank, 0)) * {THRESHOLD}
+                               THEN 'block' ELSE 'allow' END) AS verdict,
+           coalesce(t.rank, 0) AS trust, coalesce(d.rank, 0) AS distrust
+    FROM judged LEFT JOIN trust t USING (host) LEFT JOIN distrust d USING (host)"""

@@ -10,7 +10,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, fingerprints, licenses, mixing, packing, quality, search, sharding, simhash, warc
+from . import (
+    chat,
+    fingerprints,
+    licenses,
+    links,
+    mixing,
+    packing,
+    quality,
+    search,
+    sharding,
+    simhash,
+    spelling,
+    warc,
+)
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +94,13 @@ def op10_quality_classifier(spark, sf_dir):
     return quality.score_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     )
+
+
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_url_filter(spark, sf_dir):
+    return links.judge_urls(table(spark, sf_dir, "pages"))
