@@ -1,0 +1,103 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from tidemark.llm import spelling
+
+from .common import documents, odd_rows, tuples
+
+COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) - len(short) == 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def brute(rows, shortest=6, least=5, times=5, fault=199):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            word = run.translate(lower)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+            if h % fault == 0:
+                word = word[: h % len(word)] + word[h % len(word) + 1 :]
+            counts[word] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= shortest and n >= least}
+    form, out = {}, []
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    for w, n in words.items():
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        if best is not None and words[best] >= times * n:
+            form[w] = best
+    for w, n in words.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.append((w, form.get(w), root, n, len(near[w]), words.get(form.get(w))))
+    return sorted(out, key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def misspelt(seed: int, n: int) -> list[tuple]:
+    """Words, some of them with edits at either end and inside, of very unequal
+    frequency, so that forms chain."""
+    chance = random.Random(seed)
+    stems = ["".join(chance.choices("aeilnrstéß", k=chance.randint(6, 9))) for _ in range(12)]
+    pool = list(stems)
+    for _ in range(60):
+        w = chance.choice(pool)
+        i = chance.randint(0, len(w))
+        pool.append(chance.choice([w[:i] + "e" + w[i:], w[:i] + w[i + 1 :], w[:i] + "ü" + w[i + 1 :]]))
+    weights = [5.0 ** chance.uniform(-5, 0) for _ in pool]
+    rows = []
+    for i in range(n):
+        picked = chance.choices(pool, weights, k=200)
+        rows.append((i, " ".join(w.title() if chance.random() < 0.1 else w for w in picked)))
+    return rows
+
+
+@pytest.mark.parametrize("symbols", [1, 2, 6, 20])
+def test_against_brute_force(spark, symbols, both_plans):
+    rows = misspelt(symbols, 40)
+    docs = documents(spark, [(i, t, "en", "s", 1) for i, t in rows])
+    got = spelling.spelling_variants(docs, symbols=symbols, fault=7)
+    want = brute(rows, fault=7)
+    assert tuples(got, *COLUMNS) == want
+    roots = {w: (form, root) for w, form, root, *_ in want}
+    assert any(form and form != root for form, root in roots.values())  # a chain
+
+
+def test_neighbourhoods_are_whole_and_without_repeats(spark):
+    words = ["a", "aa", "abba", "babab", "aabbaa", ""]
+    reduced = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "id long, r string")
+    got = tuples(spelling.neighbourhoods(reduced, 2), "id", "near")
+    want = set()
+    for i, w in enumerate(words):
+        around = {w} | {w[:k] + w[k + 1 :] for k in range(len(w))}
+        around |= {w[:k] + s + w[k:] for k in range(len(w) + 1) for s in "ab"}
+        around |= {w[:k] + s + w[k + 1 :] for k in range(len(w)) for s in "ab"}
+        hashed = spark.createDataFrame([(v,) for v in around], "v string").select(F.xxhash64("v"))
+        want |= {(i, r[0]) for r in hashed.collect()}
+    assert len(got) == len(set(got))
+    assert set(got) == want
+
+
+@pytest.mark.parametrize("clashing", [False, True])
+def test_odd_rows(spark, clashing):
+    rows = odd_rows()
+    rows += [(400, "Ärmelß ärmelß ÄRMELß ×××××× ÷÷÷÷÷÷ naïveté" * 7, "de", None, 3)]
+    df = spelling.spelling_variants(documents(spark, rows, clashing), shortest=2, least=2)
+    assert tuples(df, *COLUMNS) == brute([(r[0], r[1]) for r in rows], shortest=2, least=2)
+
+
+def test_empty_tables(spark):
+    assert spelling.spelling_variants(documents(spark, [])).collect() == []
+    assert spelling.spelling_variants(documents(spark, [(1, None, "en", "s", 0)])).collect() == []

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    alignment,
     chat,
     fingerprints,
     licenses,
@@ -30,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def query(function: Query) -> Query:
@@ -37,10 +39,10 @@ def query(function: Query) -> Query:
     return function
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 @query
@@ -101,6 +103,12 @@ def op11_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_tokenizer_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align_documents(docs, tokenizer_path(), tokenizer_path(PIECES))
+
+
 @query
 def op13_url_filter(spark, sf_dir):
     return links.judge_urls(table(spark, sf_dir, "pages"))

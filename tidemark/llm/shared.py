@@ -3,9 +3,10 @@ distributed numbering. Everything here is plain DataFrame work."""
 
 from __future__ import annotations
 
+import contextlib
 import io
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -39,9 +40,9 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def python_ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+def send_package(spark: SparkSession) -> None:
     """Before Python runs on executors: send them this package, which need not be
-    installed there, and keep the Arrow batches they get small."""
+    installed there."""
     package = Path(__file__).resolve().parent.parent
     context = spark.sparkContext
     if context.applicationId not in _sent:
@@ -53,6 +54,29 @@ def python_ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
         files.put(spark, shared, archive.getvalue())
         context.addPyFile(shared)
         _sent.add(context.applicationId)
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> Iterator[None]:
+    """Keeps the Arrow batches small for what runs inside; the session's own settings
+    are back afterwards."""
+    own = {
+        "spark.sql.execution.arrow.maxRecordsPerBatch": rows,
+        "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+    }
+    before = {key: spark.conf.get(key) for key in own}
+    for key, value in own.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def python_ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Send the package, and keep the Arrow batches small from now on."""
+    send_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
