@@ -61,6 +61,8 @@ def misspelt(seed: int, n: int) -> list[tuple]:
     for i in range(n):
         picked = chance.choices(pool, weights, k=200)
         rows.append((i, " ".join(w.title() if chance.random() < 0.1 else w for w in picked)))
+    for i, (w, times) in enumerate([("zzwwvv", 400), ("zzwwvvx", 60), ("zzwwvvxy", 9)]):
+        rows += [(n + 1000 * i + k, w) for k in range(times)]
     return rows
 
 

@@ -27,7 +27,7 @@ RULES = (
 
 UNIT = 10**15  # all of trust, and all of distrust
 DAMPING = 85  # of 100
-ROUNDS = 30
+ROUNDS = 16
 THRESHOLD = 500  # of 1000: a host is blocked above this share of distrust
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,20 +73,20 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where("src <> dst").distinct()
 
 
-def _shares(seeds: DataFrame) -> DataFrame:
-    """(host, start): the seeds' whole numbers n as parts of UNIT."""
-    total = seeds.agg(F.sum("n").alias("total"))
-    parts = seeds.crossJoin(F.broadcast(total))  # one row
-    start = F.expr(f"CAST((CAST(n AS DECIMAL(20, 0)) * {UNIT}) div total AS BIGINT)")
-    return parts.select("host", start.alias("start")).where("start > 0")
+def _parts(df: DataFrame, value: str, name: str) -> DataFrame:
+    """The whole numbers ``value`` as parts of UNIT of their kind's sum."""
+    totals = df.groupBy("kind").agg(F.sum(value).alias("total"))  # a row per kind
+    part = F.expr(f"CAST((CAST({value} AS DECIMAL(20, 0)) * {UNIT}) div total AS BIGINT)")
+    return df.join(F.broadcast(totals), "kind").select("kind", "host", part.alias(name))
 
 
 def propagate(
     edges: DataFrame, seeds: DataFrame, damping: int = DAMPING, rounds: int = ROUNDS
 ) -> DataFrame:
-    """(host, rank) by personalised PageRank: a host passes ``damping`` percent of its
-    rank on, in equal parts to the hosts it points to, and the rest comes from the
-    seeds (host, n).
+    """(kind, host, rank) by personalised PageRank, for a few kinds of rank at once,
+    each with edges (kind, src, dst) and seeds (kind, host, n) of its own: a host
+    passes ``damping`` percent of its rank on, in equal parts to the hosts it points
+    to, and the rest comes from the seeds.
 
     Rank of hosts that point nowhere goes back to the seeds in proportion; that
     multiplies all ranks by one number, so it is done once at the end by bringing
@@ -94,24 +94,21 @@ def propagate(
     early when no rank changes. No seeds: no rows. Memory and shuffles are those of
     the edges, whatever a host's degree: parts are added up before the shuffle.
     """
-    start = stored(_shares(seeds))
-    degrees = edges.groupBy("src").agg(F.count("*").alias("degree"))
-    out = stored(edges.join(degrees, "src"))
-    ranks, state = start.select("host", F.col("start").alias("rank")), None
+    start = stored(_parts(seeds, "n", "start").where("start > 0"))
+    degrees = edges.groupBy("kind", "src").agg(F.count("*").alias("degree"))
+    out = stored(edges.join(degrees, ["kind", "src"]).withColumnRenamed("src", "host"))
+    kept = start.select("kind", "host", F.expr(f"start - start * {damping} div 100").alias("rank"))
+    ranks, state = start.withColumnRenamed("start", "rank"), None
     for _ in range(rounds):
-        given = out.join(ranks, out["src"] == ranks["host"])
-        part = F.expr(f"(rank * {damping} div 100) div degree")
-        sent = given.select(F.col("dst").alias("host"), part.alias("rank"))
-        kept = start.select("host", F.expr(f"start - start * {damping} div 100").alias("rank"))
-        ranks = sent.unionByName(kept).groupBy("host").agg(F.sum("rank").alias("rank"))
+        part = F.expr(f"(rank * {damping} div 100) div degree").alias("rank")
+        sent = out.join(ranks, ["kind", "host"]).select("kind", F.col("dst").alias("host"), part)
+        ranks = sent.unionByName(kept).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
         ranks = stored(ranks.where("rank > 0"))
-        seen = ranks.agg(F.count("*"), F.sum(F.xxhash64("host", "rank").cast("decimal(38,0)"))).first()
+        seen = ranks.agg(F.count("*"), F.sum(F.xxhash64("kind", "host", "rank").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
             break
         state = tuple(seen)
-    total = ranks.agg(F.sum("rank").alias("total"))
-    whole = F.expr(f"CAST((CAST(rank AS DECIMAL(20, 0)) * {UNIT}) div total AS BIGINT)")
-    return ranks.crossJoin(F.broadcast(total)).select("host", whole.alias("rank"))
+    return _parts(ranks, "rank", "rank")
 
 
 def judge_urls(
@@ -140,18 +137,19 @@ def judge_urls(
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     edges = stored(host_edges(parts))
     ruled = parts.drop("html").withColumns({"rule": rule, "said": verdict})
-    kinds = [F.count(F.when(F.col("said") == says, 1)).alias(says) for says in ("allow", "block")]
-    seeds = stored(ruled.groupBy("host").agg(*kinds))
-    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    ranks = [
-        propagate(way, seeds.where(F.col(says) > 0).select("host", F.col(says).alias("n")), damping, rounds)
-        .select("host", F.col("rank").alias(name))
-        for way, says, name in ((edges, "allow", "trust"), (back, "block", "distrust"))
-    ]
-    none = F.lit(0).cast("long")
-    hosts = seeds.select("host")
-    for r, name in zip(ranks, ("trust", "distrust"), strict=True):
-        hosts = hosts.join(r, "host", "left").withColumn(name, F.coalesce(name, none))
+    pages_by = ruled.groupBy("host").agg(
+        F.count(F.when(F.col("said") == "allow", 1)).alias("trust"),
+        F.count(F.when(F.col("said") == "block", 1)).alias("distrust"),
+    )
+    hosts = stored(pages_by)
+    kinds = ("trust", "distrust")
+    seeds = [hosts.select(F.lit(k).alias("kind"), "host", F.col(k).alias("n")).where("n > 0") for k in kinds]
+    back = edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("src"), F.col("src").alias("dst"))
+    both = stored(edges.select(F.lit("trust").alias("kind"), "src", "dst").unionByName(back))
+    ranks = propagate(both, seeds[0].unionByName(seeds[1]), damping, rounds)
+    of = [F.sum(F.when(F.col("kind") == k, F.col("rank"))).alias(k) for k in kinds]
+    reached = ranks.groupBy("host").agg(*of)
+    hosts = hosts.select("host").join(reached, "host", "left").fillna(0, list(kinds))
     distrusted = F.col("distrust") * 1000 > (F.col("trust") + F.col("distrust")) * threshold
     own = F.when(distrusted, "block").otherwise("allow")
     return ruled.join(hosts.withColumn("own", own), "host").select(
