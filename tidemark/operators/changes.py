@@ -100,7 +100,7 @@ def align_types(df: DataFrame, model: DataFrame) -> DataFrame:
         raise ValueError(f"Columns do not fit the types of the target: {', '.join(lossy)}")
     return df.select(
         *[
-            F.col(f"`{f.name}`").cast(kinds[f.name.lower()]).alias(f.name)
+            _as_type(f, kinds[f.name.lower()]).alias(f.name)
             if kinds.get(f.name.lower(), f.dataType) != f.dataType
             else F.col(f"`{f.name}`")
             for f in df.schema
@@ -108,12 +108,34 @@ def align_types(df: DataFrame, model: DataFrame) -> DataFrame:
     )
 
 
+_SECOND = 1_000_000
+
+
+def _as_type(field: T.StructField, target: T.DataType) -> Column:
+    """A column in another type: the same value, or the same error, whatever the
+    session's ANSI mode and time zone. Instants are written in UTC, and a date
+    becomes midnight in UTC."""
+    value, source = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(source, T.TimestampType) and isinstance(target, T.StringType):
+        seconds = F.unix_micros(value).cast("decimal(20,0)") / F.lit(_SECOND).cast("decimal(7,0)")
+        zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return (zero + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))).cast("string")
+    if isinstance(source, T.DateType) and isinstance(target, T.TimestampType):
+        return F.timestamp_seconds(F.unix_date(value) * 86400)
+    if not isinstance(source, T.AtomicType):
+        return value.cast(target)
+    tried = value.try_cast(target)
+    message = f"A value of {field.name} does not fit {target.simpleString()}: "
+    failed = F.raise_error(F.concat(F.lit(message), value.cast("string"))).cast(target)
+    return F.when(value.isNotNull() & tried.isNull(), failed).otherwise(tried)
+
+
 # Digits a whole number may have, by type.
 _DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 
 
 def _holds(target: T.DataType, source: T.DataType) -> bool:
-    """Whether every value of one type can be written in the other. A whole number
+    """Whether values of one type can be written in the other. A whole number
     fits any other whole type as long as its value does; Spark checks that."""
     if target == source or isinstance(source, T.NullType):
         return True

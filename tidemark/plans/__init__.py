@@ -6,7 +6,14 @@ from .orders import (
     orders_in_value_range,
     products_above_average,
 )
-from .readiness import blocked_dependencies, input_readiness, missing_inputs, require_ready
+from .readiness import (
+    blocked_dependencies,
+    expected_runs,
+    input_readiness,
+    logged_span,
+    missing_inputs,
+    require_ready,
+)
 from .registry import Registry, registry
 from .reports import REPORTS, run_report
 from .runner import apply_steps, read_config, require, run
@@ -18,8 +25,10 @@ __all__ = [
     "blocked_dependencies",
     "customers_in_cities",
     "customers_with_orders",
+    "expected_runs",
     "input_readiness",
     "loan_summary",
+    "logged_span",
     "missing_inputs",
     "monthly_customer_report",
     "order_totals",

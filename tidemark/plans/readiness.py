@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.filters import on_day
@@ -18,6 +18,20 @@ from ..tables.formats import location
 RUN_KEY = ("job_name", "data_date")
 
 
+def expected_runs(jobs: DataFrame, first: Column, last: Column) -> DataFrame:
+    """``(job_name, data_date)`` of each job on every day from ``first`` to ``last``,
+    both dates; none if the order is reversed or a date is null. ``jobs`` has
+    distinct ``job_name``s."""
+    days = F.when(first <= last, F.sequence(first, last))
+    return jobs.select("job_name", F.explode(days).alias("data_date"))
+
+
+def logged_span(run_log: DataFrame) -> tuple[Column, Column]:
+    """First and last date of a run log, as scalars of the plan that uses them."""
+    day = F.col("data_date").cast("date")
+    return run_log.agg(F.min(day)).scalar(), run_log.agg(F.max(day)).scalar()
+
+
 def blocked_dependencies(expected: DataFrame, run_log: DataFrame) -> DataFrame:
     """Expected ``(job_name, data_date)`` runs without a logged success.
 

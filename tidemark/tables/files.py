@@ -66,11 +66,26 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(handle, True)
 
 
+def beside(path: str, mark: str) -> str:
+    """A hidden directory next to ``path``."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{name}-{mark}" if parent else f"_{name}-{mark}"
+
+
 def put_in_place(spark: SparkSession, staged: str, path: str) -> None:
-    """Let a finished directory take the place of another one."""
+    """Let a finished directory take the place of another one.
+
+    The old one steps aside to a fixed name. If the two renames were cut short before,
+    it is still there: with nothing at ``path`` it first comes back, otherwise the
+    swap was complete and it goes."""
     fs, new = _resolve(spark, staged)
     _, target = _resolve(spark, path)
-    _, aside = _resolve(spark, f"{staged}-before")
+    _, aside = _resolve(spark, beside(path, "before"))
+    if fs.exists(aside):
+        if fs.exists(target):
+            fs.delete(aside, True)
+        else:
+            fs.rename(aside, target)
     replaced = fs.exists(target)
     if replaced and not fs.rename(target, aside):
         raise OSError(f"Cannot move {path}")

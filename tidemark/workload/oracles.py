@@ -48,6 +48,9 @@ ORACLES["src_cached"] = """
 ORACLES["sink_overwrite"] = "SELECT * FROM part"
 ORACLES["sink_append"] = "SELECT * FROM part UNION ALL SELECT * FROM part"
 ORACLES["sink_table"] = "SELECT * FROM part"
+ORACLES["sink_rerun"] = f"""
+    SELECT *, DATE '{DAY1}' AS data_date FROM orders
+    UNION ALL SELECT *, DATE '{DAY2}' FROM orders WHERE o_orderstatus = 'F'"""
 ORACLES["sink_partitioned"] = f"SELECT *, DATE '{DAY2}' AS data_date FROM orders"
 ORACLES["sink_text_partitions"] = """
     SELECT p_partkey, p_name,
@@ -359,8 +362,11 @@ ORACLES["change_feed_first"] = _pair(ORACLES["scd4_init"], ORACLES["scd4_init"])
 # -- readiness ----------------------------------------------------------------
 
 ORACLES["gate_dependencies"] = """
-    SELECT 'job_' || user_id AS job_name, CAST(ts AS DATE) AS data_date
-    FROM events GROUP BY ALL HAVING count(*) FILTER (event_type = 'purchase') = 0"""
+    WITH log AS (SELECT 'job_' || user_id AS job_name, CAST(ts AS DATE) AS data_date, event_type FROM events),
+         span AS (SELECT min(data_date) AS a, max(data_date) AS b FROM log),
+         days AS (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS data_date FROM span)
+    SELECT job_name, data_date FROM (SELECT DISTINCT job_name FROM log), days
+    EXCEPT SELECT job_name, data_date FROM log WHERE event_type = 'purchase'"""
 ORACLES["gate_inputs"] = """
     WITH counted AS (
         SELECT 'events' AS input_name,

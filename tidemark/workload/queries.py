@@ -18,7 +18,12 @@ from ..operators import changes, filters, scd
 from ..operators.changes import HASH
 from ..operators.joins import join_on, join_using
 from ..plans import monthly, orders as reports
-from ..plans.readiness import blocked_dependencies, input_readiness
+from ..plans.readiness import (
+    blocked_dependencies,
+    expected_runs,
+    input_readiness,
+    logged_span,
+)
 from ..plans.registry import registry
 from ..plans.runner import run
 from ..sinks import write_feed, write_output, write_scd
@@ -114,7 +119,23 @@ def sink_table(spark, sf_dir):
         "table": name,
         "options": {"path": f"{scratch_dir(spark)}/{name}"},
     }
-    write_output(spark, table(spark, sf_dir, "part"), output)
+    for name in ("part", "supplier", "part"):  # other columns, and back
+        write_output(spark, table(spark, sf_dir, name), output)
+    return read_input(spark, {k: v for k, v in output.items() if k != "options"})
+
+
+@query
+def sink_rerun(spark, sf_dir):
+    """Two dates are written, then the second one again from other rows."""
+    output = {
+        "format": "parquet",
+        "path": f"{scratch_dir(spark)}/orders",
+        "partition_by": ["data_date"],
+        "mode": "overwrite_partitions",
+    }
+    book = table(spark, sf_dir, "orders")
+    for day, rows in ((0, book), (1, book), (1, book.where("o_orderstatus = 'F'"))):
+        write_output(spark, rows, output, data_date=LOAD_DAYS[day])
     return read_input(spark, output)
 
 
@@ -646,8 +667,11 @@ def change_feed_first(spark, sf_dir):
 
 @query
 def gate_dependencies(spark, sf_dir):
+    """Every job on every day of the log's span: runs that failed, and runs that the
+    log does not have."""
     log = t.run_log(spark, sf_dir)
-    return blocked_dependencies(log, log)
+    expected = expected_runs(log.select("job_name").distinct(), *logged_span(log))
+    return blocked_dependencies(expected, log)
 
 
 @query
