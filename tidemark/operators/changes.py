@@ -28,11 +28,15 @@ PREIMAGE, POSTIMAGE = "update_preimage", "update_postimage"
 
 COMMIT_VERSION = "_commit_version"
 
-# In a comparison: the new row, and whether there is an old one. In a feed: whether
-# an image is its key's last state.
+# In a comparison: the new row, and whether there is an old one. Of a key in a feed:
+# the state it is left in, its place, and whether the feed has an old image.
 NEW, OLD = "__new", "__old"
-LAST = "__last"
-_SLOT, _AMONG, _AT, _HAD = "__slot", "__among", "__at", "__had"
+STATE, AT, HAD = "__state", "__at", "__had"
+_SLOT, _AMONG, _TIMES, _KEY = "__slot", "__among", "__times", "__key"
+
+# What errors of a running job begin with.
+SHARED_KEY = "Several source rows share a key"
+NO_ORDER = "Several new images of a key without an order"
 
 
 def attribute_fields(
@@ -184,6 +188,29 @@ def _packed(new: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def require_unique(
+    df: DataFrame, keys: Sequence[str], null_safe: bool = False, by: Sequence[str] | None = None
+) -> DataFrame:
+    """The rows of ``df``; the job that reads them fails if two share a key. Rows
+    without a key share none unless ``null_safe``.
+
+    Rows are dealt by ``by``, the keys unless given, and a join on the same columns
+    takes them as they lie, so the check costs no shuffle of its own there.
+    """
+    keyed, given = df, by is not None
+    if not given:
+        by = list(keys)
+        if not null_safe:
+            keyed, by = df.withColumn(_SLOT, _scatter(df.schema, keys, "")), [*by, _SLOT]
+    counted = keyed.withColumn(_TIMES, F.count("*").over(Window.partitionBy(*named(by))))
+    again = F.col(_TIMES) > 1
+    if not null_safe:
+        again = again & reduce(and_, [c.isNotNull() for c in named(keys)])
+    message = F.concat(F.lit(f"{SHARED_KEY}, for example "), F.to_json(F.struct(*named(keys))))
+    once = F.when(again, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return counted.where(once).drop(_TIMES, *([] if given else [_SLOT]))
+
+
 def with_replacement(
     old: DataFrame,
     new: DataFrame,
@@ -213,23 +240,41 @@ def compared(
     null_safe: bool = False,
     small: bool = False,
     among: Column | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """All rows of both sides: columns of ``old``, ``OLD`` where there is an old
     row, and the new row as the struct ``NEW``. With ``among`` only the old rows it
-    holds for can meet a new one."""
+    holds for can meet a new one. With ``unique`` the job fails if two new rows share
+    a key."""
     left = old.withColumn(OLD, F.lit(True))
     if small:
+        new = require_unique(new, keys, null_safe) if unique else new
         kept = with_replacement(left, new, keys, new.columns, null_safe, among)
         seen = old if among is None else old.where(among)
         return kept.unionByName(_fresh(new, seen, keys, null_safe), allowMissingColumns=True)
-    right = _packed(new, [*keys, *new.columns])
-    left, on = _marked(left, among, _matches(keys, "o", f"n.{NEW}", null_safe))
+    # The keys stand beside the struct too, so that rows dealt by them for the check
+    # lie as the join wants them.
+    beside = [f"{_KEY}{i}" for i in range(len(keys))]
+    whole = F.struct(*named(new.columns)).alias(NEW)
+    right = new.select(whole, *[F.col(f"`{c}`").alias(k) for c, k in zip(keys, beside, strict=True)])
+    on = reduce(
+        and_,
+        [
+            F.col(f"o.`{c}`").eqNullSafe(F.col(f"n.{k}")) if null_safe else F.col(f"o.`{c}`") == F.col(f"n.{k}")
+            for c, k in zip(keys, beside, strict=True)
+        ],
+    )
+    left, on = _marked(left, among, on)
+    by = list(beside)
     if not null_safe:
         # Rows without a key match nothing, but would all hash to one partition.
         left = left.withColumn(_SLOT, _scatter(old.schema, keys, ""))
         right = right.withColumn(_SLOT, _scatter(new.schema, keys, f"{NEW}."))
         on = on & (F.col(f"o.{_SLOT}") == F.col(f"n.{_SLOT}"))
-    return left.alias("o").join(right.alias("n"), on, "full").drop(_SLOT, _AMONG)
+        by.append(_SLOT)
+    if unique:
+        right = require_unique(right, beside, null_safe, by)
+    return left.alias("o").join(right.alias("n"), on, "full").drop(_SLOT, _AMONG, *beside)
 
 
 def _scatter(schema: T.StructType, keys: Sequence[str], prefix: str) -> Column:
@@ -358,14 +403,9 @@ def change_feed(
     return moved.select(F.explode(images).alias("image")).select("image.*")
 
 
-def feed_events(feed: DataFrame, keys: Sequence[str], version: str | None = None) -> DataFrame:
-    """A feed's images with ``LAST``: whether the image is the state its key has
-    after the feed.
-
-    ``version`` names the column that orders the changes of a key, by default
-    ``_commit_version`` if the feed has it; within one version a deletion comes
-    before a new image. Without such a column all images are of one version.
-    """
+def _order(feed: DataFrame, version: str | None) -> tuple[str | None, Column, Column]:
+    """The column that orders a feed, whether an image is a new one, and where an
+    image stands among those of its key."""
     if version is None and COMMIT_VERSION in feed.columns:
         version = COMMIT_VERSION
     kind = F.col(CHANGE_TYPE)
@@ -374,9 +414,62 @@ def feed_events(feed: DataFrame, keys: Sequence[str], version: str | None = None
         (F.col(f"`{version}`") if version else F.lit(0)).alias("version"),
         F.when(after, 2).when(kind == DELETE, 1).otherwise(0).alias("step"),
     )
-    timed = feed.withColumn(_AT, at)
-    newest = F.max(_AT).over(Window.partitionBy(*named(keys)))
-    return timed.withColumn(LAST, after & (F.col(_AT) == newest)).drop(_AT)
+    return version, after, at
+
+
+def unkeyed(keys: Sequence[str], null_safe: bool = False) -> Column:
+    """Whether a row has no key, and so is no other row's version."""
+    return F.lit(False) if null_safe else reduce(or_, [c.isNull() for c in named(keys)])
+
+
+def feed_states(
+    feed: DataFrame, keys: Sequence[str], null_safe: bool = False, version: str | None = None
+) -> DataFrame:
+    """One row per key of a feed: the key, the image the feed leaves it in as the
+    struct ``STATE`` (NULL if it is gone), its place ``AT``, and ``HAD``: whether the
+    feed gives an old image of the key. Rows without a key are left out.
+
+    ``version`` names the column that orders the changes of a key, by default
+    ``_commit_version`` if the feed has it; within one version a deletion comes
+    before a new image. Without such a column all images are of one version. The job
+    fails if a key has several new images in its last place.
+
+    Images of one place combine before they are shuffled, then places do, so a key
+    may hold any share of the feed.
+    """
+    version, after, at = _order(feed, version)
+    columns = [c for c in feed.columns if c not in (CHANGE_TYPE, version)]
+    timed = feed.where(~unkeyed(keys, null_safe)).withColumn(AT, at)
+    places = timed.groupBy(*named(keys), AT).agg(
+        F.first(F.when(after, F.struct(*named(columns)))).alias(STATE),
+        F.count("*").alias(_TIMES),
+        F.max(~after).alias(HAD),
+    )
+    states = places.groupBy(*named(keys)).agg(
+        F.max(AT).alias(AT),
+        F.max_by(F.struct(STATE, _TIMES), AT).alias("__last"),
+        F.max(HAD).alias(HAD),
+    )
+    several = F.col(f"__last.{STATE}").isNotNull() & (F.col(f"__last.{_TIMES}") > 1)
+    message = F.concat(F.lit(f"{NO_ORDER}, for example "), F.to_json(F.struct(*named(keys))))
+    once = F.when(several, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    kept = states.where(once)
+    return kept.select(*named(keys), F.col(f"__last.{STATE}").alias(STATE), AT, HAD)
+
+
+def passed_images(
+    feed: DataFrame,
+    states: DataFrame,
+    keys: Sequence[str],
+    null_safe: bool = False,
+    version: str | None = None,
+) -> DataFrame:
+    """New images of a feed that a later one of their key replaces."""
+    version, after, at = _order(feed, version)
+    on = _matches(keys, "f", "t", null_safe) & (F.col(f"f.{AT}") < F.col(f"t.{AT}"))
+    new = feed.where(after & ~unkeyed(keys, null_safe)).withColumn(AT, at)
+    met = new.alias("f").join(states.select(*named(keys), AT).alias("t"), on, "left_semi")
+    return met.drop(AT, CHANGE_TYPE, *([version] if version else []))
 
 
 def apply_change_feed(
@@ -390,22 +483,36 @@ def apply_change_feed(
 ) -> tuple[DataFrame, DataFrame]:
     """Current state and history after a feed.
 
-    Keys named in the feed leave the current state and the last of their new images
-    enters it; for the order of a key's changes see :func:`feed_events`. Old images
-    go to the history, closed at ``as_of``. A current row that a feed replaces
-    without giving its old image goes there too.
+    A key named in the feed leaves the current state and the last of its new images
+    enters it, see :func:`feed_states`; several without an order are an error. Old
+    images go to the history, closed at ``as_of``. A current row that a feed replaces
+    without giving its old image goes there too. Images without a key replace
+    nothing: new ones enter the state, old ones the history.
+
+    The state is one full outer join of the current rows and the feed's states.
     """
-    events = feed_events(feed, keys, version)
-    extra = [CHANGE_TYPE, LAST, *([version or COMMIT_VERSION])]
-    images = events.where(LAST).drop(*extra)
-    old_image = F.col(CHANGE_TYPE).isin(DELETE, PREIMAGE)
-    touched = feed.groupBy(*named(keys)).agg(F.max(old_image).alias(_HAD))
+    states = feed_states(feed, keys, null_safe, version)
+    version, after, _ = _order(feed, version)
+    extra = [CHANGE_TYPE, *([version] if version else [])]
+    met = current.withColumn(OLD, F.lit(True)).alias("c")
     on = _matches(keys, "c", "t", null_safe)
-    met = current.alias("c").join(touched.alias("t"), on, "left")
-    rest = met.where(F.col(f"t.{_HAD}").isNull()).select("c.*")
-    state = rest.unionByName(images, allowMissingColumns=True)
+    pairs = met.join(states.withColumn(_KEY, F.lit(True)).alias("t"), on, "full")
+    image = {f.name.lower(): f.name for f in states.schema[STATE].dataType}
+    columns = [*current.columns, *[c for k, c in image.items() if k not in {n.lower() for n in current.columns}]]
+
+    def value(c: str) -> Column:
+        new = F.col(f"t.{STATE}.`{image[c.lower()]}`") if c.lower() in image else F.lit(None)
+        old = F.col(f"c.`{c}`") if c in current.columns else F.lit(None)
+        return F.when(F.col(f"t.{_KEY}"), new).otherwise(old).alias(c)
+
+    there = F.col(f"t.{STATE}").isNotNull() | F.col(f"t.{_KEY}").isNull()
+    state = pairs.where(there).select(*[value(c) for c in columns])
+    if not null_safe:
+        loose = feed.where(unkeyed(keys) & after).drop(*extra)
+        state = state.unionByName(loose, allowMissingColumns=True)
 
-    closed = events.where(old_image).drop(*extra).withColumn(END, as_of)
-    silent = met.where(~F.col(f"t.{_HAD}")).select("c.*").withColumn(END, as_of)
+    closed = feed.where(~after).drop(*extra).withColumn(END, as_of)
+    unseen = states.where(~F.col(HAD)).select(*named(keys)).alias("t")
+    silent = current.alias("c").join(unseen, on, "left_semi").withColumn(END, as_of)
     past = history.unionByName(closed, allowMissingColumns=True)
     return state, past.unionByName(silent, allowMissingColumns=True)

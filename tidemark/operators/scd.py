@@ -29,6 +29,7 @@ from .changes import (
     gone,
     hashed_pair,
     require_columns,
+    require_unique,
     with_replacement,
 )
 
@@ -36,6 +37,9 @@ from .changes import (
 # The hash a version was stored with.
 _STORED = "__stored"
 
+# Of a row that a load gives: whether the load made it, and the table it goes to.
+MOVED, TARGET = "__moved", "__target"
+
 
 def _never(as_of: Column) -> Column:
     """NULL of the type of ``as_of``."""
@@ -63,16 +67,18 @@ def scd1_merge(
     keys: Sequence[str],
     null_safe: bool = False,
     small: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Upsert: last write wins, rows only in the target stay.
 
     A matched row takes every source column, also where the source has NULL.
     Columns only the target knows keep their value; an inserted row has NULL in
-    them. Columns only the source knows are added.
+    them. Columns only the source knows are added. With ``unique`` the job fails if
+    two source rows share a key.
     """
     require_columns(source, keys)
     if target is None:
-        return source
+        return require_unique(source, keys, null_safe) if unique else source
     require_columns(target, keys)
     source = align_types(source, target)
     given = {c.lower(): c for c in source.columns}
@@ -86,7 +92,7 @@ def scd1_merge(
         return F.when(gone(), old).otherwise(new).alias(c)
 
     columns = [*target.columns, *[c for c in source.columns if c.lower() not in known]]
-    pairs = compared(target, source, keys, null_safe, small)
+    pairs = compared(target, source, keys, null_safe, small, unique=unique)
     return pairs.select(*[merged(c) for c in columns])
 
 
@@ -117,15 +123,20 @@ def scd2_step(
     expire_missing: bool = False,
     null_safe: bool = False,
     small: bool = False,
+    unique: bool = False,
+    flag: bool = False,
 ) -> DataFrame:
     """What a load makes of the open versions: the versions open afterwards and
-    those it has closed. Versions closed earlier take no part in a load.
+    those it has closed. Versions closed earlier take no part in a load. ``flag``
+    adds ``MOVED``: whether the load opened or closed the version. With ``unique``
+    the job fails if two source rows share a key.
 
     A key the target has never had opens a version unless ``insert_new`` is off;
     a key the source lacks stays open unless ``expire_missing`` is on.
     """
     return _scd2(
-        opened, source, keys, as_of, ignore, hash, insert_new, expire_missing, null_safe, small
+        opened, source, keys, as_of, ignore, hash, insert_new, expire_missing, null_safe, small,
+        unique=unique, flag=flag,
     )
 
 
@@ -141,6 +152,8 @@ def _scd2(
     null_safe: bool,
     small: bool = False,
     is_open: Column | None = None,
+    unique: bool = False,
+    flag: bool = False,
 ) -> DataFrame:
     """The versions after a load, in one pass over ``target``. With ``is_open``
     those it does not hold for come through as they are."""
@@ -161,9 +174,9 @@ def _scd2(
             return F.col(f"{NEW}.`{supplied[c.lower()]}`").alias(c)
         return F.lit(None).cast(kinds[c]).alias(c)
 
-    def version(values: list[Column], start: Column, end: Column, live: Column, h: Column) -> Column:
+    def version(values, start: Column, end: Column, live: Column, h: Column, moved: Column) -> Column:
         audit = [start.alias(START), end.alias(END), live.alias(CURRENT), h.alias(HASH)]
-        return F.struct(*values, *audit)
+        return F.struct(*values, *audit, *([moved.alias(MOVED)] if flag else []))
 
     before = version(
         [F.col(f"`{c}`") for c in columns],
@@ -171,15 +184,22 @@ def _scd2(
         F.when(closing, as_of).otherwise(F.col(END)),
         F.when(stays, F.col(CURRENT)).otherwise(~closing),
         F.when(stays, F.col(_STORED)).otherwise(F.col(HASH)),
+        closing,
     )
     after = version(
-        [newer(c) for c in columns], as_of, _never(as_of), F.lit(True), F.col(f"{NEW}.{HASH}")
+        [newer(c) for c in columns],
+        as_of,
+        _never(as_of),
+        F.lit(True),
+        F.col(f"{NEW}.{HASH}"),
+        F.lit(True),
     )
     versions = F.when(differs(), F.array(before, after)).otherwise(F.array(before))
     if insert_new:
-        pairs = compared(kept, source, keys, null_safe, small, is_open)
+        pairs = compared(kept, source, keys, null_safe, small, is_open, unique)
         versions = F.when(fresh(), F.array(after)).otherwise(versions)
     else:
+        source = require_unique(source, keys, null_safe) if unique else source
         pairs = with_replacement(kept, source, keys, source.columns, null_safe, is_open)
     return pairs.select(F.explode(versions).alias("v")).select("v.*")
 
@@ -220,6 +240,47 @@ def scd4_init(
     return scd2_init(source, keys, as_of, ignore, hash).drop(CURRENT)
 
 
+def scd4_step(
+    current: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    as_of: Column,
+    ignore: Iterable[str] = (),
+    hash: str = "exact",
+    null_safe: bool = False,
+    unique: bool = False,
+) -> DataFrame:
+    """Both results of a load from one comparison, told apart by ``TARGET``:
+    ``current`` rows as :func:`scd4_current` gives them, ``history`` rows as
+    :func:`scd4_history` does, each with NULL in columns only the other has.
+    ``MOVED`` is whether the load made the row. Either side is read and shuffled
+    once. With ``unique`` the job fails if two source rows share a key."""
+    _check_source(source, keys)
+    current, source = hashed_pair(current, source, keys, ignore, hash)
+    given = {c.lower(): c for c in source.columns if c not in AUDIT}
+    known = {c.lower(): c for c in current.columns if c not in AUDIT}
+    kinds = {f.name.lower(): f.dataType for f in [*source.schema, *current.schema]}
+    columns = [*given.values(), *[c for k, c in known.items() if k not in given]]
+
+    def image(target: str, start: Column, end: Column, value: Column, moved: Column) -> Column:
+        names = given if target == "current" else known
+        side = f"{NEW}." if target == "current" else ""
+        values = [
+            (F.col(f"{side}`{names[c.lower()]}`") if c.lower() in names else F.lit(None).cast(kinds[c.lower()])).alias(c)
+            for c in columns
+        ]
+        audit = [start.alias(START), end.alias(END), value.alias(HASH), moved.alias(MOVED)]
+        return F.struct(F.lit(target).alias(TARGET), *values, *audit)
+
+    moved = fresh() | differs()
+    start = F.when(moved, as_of).otherwise(F.col(START))
+    now = image("current", start, _never(as_of), F.col(f"{NEW}.{HASH}"), moved)
+    old = image("history", F.col(START), as_of, F.col(HASH), F.lit(True))
+    rows = F.when(gone(), F.array(old)).when(differs(), F.array(now, old)).otherwise(F.array(now))
+    pairs = compared(current, source, keys, null_safe, unique=unique)
+    return pairs.select(F.explode(rows).alias("v")).select("v.*")
+
+
 def scd4_history(
     current: DataFrame,
     source: DataFrame,

@@ -4,45 +4,58 @@
 
     {"type": "scd2", "primary_keys": ["id"], "path": "out/customer",
      "partition_by": ["data_date"], "hash": "exact",
-     "insert_new": true, "expire_missing": false, "stage_source": true}
+     "insert_new": true, "expire_missing": false, "stage_source": false}
 
 Type 4 has ``"path": {"current": ..., "history": ...}`` and ``seed_history``.
 ``small_load`` says that loads are tiny beside the stored rows: types 1 and 2 then
 compare them by joins that can broadcast the load, which reads the stored rows
 twice but does not shuffle them. The rows are the same either way.
 With ``table`` the result is also a view of that name (type 4: two names).
+
+What a load finds out about itself, it finds out in its own job: the shuffle that
+brings keys together also shows whether one occurs twice, and the rows it opens or
+closes are counted while they are written. A load of type 2 or 4 that changes nothing
+commits nothing.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import logging
-from collections.abc import Callable, Mapping
-from functools import reduce
-from operator import and_
+import re
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import scd as ops
 from ..operators.changes import (
+    AUDIT,
     CHANGE_TYPE,
     COMMIT_VERSION,
+    CURRENT,
     END,
     HASH,
     INSERT,
-    LAST,
     NEW,
+    NO_ORDER,
     POSTIMAGE,
+    SHARED_KEY,
+    STATE,
     attribute_fields,
-    duplicate_keys,
-    feed_events,
+    feed_states,
     gone,
+    passed_images,
     require_columns,
+    require_unique,
+    unkeyed,
     with_replacement,
 )
 from ..operators.joins import named
+from ..operators.scd import MOVED, TARGET
 from ..tables import APPEND, LEDGER, REPLACE, VersionedTable, files
 
 Conf = Mapping[str, Any]
@@ -53,8 +66,9 @@ logger = logging.getLogger(__name__)
 def write_scd(
     spark: SparkSession, df: DataFrame, conf: Conf, as_of: dt.datetime | Column | None = None
 ) -> int:
-    """Apply one load and return its number. ``as_of`` is one instant for the
-    whole load, now unless given."""
+    """Apply one load and return its number, that of the load before if nothing
+    changed. ``as_of`` is one instant for the whole load, now unless given. Several
+    source rows with one key are an error, and nothing is committed."""
     load = _LOADS.get(conf.get("type", "scd2"))
     if load is None:
         raise ValueError(f"Unsupported SCD type: {conf.get('type')}")
@@ -63,9 +77,9 @@ def write_scd(
         raise ValueError("An SCD output needs primary_keys")
     require_columns(df, keys)
     moment = as_of if isinstance(as_of, Column) else F.lit(as_of or dt.datetime.now())
-    if not conf.get("stage_source", True):
+    if not conf.get("stage_source", conf.get("small_load", False)):
         return _checked(load, spark, df, conf, keys, moment)
-    # Several jobs read the source. Writing it out once keeps its query from
+    # A small load stands in several joins. Writing it out once keeps its query from
     # running again for each, and gives all of them the same rows.
     staged = files.scratch_dir(spark)
     try:
@@ -77,19 +91,37 @@ def write_scd(
 
 
 def _checked(load, spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
-    # Rows with a NULL key match nothing, unless NULL counts as a key.
-    keyed = source
-    if not conf.get("null_safe_keys"):
-        keyed = source.where(reduce(and_, [c.isNotNull() for c in named(keys)]))
-    clash = duplicate_keys(keyed, keys).limit(3).collect()
-    if clash:
-        raise ValueError(f"Several source rows share a key, for example {clash}")
-    number = load(spark, source, conf, keys, as_of)
+    with _plain_errors():
+        number = load(spark, source, conf, keys, as_of)
     where = conf.get("path") or conf.get("table")
     logger.info("Load %d of %s (%s)", number, where, conf.get("type", "scd2"))
     return number
 
 
+@contextlib.contextmanager
+def _plain_errors() -> Iterator[None]:
+    """What a job finds wrong with its input is the caller's error."""
+    try:
+        yield
+    except PySparkException as error:
+        found = re.search(rf"({SHARED_KEY}|{NO_ORDER}), for example \{{.*\}}", str(error))
+        if found is None:
+            raise
+        raise ValueError(found[0]) from error
+
+
+def _moved(df: DataFrame) -> tuple[DataFrame, Callable[[], bool]]:
+    """The rows, and, once they are written, whether the load made any of them."""
+    seen = Observation()
+    counted = df.observe(seen, F.count_if(MOVED).alias("moved"))
+    return counted, lambda: seen.get.get("moved", 1) > 0
+
+
+def _same(stored: DataFrame, columns: Iterable[str]) -> bool:
+    """Whether a load has no column that the stored rows lack."""
+    return {c.lower() for c in columns} <= {c.lower() for c in stored.columns}
+
+
 def _paths(spark: SparkSession, conf: Conf) -> Any:
     if conf.get("path"):
         return conf["path"]
@@ -120,10 +152,7 @@ def _comparable(stored: DataFrame | None, table: VersionedTable, source: DataFra
     return stored.drop(HASH)
 
 
-def _finish(
-    table: VersionedTable, df: DataFrame, conf: Conf, hashed: list[Any] | None = None
-) -> int:
-    entry = table.write(df, conf.get("partition_by"), hashed=hashed)
+def _finish(table: VersionedTable, entry: dict[str, Any], conf: Conf) -> int:
     number = table.commit({table.part: entry})
     if conf.get("table"):
         table.publish(conf["table"])
@@ -134,35 +163,64 @@ def _load_scd1(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Col
     table = VersionedTable(spark, _paths(spark, conf), REPLACE, _format(conf))
     table.begin()
     null_safe, small = conf.get("null_safe_keys", False), conf.get("small_load", False)
-    merged = ops.scd1_merge(table.read(), source, keys, null_safe, small)
-    return _finish(table, merged, conf)
+    merged = ops.scd1_merge(table.read(), source, keys, null_safe, small, unique=True)
+    return _finish(table, table.write(merged, conf.get("partition_by")), conf)
 
 
 def _load_scd2(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
     table = VersionedTable(spark, _paths(spark, conf), LEDGER, _format(conf))
-    table.begin()
-    opened = _comparable(table.read_open(), table, source, conf)
-    if opened is None:
-        load = ops.scd2_init(source, keys, as_of, **_options(conf))
-    else:
-        options = _options(conf, "insert_new", "expire_missing")
-        options["null_safe"] = conf.get("null_safe_keys", False)
-        options["small"] = conf.get("small_load", False)
-        load = ops.scd2_step(opened, source, keys, as_of, **options)
-    return _finish(table, load, conf, _basis(source, conf))
+    before, basis, split = table.begin(), _basis(source, conf), conf.get("partition_by")
+    null_safe = conf.get("null_safe_keys", False)
+    stored = table.read_open()
+    if stored is None:
+        first = require_unique(source, keys, null_safe)
+        load = ops.scd2_init(first, keys, as_of, **_options(conf))
+        return _finish(table, table.write(load, split, hashed=basis), conf)
+    options = _options(conf, "insert_new", "expire_missing")
+    options |= {"null_safe": null_safe, "small": conf.get("small_load", False)}
+    opened = _comparable(stored, table, source, conf)
+    step = ops.scd2_step(opened, source, keys, as_of, **options, unique=True, flag=True)
+    load, moved = _moved(step)
+    entry = table.write(load.drop(MOVED), split, hashed=basis)
+    if not moved() and _same(stored, load.drop(MOVED).columns):
+        table.discard(entry)
+        return before
+    return _finish(table, entry, conf)
 
 
 def _load_scd4(spark, source: DataFrame, conf: Conf, keys: list[str], as_of: Column) -> int:
     pair, options = _Pair(spark, conf, source), _options(conf)
-    before = pair.before()
-    if before is None:
-        state = ops.scd4_init(source, keys, as_of, **options)
-        return pair.commit(state, state if conf.get("seed_history", True) else state.limit(0))
-    options["null_safe"] = conf.get("null_safe_keys", False)
-    return pair.commit(
-        ops.scd4_current(before, source, keys, as_of, **options),
-        ops.scd4_history(before, source, keys, as_of, **options),
-    )
+    null_safe = conf.get("null_safe_keys", False)
+    stored = pair.current.read()
+    # One comparison for both tables: its rows are stored once and dealt to them.
+    staged = files.scratch_dir(spark)
+    try:
+        if stored is None:
+            first = require_unique(source, keys, null_safe)
+            state = _staged(spark, ops.scd4_init(first, keys, as_of, **options), staged)
+            return pair.commit(state, state if conf.get("seed_history", True) else state.limit(0))
+        before = _comparable(stored, pair.current, source, conf)
+        step = ops.scd4_step(before, source, keys, as_of, **options, null_safe=null_safe, unique=True)
+        counted, moved = _moved(step)
+        rows = _staged(spark, counted, staged, TARGET)
+        if not moved() and _same(stored, source.columns):
+            return pair.number
+        audit = [c for c in AUDIT if c != CURRENT]
+        columns = {
+            "current": [*[c for c in source.columns if c not in AUDIT], *audit],
+            "history": [c for c in rows.columns if c not in (TARGET, MOVED)],
+        }
+        return pair.commit(
+            *[rows.where(F.col(TARGET) == t).select(*named(c)) for t, c in columns.items()]
+        )
+    finally:
+        files.remove(spark, staged)
+
+
+def _staged(spark: SparkSession, df: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_feed(
@@ -184,26 +242,25 @@ def write_feed(
     data = feed.drop(ordering)
     pair = _Pair(spark, conf, data)
     moment = as_of if isinstance(as_of, Column) else F.lit(as_of or dt.datetime.now())
-    events = feed_events(feed, keys, version).drop(ordering)
-    last = events.where(LAST).drop(CHANGE_TYPE, LAST)
-    clash = duplicate_keys(last, keys).limit(3).collect()
-    if clash:
-        raise ValueError(f"Several new images of a key without an order, for example {clash}")
-    options = _options(conf)
-    opened = ops.scd4_init(last, keys, moment, **options)
+    null_safe, options = conf.get("null_safe_keys", False), _options(conf)
     new_image = F.col(CHANGE_TYPE).isin(INSERT, POSTIMAGE)
-    passed = events.where(new_image & ~F.col(LAST)).drop(CHANGE_TYPE, LAST)
+    states = feed_states(feed, keys, null_safe, version)
+    images = states.where(F.col(STATE).isNotNull()).select(f"{STATE}.*")
+    loose = feed.where(new_image & unkeyed(keys, null_safe)).drop(CHANGE_TYPE, ordering)
+    images = images.drop(ordering).unionByName(loose)
+    opened = ops.scd4_init(images, keys, moment, **options)
+    passed = passed_images(feed, states, keys, null_safe, version).drop(ordering)
     passed = ops.scd4_init(passed, keys, moment, **options).withColumn(END, moment)
     before = pair.current.read()
-    if before is None:
-        seed = opened if conf.get("seed_history", True) else opened.limit(0)
-        return pair.commit(opened, seed.unionByName(passed))
-    null_safe = conf.get("null_safe_keys", False)
-    touched = data.select(*named(keys)).distinct()
-    met = with_replacement(before, touched, keys, keys, null_safe)
-    closed = met.where(~gone()).drop(NEW).withColumn(END, moment)
-    state = met.where(gone()).drop(NEW).unionByName(opened, allowMissingColumns=True)
-    return pair.commit(state, closed.unionByName(passed, allowMissingColumns=True))
+    with _plain_errors():
+        if before is None:
+            seed = opened if conf.get("seed_history", True) else opened.limit(0)
+            return pair.commit(opened, seed.unionByName(passed))
+        touched = data.select(*named(keys)).distinct()
+        met = with_replacement(before, touched, keys, keys, null_safe)
+        closed = met.where(~gone()).drop(NEW).withColumn(END, moment)
+        state = met.where(gone()).drop(NEW).unionByName(opened, allowMissingColumns=True)
+        return pair.commit(state, closed.unionByName(passed, allowMissingColumns=True))
 
 
 class _Pair:
@@ -219,10 +276,8 @@ class _Pair:
         self.history = VersionedTable(
             spark, paths["history"], APPEND, _format(conf), log=now, part="history"
         )
-        self.history.begin(self.current.begin())
-
-    def before(self) -> DataFrame | None:
-        return _comparable(self.current.read(), self.current, self.source, self.conf)
+        self.number = self.current.begin()
+        self.history.begin(self.number)
 
     def commit(self, state: DataFrame, archive: DataFrame) -> int:
         split, names = self.conf.get("partition_by"), self.conf.get("table")

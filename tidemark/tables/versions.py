@@ -225,7 +225,11 @@ class VersionedTable:
         if folders:
             writer = writer.partitionBy(*folders)
         load = f"{n}-{uuid.uuid4().hex[:12]}"
-        writer.save(f"{self.root}/{LOAD}={load}")
+        try:
+            writer.save(f"{self.root}/{LOAD}={load}")
+        except BaseException:
+            files.remove(self.spark, f"{self.root}/{LOAD}={load}")
+            raise
         written = files.names(self.spark, f"{self.root}/{LOAD}={load}")
         if all(n.startswith(("_", ".")) for n in written):
             columns = []
@@ -255,6 +259,10 @@ class VersionedTable:
         old = T.StructType.fromJson(before["schema"]).fields
         return T.StructType([*fields, *[f for f in old if f.name.lower() not in new]])
 
+    def discard(self, entry: dict[str, Any]) -> None:
+        """Delete files written for a load that will not be committed."""
+        files.remove(self.spark, f"{self.root}/{LOAD}={entry['files']}")
+
     def commit(self, entries: dict[str, dict]) -> int:
         """Make the written files of all parts visible in one step."""
         (n,) = {entry["load"] for entry in entries.values()}

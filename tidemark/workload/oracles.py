@@ -358,6 +358,8 @@ def _pair(current: str, history: str) -> str:
 ORACLES["change_feed_stored"] = _pair(ORACLES["scd4_current"], ORACLES["scd4_history"])
 ORACLES["scd4_stored"] = ORACLES["change_feed_stored"]
 ORACLES["change_feed_first"] = _pair(ORACLES["scd4_init"], ORACLES["scd4_init"])
+ORACLES["scd2_unchanged"] = f"SELECT *, 1 AS loads FROM ({ORACLES['scd2_init']})"
+ORACLES["scd4_unchanged"] = f"SELECT *, 1 AS loads FROM ({ORACLES['change_feed_first']})"
 
 # -- readiness ----------------------------------------------------------------
 

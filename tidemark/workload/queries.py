@@ -523,16 +523,26 @@ def scd2_third_load(spark, sf_dir):
 
 @query
 def scd2_stored(spark, sf_dir):
-    """Three loads into a stored table, read back. Each source is a plain scan,
-    which is cheaper to read twice than to write out first."""
+    """Three loads into a stored table, read back."""
     path = f"{scratch_dir(spark)}/orders"
-    conf = {"path": path, "primary_keys": ORDER_KEY, "stage_source": False}
+    conf = {"path": path, "primary_keys": ORDER_KEY}
     for day, book in zip(LOAD_DAYS, _books(spark, sf_dir)):
         output = {"format": "delta", "scd": conf}
         write_output(spark, book, output, day, instant(day))
     return read_input(spark, {"format": "delta", "path": path}).drop(HASH)
 
 
+@query
+def scd2_unchanged(spark, sf_dir):
+    """A load that changes nothing commits nothing."""
+    path = f"{scratch_dir(spark)}/orders"
+    conf = {"path": path, "primary_keys": ORDER_KEY, "expire_missing": True}
+    book = _books(spark, sf_dir)[0]
+    loads = [write_scd(spark, book, conf, instant(day)) for day in LOAD_DAYS]
+    stored = read_input(spark, {"format": "delta", "path": path}).drop(HASH)
+    return stored.withColumn("loads", F.lit(loads[-1]))
+
+
 @query
 def scd4_init(spark, sf_dir):
     return scd.scd4_init(_books(spark, sf_dir)[0], ORDER_KEY, instant(LOAD_DAYS[0])).drop(HASH)
@@ -592,10 +602,19 @@ def scd4_stored(spark, sf_dir):
     """Two loads into a stored pair of tables."""
     _, conf = _pair_conf(spark)
     for day, book in list(zip(LOAD_DAYS, _books(spark, sf_dir)))[:2]:
-        write_scd(spark, book, conf | {"stage_source": False}, instant(day))
+        write_scd(spark, book, conf, instant(day))
     return _stored_pair(spark, conf["path"])
 
 
+@query
+def scd4_unchanged(spark, sf_dir):
+    """A load that changes nothing leaves both tables of a stored pair alone."""
+    _, conf = _pair_conf(spark)
+    book = _books(spark, sf_dir)[0]
+    loads = [write_scd(spark, book, conf, instant(day)) for day in LOAD_DAYS[:2]]
+    return _stored_pair(spark, conf["path"]).withColumn("loads", F.lit(loads[-1]))
+
+
 @query
 def change_feed(spark, sf_dir):
     old, new, _ = _books(spark, sf_dir)
