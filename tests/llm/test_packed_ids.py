@@ -25,7 +25,7 @@ def test_last_stage_rebuilds_texts_and_sequences(spark):
     want = []
     for doc_id, text, *_ in rows:
         ids = [*own.encode(text or "", add_special_tokens=False).ids, packing.END]
-        want.append((str(doc_id), b"".join(i.to_bytes(4, "little") for i in ids)))
+        want.append((str(doc_id), b"".join(i.to_bytes(2, "little") for i in ids)))
 
     texts, sequences = defaultdict(list), defaultdict(list)
     for r in out:
@@ -44,5 +44,5 @@ def test_last_stage_rebuilds_texts_and_sequences(spark):
         at = 0
         for offset, ids in sorted(pieces):
             assert offset == at
-            at += len(ids) // 4
+            at += len(ids) // 2
         assert at <= packing.CAPACITY

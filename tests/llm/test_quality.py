@@ -109,3 +109,12 @@ def test_prior_is_found():
 def test_features_of_odd_texts():
     x = quality.features(["", "a", " ", "\n\n", "é\U0001f600", "a" * 100_000, "\x00\x01"])
     assert x.shape == (7, quality.FEATURES) and np.isfinite(x).all()
+
+
+def test_features_travel_without_zeros():
+    x = quality.features(["Some text, with marks.\nAnd lines.", "", "a"])
+    for row in x:
+        at, values = quality.unpacked(quality.packed(row))
+        back = np.zeros(quality.FEATURES, np.float32)
+        back[at] = values
+        assert (back == row.astype(np.float16).astype(np.float32)).all()

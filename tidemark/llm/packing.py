@@ -89,6 +89,12 @@ class WordEncoder:
             return head + self.tokens[marks] if marks else head
         return b"".join([self.tokens[p] for p, _ in self.split.pre_tokenize_str(blank + word)])
 
+    def narrow(self, ids: bytes) -> bytes:
+        """32-bit ids in 16 bits, where all of the tokenizer's fit."""
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            return ids
+        return array("H", array("I", ids)).tobytes()
+
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if (
@@ -132,7 +138,8 @@ def token_pieces(
 ) -> DataFrame:
     """Tokenize whole texts, end each with the id ``end`` and cut those longer than
     ``capacity``. One row per piece: doc_id, piece, start, length, ids_crc32, with
-    ``with_ids`` the ids themselves as little-endian bytes, and the columns ``keep``.
+    ``with_ids`` the ids themselves as little-endian numbers, of 16 bits if the
+    tokenizer has no larger ones and else of 32, and the columns ``keep``.
 
     A null or empty text is one piece that holds ``end`` only. Repeated rows give
     repeated pieces, a null doc_id stays null, other columns are left aside.
@@ -160,7 +167,8 @@ def token_pieces(
                 ids = encoder.encode(text) + last
                 for n, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]
-                    rows.append((at, n, start, length, zlib.crc32(own), own))
+                    kept = encoder.narrow(own) if with_ids else None
+                    rows.append((at, n, start, length, zlib.crc32(own), kept))
             at, n, start, length, crc, own = zip(*rows, strict=True) if rows else [()] * 6
             rows_at = pa.array(at, pa.int64())
             columns = {

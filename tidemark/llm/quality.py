@@ -80,6 +80,23 @@ def features(texts: list[str]):
     return out
 
 
+def packed(x) -> bytes:
+    """One text's features without the zeros, which are nearly all: places as unsigned
+    16-bit numbers, then values of 16 bits."""
+    import numpy as np
+
+    x = x.astype(np.float16)
+    at = np.flatnonzero(x)
+    return at.astype("<u2").tobytes() + x[at].tobytes()
+
+
+def unpacked(data: bytes):
+    import numpy as np
+
+    half = len(data) // 2
+    return np.frombuffer(data[:half], "<u2"), np.frombuffer(data[half:], np.float16)
+
+
 @dataclass(frozen=True)
 class Scorer:
     """Weights of two layers; ``score`` is the estimated chance of a good text."""
@@ -209,7 +226,7 @@ def train(
     """Fit on at most ``positives`` texts with a label of good quality outside the
     held-out fold, and at most ``unlabelled`` texts of all documents, whose labels
     are not looked at. Both are seeded samples; only their features, of whole texts,
-    reach the driver."""
+    reach the driver, without zeros: about 130 bytes a text."""
     import numpy as np
 
     python_ready(docs.sparkSession)
@@ -234,14 +251,16 @@ def train(
     @F.pandas_udf("binary")
     def described(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            x = features(list(batch)).astype(np.float16)
-            yield pd.Series([row.tobytes() for row in x], dtype="object")
+            yield pd.Series([packed(x) for x in features(list(batch))], dtype="object")
 
     def collected(df: DataFrame, most: int):
         rows = df.select(order(F.col("doc_id")).alias("at"), described("text").alias("x"))
         rows = rows.orderBy("at", "x").limit(most).collect()
-        x = np.frombuffer(b"".join(r["x"] for r in rows), dtype=np.float16)
-        return x.reshape(-1, FEATURES).astype(np.float32)
+        out = np.zeros((len(rows), FEATURES), np.float32)
+        for n, r in enumerate(rows):
+            at, values = unpacked(r["x"])
+            out[n, at] = values
+        return out
 
     # The trusted ids are bounded by ``positives``.
     x_p = collected(own.join(F.broadcast(trusted), "doc_id"), positives)
