@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 from tidemark.llm import mixing
 from tidemark.llm.shared import stored
 
@@ -100,6 +101,56 @@ def test_mixed_documents_hold_what_is_taken(spark):
     assert got == Counter({k: v for k, v in want.items() if v})
 
 
+def test_rows_of_two_sources_keep_their_own_shares(spark):
+    """Equal ids and texts in two sources of different targets, in either order."""
+    rows = [(i, f"{i} " + "w " * 400, "en", s, 0) for i in range(40) for s in ("a", "b", None)]
+
+    def words_of(rows):
+        got = Counter()
+        for r in mixing.mixed_documents(documents(spark, rows)).collect():
+            got[r["source"]] += size_of(r["text"])
+        return got
+
+    sizes = {s: 40 * 401 for s in ("a", "b", None)}
+    got = words_of(rows)
+    assert got == words_of(rows[::-1])
+    for s, words in plain_targets(sizes).items():
+        assert abs(got[s] - words) <= 2 * mixing.BLOCK
+
+
+def test_selected_blocks_by_enumeration(spark):
+    cells = [(b, e, t) for b in (1, 2, 5) for e in range(b) for t in range(b)]
+    df = spark.createDataFrame(cells, "blocks long, extra long, turn long")
+    df = df.selectExpr("*", "explode(sequence(0, blocks * 4)) AS at")
+    for r in df.withColumn("words", mixing.selected_before(F.col("at"), 4)).collect():
+        selected = {(r["turn"] + i) % r["blocks"] for i in range(r["extra"])}
+        assert r["words"] == sum(w // 4 in selected for w in range(r["at"]))
+
+
+def test_a_run_of_blocks_keeps_documents_whole(spark):
+    rows = [(i, " ".join(f"{i}x{j}" for j in range(100)), "en", "ab"[i % 2], 0) for i in range(60)]
+    texts = {r[0]: r[1] for r in rows}
+    cut = Counter()
+    for r in mixing.mixed_documents(documents(spark, rows)).collect():
+        if r["text"] != texts[r["doc_id"]]:
+            cut[r["source"]] += 1
+            assert all(p.strip() in texts[r["doc_id"]] for p in r["text"].split("\n\n"))
+    assert all(n <= 2 for n in cut.values())
+
+
+def test_a_blank_line_stands_for_what_is_left_out(spark):
+    """One document in a source: its selected words may be its two ends."""
+    wanted = set()
+    for seed in range(4):
+        rows = [(i, " ".join(f"{s}{j}" for j in range(640)), "en", s, 0) for i, s in enumerate("abc")]
+        for r in mixing.mixed_documents(documents(spark, rows), seed=seed).collect():
+            parts = [p.strip() for p in r["text"].split("\n\n")]
+            whole = dict((x[0], x[1]) for x in rows)[r["doc_id"]]
+            assert len(parts) <= 2 and all(p in whole for p in parts)
+            wanted.add(len(parts))
+    assert 2 in wanted
+
+
 def test_tables_without_words(spark):
     assert mixing.mix(documents(spark, [])).collect() == []
     (row,) = mixing.mix(documents(spark, [(1, None, None, None, None)])).collect()

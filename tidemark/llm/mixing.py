@@ -4,8 +4,9 @@ Sizes are words. Each source is cut into cells of some thousand documents, in th
 order of a seeded hash, and a cell's documents, laid end to end, are cut into
 blocks of equal length that run across documents. Blocks are apportioned to
 sources, a source's blocks to its cells, and a cell takes its quota in whole
-passes and a seeded selection of blocks. All of it is arithmetic on sizes; no
-block ever becomes a row.
+passes and one run of blocks from a seeded place. As documents lie in the order of
+a hash, that run is a seeded choice of documents, and it cuts two of them at most.
+All of it is arithmetic on sizes; no block ever becomes a row.
 """
 
 from __future__ import annotations
@@ -86,7 +87,10 @@ def apportion(df: DataFrame, group: list[str], weight: str, seats: str, key: lis
 
 
 def _row_key(docs: DataFrame, seed: int) -> Column:
-    return F.xxhash64(docs["doc_id"], text_of(docs), F.lit(seed))
+    """Rows with one key agree in id, source and text, so their shares may be
+    exchanged. Hashes pass over nulls, which therefore are told as such."""
+    source = docs["source"]
+    return F.xxhash64(docs["doc_id"], source, source.isNull(), text_of(docs), F.lit(seed))
 
 
 def _cell(source_rows: Column, key: Column, cell_rows: int) -> Column:
@@ -119,7 +123,7 @@ def plan(
     ``rows`` as from :func:`sized`. Adds source_size, target, whole (times that all
     words are taken), taken (words, repeats counted) and, for the selection within
     one further pass, start (the document's place in its cell), blocks, extra and
-    turn (blocks of the cell, selected blocks, seeded phase).
+    turn (blocks of the cell, selected blocks, the first of these).
 
     A source's blocks are the quotients target / (2 s + 1) of at least half a
     block, which is Sainte-Laguë with the block as divisor.
@@ -179,10 +183,11 @@ def plan(
 
 
 def chosen_blocks(at: Column, of=F.col) -> Column:
-    """How many of a cell's first ``at`` blocks are selected: ``extra`` of
-    ``blocks``, evenly spaced from a seeded phase."""
-    phase = at.cast("decimal(19,0)") * of("extra") + of("turn")
-    return F.when(of("blocks") > 0, F.floor(phase / of("blocks"))).otherwise(0).cast("long")
+    """How many of a cell's first ``at`` blocks are selected: the ``extra`` blocks
+    from block ``turn`` on, which go on at the cell's first block after its last."""
+    end = of("turn") + of("extra")
+    run = F.greatest(F.least(at, end) - of("turn"), F.lit(0))
+    return (run + F.least(at, F.greatest(end - of("blocks"), F.lit(0)))).cast("long")
 
 
 def selected_before(at: Column, block: int) -> Column:
@@ -206,11 +211,13 @@ def mix(docs: DataFrame, **how) -> DataFrame:
 def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED, **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a document occurs once for each
     time that all of it is taken, and once more with the words of its selected
-    blocks if only those are taken. ``n_chars`` of the latter is set anew; all other
-    columns are kept. Documents of which nothing is taken go."""
+    blocks if only those are taken; where these are its beginning and its end, a blank
+    line stands for what lies between. ``n_chars`` of such a row is set anew; all other
+    columns are kept, nulls too. Documents of which nothing is taken go, and so do all
+    without words; an empty table stays one. Rows that agree in id, source and text
+    may get each other's shares, other rows never."""
     key, copy, m, part, time = fresh(docs, "key", "copy", "m", "part", "time")
-    # Rows that agree in id and text have one key; their copies are told apart by
-    # number, in the same order on both sides.
+    # Copies under one key are told apart by number.
     shares = plan(sized(docs, seed), block=block, seed=seed, **how)
     shares = shares.withColumn(
         "copy", F.row_number().over(Window.partitionBy("key").orderBy("doc_id", "start"))
@@ -237,12 +244,19 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, seed: int = SEED, **how
         "text", F.lit(rf"(?:^[\x20\x09-\x0D]+)?{WORD}[\x20\x09-\x0D]*"), F.lit(0)
     )
 
-    def picked(_: Column, i: Column) -> Column:
-        nth = F.floor((of("start") + i) / block).cast("long")
-        return chosen_blocks(nth + 1, of) > chosen_blocks(nth, of)
+    def chosen(late: bool) -> Column:
+        """The selected words of the blocks from ``turn`` on, or of those before."""
+
+        def picked(_: Column, i: Column) -> Column:
+            nth = F.floor((of("start") + i) / block).cast("long")
+            within = chosen_blocks(nth + 1, of) > chosen_blocks(nth, of)
+            return within & ((nth >= of("turn")) == F.lit(late))
+
+        return F.nullif(F.array_join(F.filter(words, picked), ""), F.lit(""))
 
     cut = (F.col(time) == 0) & (rest < of("size"))
-    out = rows.withColumn(part, F.when(cut, F.array_join(F.filter(words, picked), "")))
+    pieces = F.concat_ws("\n\n", chosen(late=False), chosen(late=True))
+    out = rows.withColumn(part, F.when(cut, pieces))
     columns = []
     for field in docs.schema:
         c = F.col(f"`{field.name}`")
