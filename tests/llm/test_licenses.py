@@ -29,6 +29,7 @@ FILES = [
     (None, MIT),
     ("ab/LICENCE", "Licensed under the Apache License, Version 2.0."),
     ("a/b/c/one", "some words\nand more of them"),
+    ("b/foreign", f"{MIT} nothing prose"),
     ("z/long", "\n".join(["line of prose"] * 3000 + [MIT] + ["x" * 20_000])),
 ]
 
@@ -37,11 +38,10 @@ def brute(files):
     texts = [(p, t or "") for p, t in files]
     df = Counter(t for _, text in texts for t in set(licenses.terms_of(text)))
     n = len(texts)
-    vocabulary = {t for _, text in licenses.TEMPLATES for t in licenses.terms_of(text)}
 
     def vector(text):
         own = Counter(licenses.terms_of(text))
-        return {t: c * (math.log((n + 1) / ((df[t] if t in vocabulary else 0) + 1)) + 1) for t, c in own.items()}
+        return {t: c * (math.log((n + 1) / (df[t] + 1)) + 1) for t, c in own.items()}
 
     def norm(v):
         return math.sqrt(sum(w * w for w in v.values()))
