@@ -31,8 +31,12 @@ def brute(rows, per_part=chat.TURNS):
         if speaker != "system":
             sides[conv].add(speaker)
     out = []
+    cut = {}
     for (conv, part), told in parts.items():
         told.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        for i in range(0, len(told), per_part):
+            cut[conv, part, i // per_part] = told[i : i + per_part]
+    for (conv, part, section), told in cut.items():
         for side in sides[conv]:
             text, mask, trained = "", [], 0
             for _, speaker, body in told:
@@ -42,7 +46,7 @@ def brute(rows, per_part=chat.TURNS):
                     mask.append(f"{len(text)}:{len(text) + len(body) + 10}")
                     trained += len(body) + 10
                 text += body + "<|im_end|>\n"
-            out.append((conv, side, part, len(told), text, ",".join(mask), trained))
+            out.append((conv, side, part, section, len(told), text, ",".join(mask), trained))
     return sorted(out, key=str)
 
 
@@ -56,6 +60,8 @@ def odd_turns():
     out += [(50, t, ["user", "assistant", "guest"][t % 3], f"turn {t}") for t in range(300)]  # long
     out += [(51, 0, "system", "only")]
     out += [(52, 1, "user", "same")] * 3 + [(52, None, "user", "no number"), (None, 0, "user", "no id")]
+    out += [(60, None, ["user", "assistant"][t % 2], f"unnumbered {t % 50}") for t in range(300)]
+    out += [(None, t % 3, "user", f"no id {t}") for t in range(200)] + [(61, 7, "user", "again")] * 200
     out += [(53, 0, "user", "x" * 200_000), (53, 1, "assistant", None)]
     return out
 
@@ -66,12 +72,19 @@ def test_perspectives_equal_brute_force(spark, per_part, clashing):
     rows = odd_turns()
     df = spark.createDataFrame(rows, TURNS).repartition(3)
     if clashing:
-        names = "key none part speaker body sides told participant marks mask turns".split()
+        names = "key none part section n at number first speaker body sides told participant marks mask turns".split()
         df = df.withColumns({c: F.lit("extra") for c in names})
     got = [tuple(r) for r in chat.perspectives(df, per_part).collect()]
     assert sorted(got, key=str) == brute(rows, per_part)
 
 
+def test_no_row_holds_more_turns_than_a_section(spark):
+    rows = [(None, None, f"p{t % 2}", "same") for t in range(1000)]
+    got = chat.perspectives(spark.createDataFrame(rows, TURNS)).collect()
+    assert sorted({r["section"] for r in got}) == list(range(16))
+    assert max(r["turns"] for r in got) == 64 and sum(r["turns"] for r in got) == 2000
+
+
 def test_masks_point_at_the_assistants_words(spark):
     df = spark.createDataFrame(odd_turns(), TURNS)
     for r in chat.perspectives(df).collect():

@@ -4,9 +4,11 @@ For each participant of a conversation the dialogue is rendered once, with that
 speaker as the assistant, the others as named users, and the places of the
 assistant's words as a mask. All of it is SQL functions over arrays of turns.
 
-Long conversations are rendered in parts of a fixed range of turn numbers, each a
-row, so no conversation has to fit into one task or one string. The texts are
-shuffled once, by conversation and part; participants are applied afterwards.
+Long conversations are rendered in parts of a fixed range of turn numbers, and parts
+with repeated or missing numbers in sections of as many turns, each a row, so no
+conversation has to fit into one task or one string. The texts are shuffled once, by
+conversation, part and section; participants are applied afterwards. Only turns of
+parts with more than one section are sorted before, by range.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import ordered, stored
+
 TURNS = 64
 SYSTEM = "system"
 
@@ -31,14 +35,30 @@ def _body(text: Column) -> Column:
     return F.replace(F.coalesce(text, F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
+def _sectioned(own: DataFrame, part: list[str], size: int) -> DataFrame:
+    """Adds section: a turn's rank in its part, by turn, speaker and body, over
+    ``size``. Parts of one section are told by their count, without their texts."""
+    counts = own.groupBy(*part).agg(F.count("*").alias("n"))
+    longer = stored(counts.where(F.col("n") > size).select(*part))
+    # Equal turns of a hot part have places of their own, so they can be spread.
+    over = own.join(longer, part, "left_semi").withColumn("at", F.monotonically_increasing_id())
+    numbered = stored(ordered(stored(over), [*part, "turn", "speaker", "body", "at"], "number"))
+    first = numbered.groupBy(*part).agg(F.min("number").alias("first"))
+    section = F.floor((F.col("number") - F.col("first")) / size).cast("long")
+    cut = numbered.join(first, part).select(*own.columns, section.alias("section"))
+    rest = own.join(longer, part, "left_anti")
+    return rest.withColumn("section", F.lit(0).cast("long")).unionByName(cut)
+
+
 def perspectives(turns: DataFrame, per_part: int = TURNS) -> DataFrame:
-    """Rows (conv_id, participant, part, turns, text, mask, trained) of conversations
-    (conv_id, turn, role, text).
+    """Rows (conv_id, participant, part, section, turns, text, mask, trained) of
+    conversations (conv_id, turn, role, text).
 
-    ``text`` holds the part's turns in order of turn, role and text. ``mask`` lists
-    the places, as ``start:end`` in characters of this part, of the participant's
+    ``text`` holds the section's turns in order of turn, role and text. ``mask`` lists
+    the places, as ``start:end`` in characters of this text, of the participant's
     own words with their closing marks, and ``trained`` adds them up. Parts are
-    numbered by turn number; turns without a number form part -1, a null text is
+    numbered by turn number and cut into sections of ``per_part`` turns, which are
+    several where numbers repeat; turns without a number form part -1, a null text is
     empty, a null conv_id is one conversation, repeated turns are rendered again.
     System turns stay system turns and are nobody's side: a conversation of those
     alone gives no row. Other columns are left aside.
@@ -59,12 +79,12 @@ def perspectives(turns: DataFrame, per_part: int = TURNS) -> DataFrame:
     sides = parts.join(speakers, ["key", "none"]).groupBy(*where)
     sides = sides.agg(F.array_sort(F.collect_list("speaker")).alias("sides"))
 
-    told = own.groupBy(*where).agg(
+    told = _sectioned(own, where, per_part).groupBy(*where, "section").agg(
         F.first("conv_id").alias("conv_id"),
         F.array_sort(F.collect_list(F.struct("turn", "speaker", "body"))).alias("told"),
     )
     seen = told.join(sides, where).select(
-        "conv_id", "part", "told", F.explode("sides").alias("participant")
+        "conv_id", "part", "section", "told", F.explode("sides").alias("participant")
     )
 
     side = F.col("participant")
@@ -101,6 +121,7 @@ def perspectives(turns: DataFrame, per_part: int = TURNS) -> DataFrame:
         "conv_id",
         "participant",
         "part",
+        "section",
         F.size("told").alias("turns"),
         F.array_join(F.transform("told", rendered), "").alias("text"),
         F.array_join("marks.mask", ",").alias("mask"),

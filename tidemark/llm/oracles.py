@@ -54,28 +54,34 @@ ORACLES["op6_chat_perspectives"] = r"""
                     ELSE regexp_replace(trim(role), '[\x00-\x20<>|]+', '_', 'g') END AS speaker,
                replace(coalesce(text, ''), '<|', '< |') AS body
         FROM conversations),
+    cut AS (
+        SELECT *, (row_number() OVER (
+                   PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, speaker, body) - 1) // 64
+                   AS section
+        FROM own),
     sides AS (SELECT DISTINCT conv_id, speaker AS participant FROM own WHERE speaker <> 'system'),
     told AS (
         SELECT o.*, participant,
                '<|im_start|>' || CASE WHEN speaker = participant THEN 'assistant'
                                       WHEN speaker = 'system' THEN speaker
                                       ELSE 'user name=' || speaker END || chr(10) AS head
-        FROM own o JOIN sides s ON o.conv_id IS NOT DISTINCT FROM s.conv_id),
+        FROM cut o JOIN sides s ON o.conv_id IS NOT DISTINCT FROM s.conv_id),
     placed AS (
         SELECT *, length(head) + length(body) + 11 AS width,
                coalesce(sum(length(head) + length(body) + 11) OVER (
-                   PARTITION BY conv_id, part, participant
+                   PARTITION BY conv_id, part, section, participant
                    ORDER BY turn NULLS FIRST, speaker, body
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS first
         FROM told)
-    SELECT conv_id, participant, CAST(part AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS turns,
+    SELECT conv_id, participant, CAST(part AS BIGINT) AS part,
+           CAST(section AS BIGINT) AS section, CAST(count(*) AS INTEGER) AS turns,
            string_agg(head || body || '<|im_end|>' || chr(10), ''
                       ORDER BY turn NULLS FIRST, speaker, body) AS text,
            coalesce(string_agg(first || ':' || (first + length(body) + 10), ',' ORDER BY first)
                     FILTER (speaker = participant), '') AS mask,
            CAST(coalesce(sum(length(body) + 10) FILTER (speaker = participant), 0) AS BIGINT)
                AS trained
-    FROM placed GROUP BY conv_id, part, participant"""
+    FROM placed GROUP BY conv_id, part, section, participant"""
 
 # CRC-32 by its table of 256 remainders, which the rule of the polynomial gives; letters
 # of runs and digits take one or two bytes of UTF-8.
