@@ -30,6 +30,8 @@ FILES = [
     ("ab/LICENCE", "Licensed under the Apache License, Version 2.0."),
     ("a/b/c/one", "some words\nand more of them"),
     ("b/foreign", f"{MIT} nothing prose"),
+    ("mit/LICENSE", "Copyright someone\n" + dict(licenses.licence_texts())["MIT"]),
+    ("mit/src/code", "nothing"),
     ("z/long", "\n".join(["line of prose"] * 3000 + [MIT] + ["x" * 20_000])),
 ]
 
@@ -46,9 +48,10 @@ def brute(files):
     def norm(v):
         return math.sqrt(sum(w * w for w in v.values()))
 
-    templates = [(name, vector(text)) for name, text in licenses.TEMPLATES]
+    notes = [(name, vector(text)) for name, text in licenses.TEMPLATES]
+    whole = notes + [(name, vector(text)) for name, text in licenses.licence_texts()]
 
-    def best(text):
+    def best(text, templates):
         own = vector(text)
         if not own:
             return 0.0, 0, None
@@ -59,11 +62,11 @@ def brute(files):
 
     notices, licensed = {}, {}
     for path, text in texts:
-        lines = [best(line) for line in text.split("\n")]
+        lines = [best(line, notes) for line in text.split("\n")]
         cosine, _, name = max(lines, key=lambda x: (x[0], x[2] or ""))
         if path is not None and cosine >= licenses.HEADER:
             notices[path] = max(notices.get(path, (0.0, "")), (cosine, name))
-        cosine, _, name = best(text)
+        cosine, _, name = best(text, whole)
         if path is not None and cosine >= licenses.WHOLE_FILE:
             above = re.sub("/?[^/]*$", "", path)
             licensed[above] = min(licensed.get(above, (0, "~")), (-cosine, path, name))
@@ -96,6 +99,25 @@ def test_scan_equals_brute_force(spark, both_plans, clashing):
     assert {w[3] for w in want} == {"header", "inherited", None}
 
 
+OWNERS = "Copyright (c) 2019-2024 A. Person and the Example Project contributors\n\n"
+WHOLE = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0", "ISC", "MIT", "MPL-2.0"]
+
+
+def test_whole_licences_pass_to_their_directories(spark):
+    texts = dict(licenses.licence_texts())
+    files = [(f"{name}/LICENSE", OWNERS + texts[name]) for name in WHOLE]
+    files += [(f"{name}/src/code", f"words of file {i}") for i, name in enumerate(WHOLE)]
+    # Prose with a notice, and one with a licence quoted in a long text, are no licence files.
+    files += [("prose/a", f"{MIT} " + "and then some prose of its own " * 3), ("prose/b", "no notice")]
+    files += [("book/a", "chapter verse page " * 400 + texts["ISC"]), ("book/b", "no notice")]
+    out = {r["path"]: r for r in licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()}
+    for name in WHOLE:
+        row = out[f"{name}/src/code"]
+        assert (row["licence"], row["origin"], row["from_path"]) == (name, "inherited", f"{name}/LICENSE")
+        assert row["cosine"] > 0.9
+    assert out["prose/b"]["licence"] is None and out["book/b"]["licence"] is None
+
+
 def test_documents_are_files(spark):
     rows = [*odd_rows(), (400, f"prose here\n{CC}", "en", "s1", 0), (401, MIT, "de", "s2", 0), (402, "x", "de", "s2", 0)]
     out = licenses.scan_documents(documents(spark, rows)).collect()

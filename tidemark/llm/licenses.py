@@ -1,11 +1,11 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance along paths.
 
-A file's own licence is that of its line nearest to a template. A file that is
-near to a template as a whole is the licence file of its directory, and files
-without a licence of their own take that of the nearest directory above them that
-has one. Word statistics cover all words of all files. Texts are never shuffled:
-what moves are word counts, and words of the few lines that can reach the threshold
-at all, which meet the counts as a table.
+A file's own licence is that of its line nearest to a notice. A file that as a whole
+is near to a licence's text or to a notice is the licence file of its directory, and
+files without a licence of their own take that of the nearest directory above them
+that has one. Word statistics cover all words of all files. Texts are never shuffled:
+what moves are word counts, and words of the few lines and files that can reach the
+threshold at all, which meet the counts as a table.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +22,8 @@ from pyspark.sql import functions as F
 from .shared import stored, text_of
 
 HEADER = 0.6
-WHOLE_FILE = 0.5
+# High enough that a text which merely has a notice in it is no licence file.
+WHOLE_FILE = 0.8
 
 # Licence notices as their licences or usual practice word them.
 TEMPLATES: list[tuple[str, str]] = [
@@ -40,6 +43,16 @@ TEMPLATES: list[tuple[str, str]] = [
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright. CC0 1.0 Universal."),
 ]
 
+
+
+@cache
+def licence_texts() -> list[tuple[str, str]]:
+    """(name, whole text) of usual licences, without copyright lines. Read where the
+    plan is made, never in a task."""
+    folder = Path(__file__).with_name("licence_texts")
+    return [(p.stem, p.read_text("utf-8")) for p in sorted(folder.glob("*.txt"))]
+
+
 _TERM = "[a-z0-9]+"
 
 
@@ -101,25 +114,22 @@ def known_frequencies(frequencies: DataFrame, vocabulary: list[str]) -> tuple[di
     return counted, counted.pop("", 0)
 
 
-def _lookup(values: dict[str, float], term: Column) -> Column:
-    pairs = [F.lit(x) for t, w in values.items() for x in (t, float(w))]
-    return F.try_element_at(F.create_map(*pairs), term)
-
-
 def cosines(texts: DataFrame, keys: list[str], weights: Weights, frequencies: DataFrame) -> DataFrame:
     """(keys, licence, cosine) of the best template for each (keys, text); of equal
     ones the first. ``frequencies`` as from :func:`document_frequencies`."""
+    # A row per word of the templates, whatever the input.
+    known = [(t, [v.get(t, 0.0) for v in weights.vectors]) for t in sorted(weights.idf)]
+    known = F.broadcast(texts.sparkSession.createDataFrame(known, "term string, own array<double>"))
     words = texts.select(*keys, F.explode(_terms(F.col("text"))).alias("term"))
     counted = words.groupBy(*keys, "term").count().join(frequencies, "term", "left")
     seen = F.coalesce("files", F.lit(0)) + 1
     weight = F.col("count") * (F.log(F.lit(weights.files + 1.0) / seen) + 1)
     dots = [
-        F.sum(F.col("w") * F.coalesce(_lookup(v, F.col("term")), F.lit(0.0))).alias(f"dot{i}")
-        for i, v in enumerate(weights.vectors)
+        F.sum(F.col("w") * F.coalesce(F.col("own")[i], F.lit(0.0))).alias(f"dot{i}")
+        for i in range(len(weights.vectors))
     ]
-    summed = counted.withColumn("w", weight).groupBy(*keys).agg(
-        F.sum(F.col("w") * F.col("w")).alias("norm2"), *dots
-    )
+    met = counted.withColumn("w", weight).join(known, "term", "left")
+    summed = met.groupBy(*keys).agg(F.sum(F.col("w") * F.col("w")).alias("norm2"), *dots)
     best = F.greatest(
         *[
             F.struct(
@@ -137,7 +147,13 @@ def _with_any(text: Column, words: list[str]) -> Column:
     return F.lower(text).rlike(r"(?<![a-z0-9])(?:" + "|".join(words) + r")(?![a-z0-9])")
 
 
-def scan(files: DataFrame, templates=TEMPLATES, header: float = HEADER, whole: float = WHOLE_FILE) -> DataFrame:
+def scan(
+    files: DataFrame,
+    templates: list[tuple[str, str]] = TEMPLATES,
+    header: float = HEADER,
+    whole: float = WHOLE_FILE,
+    texts: list[tuple[str, str]] | None = None,
+) -> DataFrame:
     """One row per file (path, text): path, licence, cosine, origin (``header`` or
     ``inherited``) and from_path, the file that holds the notice. Without a licence
     all but the path are null.
@@ -145,24 +161,33 @@ def scan(files: DataFrame, templates=TEMPLATES, header: float = HEADER, whole: f
     Paths are split at ``/``. Null and empty texts have no notice; rows that share a
     path are one file, which has the best of their notices, and come back as often
     as they are; a null path lies in no directory. Lines are separated by newlines
-    and looked at one by one, all of them. Of licence files in a directory the
+    and looked at one by one, all of them. Whole files are compared with ``templates``
+    and with ``texts``, those of the usual licences unless given. Of licence files in a directory the
     nearest to its template counts, then the first path.
     """
     own = files.select(files["path"].alias("path"), text_of(files).alias("text"))
-    vocabulary = sorted({t for _, text in templates for t in terms_of(text)})
+    everything = [*templates, *(licence_texts() if texts is None else texts)]
+    vocabulary = sorted({t for _, text in everything for t in terms_of(text)})
     frequencies = document_frequencies(own)
-    weights = Weights(templates, *known_frequencies(frequencies, vocabulary))
+    known = known_frequencies(frequencies, vocabulary)
+    weights, whole_weights = Weights(templates, *known), Weights(everything, *known)
 
-    near = own.where(_with_any(F.col("text"), weights.telling(min(header, whole))))
+    has_line = _with_any(F.col("text"), weights.telling(header))
+    telling = F.array(*[F.lit(t) for t in whole_weights.telling(whole)])
     # A few files in a hundred; from here on only these.
+    near = own.withColumns(
+        {"has_line": has_line, "may_be_whole": F.arrays_overlap(_terms(F.col("text")), telling)}
+    ).where("has_line or may_be_whole")
     near = stored(near.withColumn("row", F.monotonically_increasing_id()))
-    lines = near.select("path", "row", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    lines = near.where("has_line").select("path", "row", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     lines = lines.where(_with_any(F.col("text"), weights.telling(header)))
     best = F.max(F.struct("cosine", "licence")).alias("best")
     notices = cosines(lines, ["path", "row", "line"], weights, frequencies).where(F.col("cosine") >= header)
     notices = stored(notices.groupBy("path").agg(best).select("path", "best.licence", "best.cosine"))
 
-    licence_files = cosines(near, ["path", "row"], weights, frequencies).where(F.col("cosine") >= whole)
+    whole_files = near.where("may_be_whole")
+    licence_files = cosines(whole_files, ["path", "row"], whole_weights, frequencies)
+    licence_files = licence_files.where(F.col("cosine") >= whole)
     directory = F.regexp_replace("path", "/?[^/]*$", "")
     nearest = F.min(F.struct((-F.col("cosine")).alias("away"), "path", "licence")).alias("own")
     licensed = licence_files.where(F.col("path").isNotNull()).groupBy(directory.alias("above"))
