@@ -1,0 +1,66 @@
+"""The whole shuffle drawn plainly: rows in lists, permutations enumerated."""
+
+from __future__ import annotations
+
+import itertools
+import math
+import random
+from collections import Counter
+
+from pyspark.sql import functions as F
+from tidemark.llm import sharding
+from tidemark.llm.shared import stored
+
+CONTENT = ["doc_id", "size"]
+
+
+def test_matrices_are_as_likely_as_among_all_permutations():
+    counts, sizes, n = [3, 1, 2], [2, 2, 2], 20_000
+    homes = [p for p, c in enumerate(counts) for _ in range(c)]
+    shards = [s for s, c in enumerate(sizes) for _ in range(c)]
+
+    def matrix(order):
+        met = Counter((home, shards[place]) for home, place in zip(homes, order, strict=True))
+        return tuple(tuple(met[p, s] for s in range(len(sizes))) for p in range(len(counts)))
+
+    likely = Counter(matrix(order) for order in itertools.permutations(range(len(homes))))
+    total = math.factorial(len(homes))
+    seeds = random.Random(8)
+    seen = Counter(
+        tuple(map(tuple, sharding.communication_matrix(counts, sizes, seeds.getrandbits(60))))
+        for _ in range(n)
+    )
+    assert set(seen) == set(likely)
+    for m, ways in likely.items():
+        p = ways / total
+        assert abs(seen[m] - n * p) < 5 * math.sqrt(n * p * (1 - p))
+
+
+def test_shuffle_equals_plain_lists(spark):
+    shards, partitions, seed = 5, 7, 3
+    rows = spark.createDataFrame([(i // 2, i % 3) for i in range(400)] + [(None, 1)] * 3, "doc_id long, size long")
+    rows = stored(rows)
+    drawn = [F.xxhash64(*CONTENT, F.lit(seed), F.lit(salt)).alias(f"h{salt}") for salt in (1, 2, 4)]
+    lists = [[] for _ in range(partitions)]
+    for r in rows.select(*CONTENT, *drawn).collect():
+        lists[r["h1"] % partitions].append(r)
+
+    def content(r):
+        return [(r[c] is not None, r[c] or 0) for c in CONTENT]
+
+    matrix = sharding.communication_matrix(
+        [len(own) for own in lists], sharding.even_sizes(403, shards), seed
+    )
+    arrived = [[] for _ in range(shards)]
+    for own, row in zip(lists, matrix, strict=True):
+        own.sort(key=lambda r: (r["h2"], content(r)))
+        at = 0
+        for shard, n in enumerate(row):
+            arrived[shard] += own[at : at + n]
+            at += n
+    want = []
+    for shard, own in enumerate(arrived):
+        own.sort(key=lambda r: (r["h4"], content(r)))
+        want += [(r["doc_id"], r["size"], shard, slot) for slot, r in enumerate(own)]
+    got = sharding.shuffled(rows, CONTENT, shards, partitions, seed).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
