@@ -1,0 +1,53 @@
+"""The pipeline's own forms of the classifier and the packing on odd rows."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import public_tokenizers
+from tidemark.llm import packing, quality
+
+from .common import documents, odd_rows
+
+LABELS = "doc_id long, quality int, toxic int"
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_keeping_odd_rows(spark):
+    rows = odd_rows()
+    docs = documents(spark, rows, clashing=True)
+    labels = spark.createDataFrame(
+        [(i, 1, None) for i in range(20)] + [(30, None, 0), (None, 1, 0), (999, 1, 0), (0, 1, 0)], LABELS
+    )
+    kept = quality.keep_good(docs, labels)
+    assert kept.dtypes == docs.dtypes
+    # Rows with one text share a verdict, whatever their other columns hold.
+    own = Counter(r["text"] for r in kept.collect())
+    every = Counter(text for _, text, *_ in rows)
+    assert all(own[text] in (0, n) for text, n in every.items())
+    assert sum(own.values()) == sum(r["predicted"] for r in quality.score_documents(docs, labels).collect())
+
+
+def test_keeping_without_labels_or_rows(spark):
+    none = spark.createDataFrame([], LABELS)
+    rows = odd_rows()
+    assert quality.keep_good(documents(spark, rows), none).count() == len(rows)
+    assert quality.keep_good(documents(spark, []), none).collect() == []
+
+
+def test_packing_with_ids_leaves_other_columns_aside(spark):
+    rows = odd_rows()
+    plain = packing.pack_documents(documents(spark, rows), PATH, with_ids=True)
+    clashing = packing.pack_documents(documents(spark, rows, clashing=True), PATH, with_ids=True)
+    assert plain.columns == clashing.columns
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+    def pieces(df):
+        return sorted((tuple(r) for r in df.select(*names).collect()), key=str)
+
+    assert pieces(plain) == pieces(clashing)
+    assert len({(r["sequence_id"], r["offset"]) for r in clashing.collect()}) == clashing.count()
+
+
+def test_packing_an_empty_table_with_ids(spark):
+    assert packing.pack_documents(documents(spark, []), PATH, with_ids=True).collect() == []

@@ -296,7 +296,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **how) -> DataFrame:
-    """The documents whose score reaches the threshold, all columns as they are."""
+    """The documents whose score reaches the threshold, all columns as they are.
+
+    A null text is scored like an empty one and stays null; rows without an id and
+    repeated rows are judged by their text, so copies stay or go together. Without
+    labels every score is 0.5, which keeps all rows; an empty table stays empty.
+    """
     scorer = train(docs, labels, **how)
     (score,) = fresh(docs, "score")
     scored = docs.withColumn(score, scores(text_of(docs), scorer))
