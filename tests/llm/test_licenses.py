@@ -32,6 +32,7 @@ FILES = [
     ("b/foreign", f"{MIT} nothing prose"),
     ("mit/LICENSE", "Copyright someone\n" + dict(licenses.licence_texts())["MIT"]),
     ("mit/src/code", "nothing"),
+    ("wrapped/code", "# some code\n# This work is licensed under the\n# GNU General Public\n# License, version 3.\nx = 1\n" + "y = 2\n" * 60),
     ("z/long", "\n".join(["line of prose"] * 3000 + [MIT] + ["x" * 20_000])),
 ]
 
@@ -62,7 +63,9 @@ def brute(files):
 
     notices, licensed = {}, {}
     for path, text in texts:
-        lines = [best(line, notes) for line in text.split("\n")]
+        lines = text.split("\n")
+        runs = ["\n".join(lines[i : i + n]) for i in range(len(lines)) for n in range(1, licenses.RUN + 1)]
+        lines = [best(run, notes) for run in runs]
         cosine, _, name = max(lines, key=lambda x: (x[0], x[2] or ""))
         if path is not None and cosine >= licenses.HEADER:
             notices[path] = max(notices.get(path, (0.0, "")), (cosine, name))
@@ -118,6 +121,15 @@ def test_whole_licences_pass_to_their_directories(spark):
     assert out["prose/b"]["licence"] is None and out["book/b"]["licence"] is None
 
 
+def test_notices_may_be_wrapped(spark):
+    wrapped = [("a/one", FILES[[p for p, _ in FILES].index("wrapped/code")][1]), ("a/two", "nothing")]
+    wrapped += [(f"b/{i}", f"the public work number {i} is under this") for i in range(40)]
+    df = spark.createDataFrame(wrapped, "path string, text string")
+    out = {r["path"]: r for r in licenses.scan(df).collect()}
+    assert (out["a/one"]["licence"], out["a/one"]["origin"]) == ("GPL-3.0", "header")
+    assert out["a/two"]["licence"] is None
+
+
 def test_documents_are_files(spark):
     rows = [*odd_rows(), (400, f"prose here\n{CC}", "en", "s1", 0), (401, MIT, "de", "s2", 0), (402, "x", "de", "s2", 0)]
     out = licenses.scan_documents(documents(spark, rows)).collect()

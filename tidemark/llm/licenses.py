@@ -1,6 +1,6 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance along paths.
 
-A file's own licence is that of its line nearest to a notice. A file that as a whole
+A file's own licence is that of its line, or run of adjacent lines, nearest to a notice. A file that as a whole
 is near to a licence's text or to a notice is the licence file of its directory, and
 files without a licence of their own take that of the nearest directory above them
 that has one. Word statistics cover all words of all files. Texts are never shuffled:
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from .shared import stored, text_of
 
 HEADER = 0.6
+# A notice may be wrapped over so many adjacent lines.
+RUN = 3
 # High enough that a text which merely has a notice in it is no licence file.
 WHOLE_FILE = 0.8
 
@@ -161,7 +163,7 @@ def scan(
     Paths are split at ``/``. Null and empty texts have no notice; rows that share a
     path are one file, which has the best of their notices, and come back as often
     as they are; a null path lies in no directory. Lines are separated by newlines
-    and looked at one by one, all of them. Whole files are compared with ``templates``
+    and all of them are looked at, one by one and as runs of up to ``RUN``. Whole files are compared with ``templates``
     and with ``texts``, those of the usual licences unless given. Of licence files in a directory the
     nearest to its template counts, then the first path.
     """
@@ -179,10 +181,20 @@ def scan(
         {"has_line": has_line, "may_be_whole": F.arrays_overlap(_terms(F.col("text")), telling)}
     ).where("has_line or may_be_whole")
     near = stored(near.withColumn("row", F.monotonically_increasing_id()))
-    lines = near.where("has_line").select("path", "row", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    cut = near.where("has_line").select("path", "row", F.split("text", "\n").alias("lines"))
+    # Made inside one expression: the lines of a file are not copied per line.
+    runs = F.transform(
+        "lines",
+        lambda _, i: F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(RUN), F.size("lines") - i)),
+            lambda n: F.array_join(F.slice("lines", i + 1, n), "\n"),
+        ),
+    )
+    starts = cut.select("path", "row", F.posexplode(runs).alias("line", "runs"))
+    lines = starts.select("path", "row", "line", F.posexplode("runs").alias("more", "text"))
     lines = lines.where(_with_any(F.col("text"), weights.telling(header)))
     best = F.max(F.struct("cosine", "licence")).alias("best")
-    notices = cosines(lines, ["path", "row", "line"], weights, frequencies).where(F.col("cosine") >= header)
+    notices = cosines(lines, ["path", "row", "line", "more"], weights, frequencies).where(F.col("cosine") >= header)
     notices = stored(notices.groupBy("path").agg(best).select("path", "best.licence", "best.cosine"))
 
     whole_files = near.where("may_be_whole")
