@@ -120,3 +120,22 @@ def test_number_of_patterns_does_not_grow_with_the_pieces():
     few = packing.bin_patterns({i: 10 for i in range(1, 1025)}, 1024)
     many = packing.bin_patterns({i: 10_000_000 for i in range(1, 1025)}, 1024)
     assert len(many) <= 2 * len(few) + 100
+
+
+def test_words_are_remembered_once_and_apart_from_their_marks(tokenizer):
+    encoder = packing.WordEncoder(PATH)
+    text = "Zqv zqv, zqv. zqv?! naïve, naïve zqv's x1, āb, zqv,"
+    assert encoder.encode(text) == packed_bytes(ids_of(tokenizer, text)[:-1])
+    assert {"zqv", "zqv,", "zqv.", "zqv?!"} <= set(encoder.words)
+    assert not any("zqv" in spelled for spelled in encoder.tokens if "'" not in spelled and spelled != encoder.blank + "zqv")
+    assert {",", ".", "?!"} <= set(encoder.tokens)
+    plain = packing.WordEncoder(PATH)
+    plain.encode("a zqv, zqv")
+    assert set(plain.tokens) <= {","} | {t for t in plain.tokens if t == "Ċ"}
+
+
+def test_narrow_ids_have_16_bits(spark, tokenizer):
+    docs = documents(spark, [(1, "hello world", "en", "s", 11)])
+    (row,) = packing.token_pieces(docs, PATH, with_ids=True, narrow=True).collect()
+    assert bytes(row["ids"]) == b"".join(i.to_bytes(2, "little") for i in ids_of(tokenizer, "hello world"))
+    assert row["ids_crc32"] == zlib.crc32(packed_bytes(ids_of(tokenizer, "hello world")))

@@ -72,20 +72,32 @@ class WordEncoder:
         plain = [c for c in spelled if ord(c) < 256]
         shifted = iter(c for c in spelled if ord(c) >= 256)
         self.spelling = {b: chr(b) if chr(b) in plain else next(shifted) for b in range(256)}
+        self.packed = [array("I", [i]).tobytes() for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        self.blank = self.spelling[ord(" ")]
         self.tokens = Remembered(self._token)
-        self.words = Remembered(lambda word: self._word(" ", word))
+        self.words = Remembered(self._after_blank)
         self.starts = Remembered(lambda word: self._word("", word))
         self.line_end = self._word("", "\n")
 
     def _token(self, spelled: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(spelled)])
+
+    def _after_blank(self, word: str) -> bytes:
+        if word.isascii():
+            # Most words that were not seen before: letters, and the marks after them.
+            if word.isalpha():
+                return self._token(self.blank + word)
+            letters = word.rstrip(".,!?")
+            if letters.isalpha():
+                return self.words[letters] + self.tokens[word[len(letters) :]]
+        return self._word(" ", word)
 
     def _word(self, blank: str, word: str) -> bytes:
         letters = word.rstrip(".,!?")
         if letters.isalpha() and max(letters) < _OLD_LETTERS:
-            # The splitter's usual case: letters, and the marks after them.
+            # The splitter's usual case.
             marks = word[len(letters) :]
-            head = self.tokens[(blank + letters).encode().decode("latin-1").translate(self.spelling)]
+            head = self._token((blank + letters).encode().decode("latin-1").translate(self.spelling))
             return head + self.tokens[marks] if marks else head
         return b"".join([self.tokens[p] for p, _ in self.split.pre_tokenize_str(blank + word)])
 
@@ -135,11 +147,12 @@ def token_pieces(
     end: int = END,
     with_ids: bool = False,
     keep: Sequence[str] = (),
+    narrow: bool = False,
 ) -> DataFrame:
     """Tokenize whole texts, end each with the id ``end`` and cut those longer than
     ``capacity``. One row per piece: doc_id, piece, start, length, ids_crc32, with
-    ``with_ids`` the ids themselves as little-endian numbers, of 16 bits if the
-    tokenizer has no larger ones and else of 32, and the columns ``keep``.
+    ``with_ids`` the ids themselves as little-endian numbers of 32 bits (with
+    ``narrow`` of 16 if the tokenizer has no larger ones), and the columns ``keep``.
 
     A null or empty text is one piece that holds ``end`` only. Repeated rows give
     repeated pieces, a null doc_id stays null, other columns are left aside.
@@ -167,7 +180,7 @@ def token_pieces(
                 ids = encoder.encode(text) + last
                 for n, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]
-                    kept = encoder.narrow(own) if with_ids else None
+                    kept = encoder.narrow(own) if narrow and with_ids else own
                     rows.append((at, n, start, length, zlib.crc32(own), kept))
             at, n, start, length, crc, own = zip(*rows, strict=True) if rows else [()] * 6
             rows_at = pa.array(at, pa.int64())
@@ -289,7 +302,7 @@ def pack_documents(
     """Tokenize, cut and pack whole documents; see the two steps.
 
     With ``with_ids`` the sequences can be read from the rows: ``ids`` holds a
-    piece's ids, and ``copy`` numbers the rows of a doc_id from 0, so that doc_id,
+    piece's ids, narrow where they can be, and ``copy`` numbers the rows of a doc_id from 0, so that doc_id,
     copy and piece tell each piece. Ids are shuffled once, to their places.
     """
     if not with_ids:
@@ -299,7 +312,7 @@ def pack_documents(
         text_of(docs).alias("text"),
         F.monotonically_increasing_id().alias("row"),
     )
-    pieces = stored(token_pieces(rows, tokenizer, capacity, with_ids=True, keep=["row"]))
+    pieces = stored(token_pieces(rows, tokenizer, capacity, with_ids=True, keep=["row"], narrow=True))
     # A struct, as a null doc_id has copies too.
     firsts = pieces.where("piece = 0").select(F.struct("doc_id").alias("doc"), "ids_crc32", "row")
     copies = ranked(firsts, ["doc"], F.xxhash64("row"), ["ids_crc32", "row"], "copy")
